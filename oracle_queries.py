@@ -286,7 +286,7 @@ ORACLES = {
               HAVING count(*) > 1))::INT AS keys,
           (SELECT count(*) > 0 FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))::INT
           + (SELECT count(*) > 0 FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))::INT AS refs)
-        SELECT 'TABLE' AS kind, 4 AS total, 3 AS success, 1 AS failed
+        SELECT 'TABLE' AS kind, 4::BIGINT AS total, 3::BIGINT AS success, 1::BIGINT AS failed
         UNION ALL SELECT 'CONSTRAINT INDEX', 4, 4 - keys, keys FROM bad
         UNION ALL SELECT 'FOREIGN KEY', 2, 2 - refs, refs FROM bad""",
     "run_listed": """SELECT 'orders' AS table_name, count(*) AS source_table_rows, count(*) AS target_table_rows,
