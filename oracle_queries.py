@@ -11,21 +11,19 @@ CATALOGUE = (
     "concat('T', l_orderkey) AS table_name",
     "l_linenumber AS column_id",
     "concat('C', l_partkey) AS column_name",
-    """CASE l_suppkey % 20
-    WHEN 0 THEN 'VARCHAR2' WHEN 1 THEN 'NVARCHAR2' WHEN 2 THEN 'CHAR' WHEN 3 THEN 'NCHAR' WHEN 4 THEN 'UROWID'
-    WHEN 5 THEN 'DATE' WHEN 6 THEN 'TIMESTAMP(6)' WHEN 7 THEN 'TIMESTAMP(3)' WHEN 8 THEN 'CLOB'
-    WHEN 9 THEN 'LONG RAW' WHEN 10 THEN 'FLOAT' WHEN 11 THEN 'XMLTYPE' ELSE 'NUMBER' END AS data_type""",
+    """coalesce(nullif(split_part(
+    'VARCHAR2|NVARCHAR2|CHAR|NCHAR|UROWID|DATE|TIMESTAMP(6)|TIMESTAMP(3)|CLOB|LONG RAW|FLOAT|XMLTYPE',
+    '|', CAST(l_suppkey % 20 + 1 AS int)), ''), 'NUMBER') AS data_type""",
     "CAST((l_partkey * 7) % 12001 AS int) AS char_length",
     "CAST(CASE WHEN l_linenumber IN (3, 5) THEN NULL ELSE l_suppkey % 39 END AS int) AS data_precision",
     """CAST(CASE WHEN l_returnflag = 'A' THEN NULL WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity - 3 END AS int)
     AS data_scale""",
     "l_linenumber > 1 AS nullable",
     "CAST(NULL AS varchar(10)) AS comments",
-    """CASE l_partkey % 14
-    WHEN 0 THEN '''a b''' WHEN 1 THEN 'SYS_GUID()' WHEN 2 THEN 'user' WHEN 3 THEN 'sysdate'
-    WHEN 4 THEN '( (SYSDATE) )' WHEN 5 THEN '(7)' WHEN 6 THEN '-1' WHEN 7 THEN '1.5' WHEN 8 THEN 'NULL'
-    WHEN 9 THEN '''''' WHEN 10 THEN '0'
-    WHEN 11 THEN CASE WHEN l_linenumber = 7 THEN 'SEQ.NEXTVAL' ELSE '42' END ELSE NULL END AS data_default""",
+    """nullif(split_part(CASE WHEN l_linenumber = 7
+    THEN '''a b''|SYS_GUID()|user|sysdate|( (SYSDATE) )|(7)|-1|1.5|NULL|''''|0|SEQ.NEXTVAL'
+    ELSE '''a b''|SYS_GUID()|user|sysdate|( (SYSDATE) )|(7)|-1|1.5|NULL|''''|0|42' END,
+    '|', CAST(l_partkey % 14 + 1 AS int)), '') AS data_default""",
     """CAST(CASE WHEN l_linestatus = 'O' AND l_linenumber = 2 THEN NULL ELSE l_linenumber + 1 END AS int)
     AS avg_col_len""",
 )

@@ -29,10 +29,21 @@ def normalise_stats(catalogue: DataFrame) -> DataFrame:
     })
 
 
+def _with_default(catalogue: DataFrame, compat: bool) -> DataFrame:
+    """Statistics normalised, with the kind of the source type and ``target_default``."""
+    ready = normalise_stats(catalogue).withColumn("_kind", rules.source_kind())
+    if compat:
+        return ready.withColumn("target_default", rules.compat_default())
+    # Separate steps, so that each pattern runs once per row.
+    ready = ready.withColumn("_bare", rules.bare_default(F.col("data_default")))
+    ready = ready.withColumn("_named", F.upper(F.replace("_bare", F.lit("()"), F.lit(""))))
+    ready = ready.withColumn("target_default", rules.constant_default(F.col("_bare"), F.col("_named")))
+    return ready.withColumn("target_default", F.nullif("target_default", F.lit(""))).drop("_bare", "_named")
+
+
 def clean_defaults(catalogue: DataFrame, compat: bool = False) -> DataFrame:
     """Add ``target_default``."""
-    ready = normalise_stats(catalogue)
-    return ready.withColumn("target_default", rules.compat_default() if compat else rules.clean_default())
+    return _with_default(catalogue, compat).drop("_kind")
 
 
 def map_types(catalogue: DataFrame, compat: bool = False, profile: DataFrame | None = None) -> DataFrame:
@@ -42,17 +53,15 @@ def map_types(catalogue: DataFrame, compat: bool = False, profile: DataFrame | N
     from the data. Under ``compat`` a number default without digits empties the whole
     table, and a number no rule covers has null types.
     """
-    ready = clean_defaults(catalogue, compat)
-    if profile is not None and not compat:
+    ready = _with_default(catalogue, compat)
+    profiled = profile is not None and not compat
+    if profiled:
         ready = ready.join(profile.select("table_name", "column_name", "min_value", "max_value", "max_scale"),
                            ["table_name", "column_name"], "left")
-    chain = rules.type_rules(compat, profile is not None)
-    mapped = ready.withColumns({
-        "target_type": rules.first_match(chain, "target"),
-        "spark_type": rules.first_match(chain, "spark"),
-        "max_length": rules.first_match(chain, "length"),
-        "rule": rules.first_match(chain, "name"),
-    }).drop("min_value", "max_value", "max_scale")
+    mapped = ready.withColumn("rule", rules.type_rule(compat, profiled))
+    mapped = mapped.withColumn("digits", rules.digits(compat, profiled)).withColumns({
+        "target_type": rules.target_type(), "spark_type": rules.spark_type(), "max_length": rules.max_length(),
+    }).drop("_kind", "digits", "min_value", "max_value", "max_scale")
     if not compat:
         return mapped
     lost_tables = mapped.where(rules.breaks_table()).select("table_name").distinct().withColumn("_lost", F.lit(True))

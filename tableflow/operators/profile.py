@@ -38,19 +38,23 @@ def text_widths(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 def number_widths(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 10) -> DataFrame:
     """``column_name, avg_length, min_value, max_value, max_scale`` of the numeric columns.
 
-    Values are compared as exact decimals with ``digits`` places, never as doubles.
+    Values are compared exactly; doubles as decimals with ``digits`` places.
     """
     names = _named(df, columns, (T.NumericType,))
+    kinds = [df.schema[c].dataType for c in names]
+    places = max([k.scale if isinstance(k, T.DecimalType) else 0 if isinstance(k, T.IntegralType) else digits
+                  for k in kinds], default=0)
 
     def fields(c: str) -> dict[str, Column]:
-        value = F.col(f"`{c}`")
-        exact = value.try_cast(f"decimal(38,{digits})")
+        value, kind = F.col(f"`{c}`"), df.schema[c].dataType
+        exact = value if isinstance(kind, (T.IntegralType, T.DecimalType)) else value.try_cast(f"decimal(38,{digits})")
         shown = F.rtrim(F.split_part(exact.cast("string"), F.lit("."), F.lit(2)), F.lit("0"))
+        scale = F.lit(0) if isinstance(kind, T.IntegralType) else F.coalesce(F.max(F.length(shown)), F.lit(0))
         return {
             "avg_length": F.round(F.avg(F.octet_length(value.cast("string"))), 4),
-            "min_value": F.min(exact),
-            "max_value": F.max(exact),
-            "max_scale": F.coalesce(F.max(F.length(shown)), F.lit(0)),
+            "min_value": F.min(exact).try_cast(f"decimal(38,{places})"),
+            "max_value": F.max(exact).try_cast(f"decimal(38,{places})"),
+            "max_scale": scale,
         }
 
     return one_row_per_column(df, {c: fields(c) for c in names})
