@@ -30,16 +30,19 @@ def flag(df: DataFrame, rules: Sequence[ColumnRule], keep: Sequence[str] = (), e
 
     A reason lists every failed check as ``COLUMN:check`` with the checks ``type`` (the
     value has no counterpart), ``scale`` (digits would be lost, with ``exact_scale``),
-    ``length`` and ``null``. Columns in ``keep`` are carried along unchecked.
+    ``length`` and ``null``. Columns in ``keep`` are carried along unchecked. Names match
+    in any case and come out as the rules spell them.
     """
     converted, checks = [], []
+    named = {f.name.upper(): f for f in df.schema}
     for rule in rules:
-        source = df.schema[rule.name].dataType
-        value = F.col(f"`{rule.name}`")
+        source = named[rule.name.upper()].dataType
+        value = F.col(f"`{named[rule.name.upper()].name}`")
         if empty_as_null and isinstance(source, T.StringType):
             value = F.nullif(value, F.lit(""))
         result = _converted(value, rule, source, whole_seconds)
-        converted.append(result.alias(rule.name))
+        note = {"metadata": {"comment": rule.comment.replace('"', "")}} if rule.comment else {}
+        converted.append(result.alias(rule.name, **note))
 
         def failed(check: str, condition: Column, name: str = rule.name) -> Column:
             return F.when(condition, F.lit(f"{name}:{check}"))

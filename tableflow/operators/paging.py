@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 50_000
+ROWS_PER_TASK = 1_000_000
 MAX_BUCKETS = 16_384
 SAMPLED_PER_BUCKET = 32
 NUMBERS_PER_BLOCK = 65_536
@@ -161,6 +162,10 @@ def _numbered(layout: _Layout, columns: list[str], name: str, low: int | None =
             if (low is None or starts[b] + rows >= low) and (high is None or starts[b] < high)]
     if len(live) < len(counts):
         keyed = keyed.where(layout.between(min(live), max(live)) if live else F.lit(False))
+    elif sum(rows for rows, _ in counts.values()) >= ROWS_PER_TASK * len(starts):
+        # Buckets are large: one task each. By hash, some tasks would get several and run late;
+        # smaller buckets are hashed, so that adaptive execution can put them together.
+        keyed = keyed.repartitionById(len(starts), "_bucket")
     bucket = F.col("_bucket")
     offset = F.get(_bigints(starts), bucket)
     rows = [F.col(f"`{c}`") for c in columns]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import between, normalised
+from ..sources.names import restrict_to_list
 
 # Index type left out, and the trigger type that fills an identity column.
 FUNCTION_INDEX = "FUNCTION-BASED NORMAL"
@@ -55,10 +56,8 @@ def key_columns(index_columns: DataFrame, indexes: DataFrame, constraints: DataF
     Inputs: ``(table_name, index_name, column_name, column_position)``,
     ``(index_name, uniqueness, index_type)`` and ``(constraint_name, constraint_type)``.
     """
-    if tables is not None:
-        index_columns = index_columns.join(tables.select(F.col("name").alias("table_name")), "table_name", "left_semi")
-    columns = ordered_list(index_columns, ["table_name", "index_name"], "column_name",
-                           ["column_position", "column_name"], name="columns")
+    columns = ordered_list(restrict_to_list(index_columns, "table_name", tables), ["table_name", "index_name"],
+                           "column_name", ["column_position", "column_name"], name="columns")
     plain = indexes.where(F.col("index_type") != FUNCTION_INDEX).select("index_name", "uniqueness", "index_type")
     kinds = constraints.select(F.col("constraint_name").alias("index_name"), "constraint_type")
     return (columns.join(plain, "index_name").join(kinds, "index_name", "left")

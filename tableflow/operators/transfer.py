@@ -19,7 +19,19 @@ LOG_DDL = (
     "table_name string, page_no bigint, source_table_rows bigint, target_table_rows bigint, type string, "
     "detail string, task_start_time timestamp_ntz, task_end_time timestamp_ntz"
 )
-_WRITERS = {"append": io.append, "truncate": io.truncate_load, "replace": io.replace}
+
+
+def _write(df: DataFrame, store: Store, name: str, mode: str, rules: Sequence[ColumnRule] | None) -> None:
+    if mode == "append":
+        io.append(df, store, name)
+    elif mode == "truncate":
+        io.truncate_load(df, store, name)
+    elif mode == "replace":
+        # Bounded texts keep their length where the table is created; other types follow the dialect.
+        bounded = {r.name: f"VARCHAR({r.max_length})" for r in rules or () if r.max_length and r.spark_type == "string"}
+        io.replace(df, store, name, column_types=bounded)
+    else:
+        raise ValueError("mode is append, truncate or replace")
 
 
 def now() -> datetime:
@@ -59,7 +71,7 @@ def copy_table(df: DataFrame, store: Store, name: str, mode: str = "replace",
     """
     started = now()
     good, seen = _checked(df, rules, (), options)
-    _WRITERS[mode](good, store, name)
+    _write(good, store, name, mode, rules)
     _save_rejects(df, rules, seen, reject_store, name, options)
     rows, out = seen.get["rows"], seen.get["rejected"]
     return log_row(df.sparkSession, name, rows, rows - out, started)
@@ -81,11 +93,11 @@ def transfer(df: DataFrame, store: Store, name: str, keys: Sequence[str], page_s
     staged = parquet_store(fresh_path(spark, "stage")) if store.kind == "jdbc" else store
     paged = with_pages(df, keys, page_size, unique).drop("row_no")
     good, seen = _checked(paged, rules, ("page_no",), options)
-    _WRITERS[mode if staged is store else "replace"](good, staged, name)
+    _write(good, staged, name, mode if staged is store else "replace", rules)
     _save_rejects(df, rules, seen, reject_store, name, options)
     stage = io.read_table(spark, staged, name)
     if staged is not store:
-        _WRITERS[mode](stage.drop("page_no"), store, name)
+        _write(stage.drop("page_no"), store, name, mode, rules)
     total = seen.get["rows"]
     if total == 0:
         return log_row(spark, name, 0, 0, started)

@@ -9,14 +9,18 @@ from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.checks import check_not_null, check_primary_key, check_unique, orphan_summary
 from ..operators.compare import NO_TABLE, compare_counts, row_counts
-from ..operators.mapping import column_rules, map_types, schema_of
+from ..operators.mapping import ROW_WIDTH_LIMIT, column_rules, fit_row_width, map_types, schema_of
+from ..operators.profile import text_widths
 from ..operators.report import object_status, run_summary, transfer_report
 from ..operators.text import rewrite_text, valid_only
 from ..operators.transfer import copy_table, load_common_columns, log_row, now, transfer
+from ..session import materialise
 from ..sources.catalogue import catalogue_of
+from ..sources.names import folded
 from ..sources.store import Store, read_table, read_tables, replace
 
 FULL, LISTED, DATA, METADATA = "full", "listed", "data", "metadata"
@@ -85,6 +89,24 @@ class Run:
     violations: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
+def _fitted(mapping: DataFrame, readable: Mapping[str, DataFrame]) -> tuple[DataFrame, set[str]]:
+    """Mapping whose too wide tables have text lengths taken from their data, and those tables."""
+    lengths = mapping.groupBy(folded("table_name").alias("name")).agg(F.sum("char_length").alias("row"))
+    wide = {r["name"] for r in lengths.where(F.col("row") > ROW_WIDTH_LIMIT).collect()}
+    widths = [text_widths(df).select(F.lit(name.upper()).alias("table_name"), F.upper("column_name").alias("column_name"),
+                                     "width")
+              for name, df in readable.items() if name.upper() in wide]
+    if not widths:
+        return mapping, set()
+    named = mapping.withColumns({"_t": F.col("table_name"), "_c": F.col("column_name"), "table_name": folded("table_name"),
+                                 "column_name": folded("column_name")})
+    fitted = fit_row_width(named, reduce(DataFrame.unionByName, widths))
+    length = F.when(F.col("narrowed"), F.col("fitted_length")).otherwise(F.col("max_length"))
+    fitted = fitted.withColumns({"max_length": length, "table_name": F.col("_t"), "column_name": F.col("_c")})
+    fitted = fitted.select(*mapping.columns).cache()
+    return fitted, wide & {name.upper() for name in readable}
+
+
 def _load(spark: SparkSession, plan: Plan, table: TablePlan, source: DataFrame,
           mapping: DataFrame | None) -> DataFrame | None:
     """Load one table in the mode of the plan and return its log."""
@@ -96,6 +118,9 @@ def _load(spark: SparkSession, plan: Plan, table: TablePlan, source: DataFrame,
         return log_row(spark, table.name, 0, 0, now())
     if table.order:
         unique = bool(table.primary_key) and set(table.primary_key) <= set(table.order)
+        if plan.source.kind == "jdbc":
+            # Paging reads its input several times; a live table is read once and cannot change in between.
+            source = materialise(source, table.name)
         return transfer(source, plan.target, table.name, table.order, plan.page_size, unique, rules=rules,
                         reject_store=plan.reject_store)
     return copy_table(source, plan.target, table.name, rules=rules, reject_store=plan.reject_store)
@@ -125,10 +150,10 @@ def run(spark: SparkSession, plan: Plan) -> Run:
     tables = plan.chosen()
     sources = read_tables(spark, plan.source, [t.name for t in tables])
     readable = {name: df for name, df in sources.items() if df is not None}
-    mapping = None
+    mapping, narrowed = None, set()
     if plan.mode != DATA:
         described = plan.catalogue if plan.catalogue is not None else catalogue_of(spark, readable)
-        mapping = map_types(described, plan.compat).cache()
+        mapping, narrowed = _fitted(map_types(described, plan.compat).cache(), readable)
     status: list[tuple] = []
 
     def load(table: TablePlan) -> DataFrame:
@@ -141,7 +166,8 @@ def run(spark: SparkSession, plan: Plan) -> Run:
                 message = NO_TABLE
         except (PySparkException, ValueError) as error:
             message = f"{type(error).__name__}: {error}".splitlines()[0][:500]
-        status.append(("TABLE", table.name, "failed" if message else "end", message, now()))
+        done = "narrowed" if table.name.upper() in narrowed else ""
+        status.append(("TABLE", table.name, "failed" if message else "end", message or done, now()))
         return log if log is not None else log_row(spark, table.name, 0, 0, started, NO_TABLE)
 
     with ThreadPoolExecutor(max_workers=max(1, plan.parallel)) as pool:

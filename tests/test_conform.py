@@ -63,3 +63,9 @@ def test_align(spark):
     target = T.StructType.fromDDL("B string, extra bigint, a bigint")
     out = tf.align(df, target)
     assert rows(out) == [("x", None, 1)] and out.columns == ["B", "extra", "a"]
+
+
+def test_names_match_in_any_case(spark):
+    good, bad = tf.conform(spark.createDataFrame([(1, "x")], "Id int, NAME string"),
+                           [ColumnRule("ID", "bigint"), ColumnRule("name", "string", max_length=3)])
+    assert good.columns == ["ID", "name"] and rows(good) == [(1, "x")] and bad.count() == 0

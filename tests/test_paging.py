@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tableflow.operators import paging
 from tableflow.operators.paging import expand_counts, number_rows, page_bounds, page_count, page_range, page_slice, with_pages
 
 from conftest import rows
@@ -20,6 +21,14 @@ def _check_order(df, keys, buckets, unique=False):
     assert sorted(map(str, rows(out.drop("row_no")))) == sorted(map(str, rows(df)))
 
 
+def test_large_buckets_get_a_task_each(spark, monkeypatch):
+    monkeypatch.setattr(paging, "ROWS_PER_TASK", 10)
+    df = spark.range(5000).select((F.col("id") * 37 % 5003).alias("k"), F.lit(1).alias("v"))
+    _check_order(df, ["k"], 40)
+    plan = number_rows(df, ["k"], True, buckets=40)._jdf.queryExecution().executedPlan().toString()
+    assert "direct_shuffle_partition_id" in plan and "hashpartitioning" not in plan
+
+
 def test_unique_key_in_many_buckets(spark):
     _check_order(spark.range(5000).select((F.col("id") * 37 % 5003).alias("k")), ["k"], 40, unique=True)
 
@@ -116,3 +125,10 @@ def test_decimal_and_double_keys(spark):
         [(Decimal(i % 7) / 3, float("nan") if i % 5 == 0 else i / 3) for i in range(400)], "a decimal(20,9), b double")
     out = number_rows(df, ["b", "a"], buckets=8).orderBy("row_no")
     assert [str(r.b) for r in out.collect()] == [str(r.b) for r in df.orderBy("b").collect()]
+
+
+def test_array_columns_break_ties(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("label", "embedding")
+    out = number_rows(vectors.unionByName(vectors), ["label"], buckets=6).orderBy("row_no").collect()
+    assert [r.row_no for r in out] == list(range(1, len(out) + 1))
+    assert [r.label for r in out] == sorted(r.label for r in out)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import tableflow as tf
 
@@ -71,3 +72,15 @@ def test_modes_exclude_each_other(spark, stores):
         tf.run(spark, tf.Plan(*stores, TABLES, mode="listed"))
     with pytest.raises(ValueError):
         tf.run(spark, tf.Plan(*stores, TABLES, mode="other"))
+
+
+def test_wide_tables_are_narrowed(spark, stores):
+    source, target = stores
+    described = tf.catalogue_of(spark, {"parent": tf.read_table(spark, source, "parent")}).withColumn(
+        "char_length", F.when(F.col("data_type") == "VARCHAR2", 70_000)).withColumn(
+        "comments", F.concat(F.lit("the "), "column_name"))
+    out = tf.run(spark, tf.Plan(source, target, TABLES[:1], catalogue=described))
+    assert {r.column_name: r.max_length for r in out.mapping.collect()} == {"id": None, "name": 2}
+    assert rows(out.status.where("name = 'parent'").select("status", "message")) == [("end", "narrowed")]
+    made = tf.read_table(spark, target, "parent")
+    assert made.count() == 2 and made.schema["name"].metadata == {"comment": "the name"}
