@@ -27,6 +27,7 @@ ROWS_PER_BUCKET = 50_000
 ROWS_PER_TASK = 1_000_000
 MAX_BUCKETS = 16_384
 SAMPLED_PER_BUCKET = 32
+SAMPLE_BYTES = 128 << 20
 NUMBERS_PER_BLOCK = 65_536
 
 # Timestamps in cut points keep their microseconds.
@@ -84,18 +85,23 @@ def _layout(df: DataFrame, keys: Sequence[str], unique: bool, buckets: int | Non
         keyed = keyed.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in rest]))
         lead, order = [*keys, "_tie"], [*keys, "_tie", *rest]
 
-    total = df.count()
+    texts = [c for c in keys if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+    known = df.agg(F.count("*").alias("rows"), *[F.avg(F.octet_length(F.col(f"`{c}`"))) for c in texts]).first()
+    total = known["rows"]
+    # The sample is sorted in one task and its cuts become part of the plan: both are bounded,
+    # by number and for long keys by size. Fewer buckets are larger ones.
+    key_bytes = 16 * len(lead) + sum(size or 0 for size in known[1:])
     wanted = buckets or min(MAX_BUCKETS, -(-total // ROWS_PER_BUCKET))
+    sampled = min(SAMPLED_PER_BUCKET * wanted, int(SAMPLE_BYTES / key_bytes))
+    wanted = min(wanted, max(2, sampled // 4))
     if wanted <= 1 or total == 0:
         keyed = keyed.withColumns({"_bucket": F.lit(0), "_copy": F.lit(False)})
         return _Layout(keyed, order, {0: (total, 0)} if total else {})
 
     full_key = F.struct(*[F.col(f"`{c}`") for c in lead])
     picked = keyed.select(full_key.alias("k"))
-    fraction = SAMPLED_PER_BUCKET * wanted / total
-    if fraction < 1.0:
-        picked = picked.sample(fraction, seed=7)
-    # At most about SAMPLED_PER_BUCKET * MAX_BUCKETS keys are put in order here.
+    if sampled < total:
+        picked = picked.sample(sampled / total, seed=7)
     ordered = picked.agg(F.array_sort(F.collect_list("k")).alias("s"))
     cut = F.transform(
         F.sequence(F.lit(1).cast("bigint"), F.lit(wanted - 1).cast("bigint")),

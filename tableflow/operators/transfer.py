@@ -13,7 +13,7 @@ from ..sources import store as io
 from ..sources.store import Store, parquet_store
 from .conform import REASON, align, flag, rejects
 from .mapping import ColumnRule
-from .paging import page_bounds, with_pages
+from .paging import with_pages
 
 LOG_DDL = (
     "table_name string, page_no bigint, source_table_rows bigint, target_table_rows bigint, type string, "
@@ -102,9 +102,9 @@ def transfer(df: DataFrame, store: Store, name: str, keys: Sequence[str], page_s
     if total == 0:
         return log_row(spark, name, 0, 0, started)
     written = stage.groupBy("page_no").agg(F.count("*").alias("_rows"))
-    pages = page_bounds(spark.createDataFrame([(name, total)], "table_name string, row_count bigint"), page_size)
+    pages = spark.range(1, -(-total // page_size) + 1).withColumnRenamed("id", "page_no")
     return pages.join(written, "page_no", "left").select(
-        "table_name", "page_no", F.lit(total).cast("bigint").alias("source_table_rows"),
+        F.lit(name).alias("table_name"), "page_no", F.lit(total).cast("bigint").alias("source_table_rows"),
         F.coalesce("_rows", F.lit(0)).alias("target_table_rows"), F.lit("TABLE").alias("type"),
         F.lit("").alias("detail"), F.lit(started).cast("timestamp_ntz").alias("task_start_time"),
         F.lit(now()).cast("timestamp_ntz").alias("task_end_time"))

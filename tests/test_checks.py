@@ -36,6 +36,8 @@ def test_orphans(spark):
     parent = spark.createDataFrame([(1,), (4,)], "id int")
     assert sorted(rows(tf.orphan_rows(child, parent, ["pk"], ["id"]))) == [(2, "c"), (3, "e"), (3, "f")]
     assert sorted(rows(tf.orphan_summary(child, parent, ["pk"], ["id"]))) == [(2, 1), (3, 2)]
+    plan = tf.orphan_summary(child, parent, ["pk"], ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter") < plan.index("Aggregate [pk")  # counted below the join
     self_child = spark.createDataFrame([(1, None), (2, 1), (3, 9)], "id int, up int")
     assert rows(tf.orphan_rows(self_child, self_child, ["up"], ["id"])) == [(3, 9)]
 

@@ -140,3 +140,19 @@ def test_common_columns(spark):
     src = tf.catalogue_of(spark, {"orders": spark.createDataFrame([], "a int, b int, c int")})
     tgt = tf.catalogue_of(spark, {"ORDERS": spark.createDataFrame([], "C string, A int, z int")})
     assert [r.column_name for r in tf.common_columns(src, tgt).orderBy("column_id").collect()] == ["a", "c"]
+
+
+def test_column_catalogue_of_a_store(spark, tmp_path):
+    store = tf.parquet_store(str(tmp_path))
+    tf.replace(spark.createDataFrame([], "a int, b decimal(9,3)"), store, "t")
+    found = tf.column_catalogue(spark, store, ["t"]).orderBy("column_id").collect()
+    assert [(r.column_name, r.data_type, r.data_precision, r.data_scale) for r in found] == [
+        ("a", "NUMBER", 10, 0), ("b", "NUMBER", 9, 3)]
+
+
+def test_measured_catalogue(spark):
+    df = spark.createDataFrame([("ab", 100, [1]), ("é", 5, None)], "s string, n int, a array<int>")
+    found = {r.column_name: r for r in tf.measured_catalogue(spark, {"t": df}).collect()}
+    assert (found["s"].char_length, found["s"].avg_col_len) == (2, 2)
+    assert (found["n"].char_length, found["n"].avg_col_len) == (None, 2)
+    assert (found["a"].data_type, found["a"].avg_col_len) == ("ARRAY<INT>", None)

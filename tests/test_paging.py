@@ -132,3 +132,24 @@ def test_array_columns_break_ties(spark):
     out = number_rows(vectors.unionByName(vectors), ["label"], buckets=6).orderBy("row_no").collect()
     assert [r.row_no for r in out] == list(range(1, len(out) + 1))
     assert [r.label for r in out] == sorted(r.label for r in out)
+
+
+def test_long_keys_bound_the_sample(spark, monkeypatch):
+    df = spark.range(2000).select(F.concat(F.repeat(F.lit("x"), 500), F.col("id") % 700).alias("k"), "id")
+    monkeypatch.setattr(paging, "SAMPLE_BYTES", 40_000)
+    _check_order(df, ["k"], 40)
+    assert len(paging._layout(df, ["k"], False, 40).counts) <= 20
+
+
+def test_odd_characters_in_keys(spark):
+    odd = ["", " ", "\n", "\t\"", "\\", "\u2028", "😀", "\x01", "é", "ß", "a'b", "[{}]", "null", "NaN"]
+    df = spark.createDataFrame([(a + b, i) for i, (a, b) in enumerate((a, b) for a in odd for b in odd)], "k string, i int")
+    for buckets in (5, 60):
+        _check_order(df, ["k"], buckets)
+
+
+def test_one_exchange_of_the_rows(spark, tmp_path):
+    spark.range(5000).selectExpr("id", "id % 7 AS v").write.parquet(str(tmp_path / "t"))
+    df = number_rows(spark.read.parquet(str(tmp_path / "t")), ["id"], unique=True, buckets=20)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1
