@@ -8,7 +8,7 @@ from .operators.checks import (
     orphan_rows,
     orphan_summary,
 )
-from .operators.compare import compare_counts, compare_keys, exists_in, failures, row_counts
+from .operators.compare import compare_counts, compare_keys, exists_in, failures, row_counts, store_counts
 from .operators.conform import align, conform, flag, rejects
 from .operators.mapping import (
     ColumnRule,

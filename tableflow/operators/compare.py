@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.names import folded
+from ..sources.store import Store, read_tables
 from .paging import number_rows
 
 # Marks of the compare result and the tables that hold the tool's own data.
@@ -21,14 +22,29 @@ OWN_TABLES = ("DATA_COMPARE", "MY_MIG_TASK_INFO")
 def row_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """``table_name, row_count`` of all tables in one job; null for an unreadable one.
 
-    A count reads no column: file formats with counts in their footers read just those.
+    No column is read: file formats with counts in their footers read just those. All
+    tables share one scan stage and one exchange of a row per table and task.
     """
-    unreadable = [(name, None) for name, df in tables.items() if df is None]
-    counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-              for name, df in tables.items() if df is not None]
-    if unreadable or not counts:
-        counts.append(spark.createDataFrame(unreadable, "table_name string, row_count bigint"))
-    return reduce(DataFrame.unionByName, counts)
+    names = spark.createDataFrame([(name, df is not None) for name, df in tables.items()],
+                                  "table_name string, readable boolean")
+    marked = [df.select(F.lit(name).alias("table_name")) for name, df in tables.items() if df is not None]
+    if not marked:
+        return names.select("table_name", F.lit(None).cast("bigint").alias("row_count"))
+    counts = reduce(DataFrame.unionByName, marked).groupBy("table_name").agg(F.count("*").alias("_rows"))
+    found = F.when(F.col("readable"), F.coalesce("_rows", F.lit(0)))
+    return names.join(counts, "table_name", "left").select("table_name", found.alias("row_count"))
+
+
+def store_counts(spark: SparkSession, store: Store, names: Sequence[str]) -> DataFrame:
+    """``row_counts`` of tables in a store; a database counts its own."""
+    if store.kind != "jdbc":
+        return row_counts(spark, read_tables(spark, store, names))
+    queries = {name: f"(SELECT COUNT(*) AS row_count FROM {name}) c" for name in names}
+    found = read_tables(spark, store, list(queries.values()))
+    counts = [found[query].select(F.lit(name).alias("table_name"), F.col("row_count").cast("bigint").alias("row_count"))
+              for name, query in queries.items() if found[query] is not None]
+    lost = [(name, None) for name, query in queries.items() if found[query] is None]
+    return reduce(DataFrame.unionByName, counts, spark.createDataFrame(lost, "table_name string, row_count bigint"))
 
 
 def compare_counts(src: DataFrame, tgt: DataFrame, exclude: Sequence[str] = OWN_TABLES, db_type: str = "TABLE",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checks import check_not_null, check_primary_key, check_unique, orphan_summary
-from ..operators.compare import NO_TABLE, compare_counts, row_counts
+from ..operators.compare import NO_TABLE, compare_counts, row_counts, store_counts
 from ..operators.mapping import ROW_WIDTH_LIMIT, column_rules, fit_row_width, map_types, schema_of
 from ..operators.profile import text_widths
 from ..operators.report import object_status, run_summary, transfer_report
@@ -190,8 +190,9 @@ def run(spark: SparkSession, plan: Plan) -> Run:
         views = rewrite_text(views, "text")
 
     log = reduce(DataFrame.unionByName, logs)
-    targets = read_tables(spark, plan.target, sorted(loaded))
-    compared = compare_counts(row_counts(spark, sources), row_counts(spark, targets))
+    names = [t.name for t in tables]
+    ours = store_counts(spark, plan.source, names) if plan.source.kind == "jdbc" else row_counts(spark, sources)
+    compared = compare_counts(ours, store_counts(spark, plan.target, [n for n in names if n in loaded]))
     history = spark.createDataFrame(status, STATUS_DDL)
     return Run(log, transfer_report(log), compared, object_status(history), run_summary(history), mapping, views,
                violations)

@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 import tableflow as tf
+from tableflow.operators import compare
 
 from conftest import rows
 
@@ -85,3 +86,16 @@ def test_count_by_kind(spark):
     df = spark.createDataFrame(
         [("TABLE", "T1"), ("TABLE", "T2"), ("VIEW", "V"), ("TRIGGER", "BIN$abc"), ("TRIGGER", "TR")], "k string, n string")
     assert sorted(rows(tf.count_by_kind(df, "k", "n", "BIN$%"))) == [("TABLE", 2), ("TRIGGER", 1), ("VIEW", 1)]
+
+
+def test_a_database_counts_its_own_tables(spark, monkeypatch):
+    asked = {}
+
+    def answer(_, __, queries):
+        asked.update({q: spark.createDataFrame([(7,)], "row_count int") if "GONE" not in q else None for q in queries})
+        return asked
+
+    monkeypatch.setattr(compare, "read_tables", answer)
+    counts = tf.store_counts(spark, tf.Store("jdbc", "jdbc:x:"), ["T", "GONE"])
+    assert sorted(rows(counts)) == [("GONE", None), ("T", 7)]
+    assert "(SELECT COUNT(*) AS row_count FROM T) c" in asked
