@@ -114,6 +114,15 @@ def map_types(spark, sf):
     return tf.map_types(_catalogue(spark, sf)).select(*MAPPED)
 
 
+def map_types_measured(spark, sf):
+    """Types of real tables, chosen from lengths and ranges read from their data."""
+    tables = {name: _t(spark, sf, name, *columns) for name, columns in MEASURED.items()}
+    profile = reduce(DataFrame.unionByName, [
+        tf.number_widths(df).withColumn("table_name", F.lit(name)) for name, df in tables.items()])
+    return tf.map_types(tf.measured_catalogue(spark, tables), profile=profile).select(
+        "table_name", "column_id", "column_name", "target_type", "max_length", "rule")
+
+
 def map_types_compat(spark, sf):
     return tf.map_types(_catalogue(spark, sf), compat=True).select(*MAPPED)
 
@@ -451,7 +460,7 @@ def valid_only(spark, sf):
 
 _QUERIES = (
     scan_counts, range_scan, name_list, restrict_to_list, load_append, load_truncate, save_csv, column_catalogue,
-    map_types, map_types_compat, clean_defaults, clean_defaults_compat, fit_row_width, text_widths, number_widths,
+    map_types, map_types_measured, map_types_compat, clean_defaults, clean_defaults_compat, fit_row_width, text_widths, number_widths,
     conform_rows, reject_rows, common_columns, load_common_columns, page_plan, page_rows, page_rows_copies, page_slice,
     transfer_log, transfer_status, transfer_report, copy_log, task_elapsed, run_full, run_full_compare,
     run_full_summary, run_listed, run_data, ordered_list, ordered_list_large, key_columns, foreign_keys,

@@ -164,6 +164,18 @@ def _measured() -> str:
     return " UNION ALL ".join(rows)
 
 
+def _measured_types() -> str:
+    largest = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, max(abs({c})) AS largest FROM {t}"
+        for t, columns in MEASURED.items() for c in columns if c not in TEXT_COLUMNS)
+    return f"""
+        SELECT table_name, column_id, column_name, char_length AS max_length,
+          CASE WHEN data_type = 'VARCHAR2' THEN 'varchar' WHEN avg_col_len < 6 AND largest <= 2147483647 THEN 'int'
+            ELSE 'bigint' END AS rule,
+          CASE WHEN data_type = 'VARCHAR2' THEN concat('VARCHAR(', char_length, ')') ELSE upper(rule) END AS target_type
+        FROM ({_measured()}) LEFT JOIN ({largest}) USING (table_name, column_name)"""
+
+
 def _widths() -> str:
     texts = {"customer": ["c_name", "c_mktsegment"], "part": ["p_name", "p_brand", "p_type"],
              "documents": ["text", "lang", "source"]}
@@ -208,6 +220,7 @@ ORACLES = {
     "column_catalogue": _measured(),
     "map_types": f"""SELECT table_name, column_id, column_name, {_rule(_SAFE)}, {_LENGTH},
         {_DEFAULT} AS target_default FROM ({_STATS})""",
+    "map_types_measured": _measured_types(),
     "map_types_compat": f"""
         SELECT table_name, column_id, column_name, CASE WHEN NOT lost THEN target_type END AS target_type,
           CASE WHEN NOT lost THEN spark_type END AS spark_type, CASE WHEN NOT lost THEN max_length END AS max_length,

@@ -30,6 +30,8 @@ def _named(df: DataFrame, columns: Sequence[str] | None, kinds: tuple[type, ...]
 def text_widths(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``column_name, max_length, width`` of the text columns (characters, not bytes)."""
     names = _named(df, columns, (T.StringType, T.VarcharType, T.CharType))
+    if not names:
+        return df.sparkSession.createDataFrame([], "column_name string, max_length int, width int")
     longest = one_row_per_column(df, {
         c: {"max_length": F.coalesce(F.max(F.length(F.col(f"`{c}`"))), F.lit(0))} for c in names})
     return longest.withColumn("width", widened(F.col("max_length")))
@@ -41,6 +43,9 @@ def number_widths(df: DataFrame, columns: Sequence[str] | None = None, digits: i
     Values are compared exactly; doubles as decimals with ``digits`` places.
     """
     names = _named(df, columns, (T.NumericType,))
+    if not names:
+        return df.sparkSession.createDataFrame([], "column_name string, avg_length double, min_value decimal(38,0), "
+                                                   "max_value decimal(38,0), max_scale int")
     kinds = [df.schema[c].dataType for c in names]
     places = max([k.scale if isinstance(k, T.DecimalType) else 0 if isinstance(k, T.IntegralType) else digits
                   for k in kinds], default=0)

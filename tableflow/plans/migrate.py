@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from ..operators.checks import check_not_null, check_primary_key, check_unique, orphan_summary
 from ..operators.compare import NO_TABLE, compare_counts, row_counts, store_counts
 from ..operators.mapping import ROW_WIDTH_LIMIT, column_rules, fit_row_width, map_types, schema_of
-from ..operators.profile import text_widths
+from ..operators.profile import number_widths, text_widths
 from ..operators.report import object_status, run_summary, transfer_report
 from ..operators.text import rewrite_text, valid_only
 from ..operators.transfer import copy_table, load_common_columns, log_row, now, transfer
 from ..session import materialise
-from ..sources.catalogue import catalogue_of
+from ..sources.catalogue import catalogue_of, measured_catalogue
 from ..sources.names import folded
 from ..sources.store import Store, read_table, read_tables, replace
 
@@ -51,6 +51,8 @@ class TablePlan:
 
 @dataclass(frozen=True)
 class Plan:
+    """What to move. ``measure`` reads lengths and number ranges from the data before mapping."""
+
     source: Store
     target: Store
     tables: Sequence[TablePlan]
@@ -60,6 +62,7 @@ class Plan:
     page_size: int = 10_000
     parallel: int = 2
     compat: bool = False
+    measure: bool = False
     reject_store: Store | None = None
     views: DataFrame | None = None
     objects: DataFrame | None = None
@@ -89,6 +92,12 @@ class Run:
     violations: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
+def _profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Range and scale of every numeric column, one pass per table."""
+    return reduce(DataFrame.unionByName, [
+        number_widths(df).withColumn("table_name", F.lit(name)) for name, df in tables.items()])
+
+
 def _fitted(mapping: DataFrame, readable: Mapping[str, DataFrame]) -> tuple[DataFrame, set[str]]:
     """Mapping whose too wide tables have text lengths taken from their data, and those tables."""
     lengths = mapping.groupBy(folded("table_name").alias("name")).agg(F.sum("char_length").alias("row"))
@@ -152,8 +161,12 @@ def run(spark: SparkSession, plan: Plan) -> Run:
     readable = {name: df for name, df in sources.items() if df is not None}
     mapping, narrowed = None, set()
     if plan.mode != DATA:
-        described = plan.catalogue if plan.catalogue is not None else catalogue_of(spark, readable)
-        mapping, narrowed = _fitted(map_types(described, plan.compat).cache(), readable)
+        described, profile = plan.catalogue, None
+        if described is None and plan.measure and readable:
+            described, profile = measured_catalogue(spark, readable), _profile(readable)
+        elif described is None:
+            described = catalogue_of(spark, readable)
+        mapping, narrowed = _fitted(map_types(described, plan.compat, profile).cache(), readable)
     status: list[tuple] = []
 
     def load(table: TablePlan) -> DataFrame:

@@ -67,6 +67,8 @@ def measured_catalogue(spark: SparkSession, tables: Mapping[str, DataFrame]) ->
     measured = []
     for table, df in tables.items():
         scalars = [c for c in df.schema if not isinstance(c.dataType, (T.ArrayType, T.MapType, T.StructType))]
+        if not scalars:
+            continue
         stats = df.select(*[
             F.struct(
                 F.max(F.length(F.col(f"`{c.name}`").cast("string"))).cast("int").alias("char_length")
@@ -80,7 +82,8 @@ def measured_catalogue(spark: SparkSession, tables: Mapping[str, DataFrame]) ->
         ]))
         measured.append(stats.select(pairs.alias("m")).select(
             F.lit(table).alias("table_name"), "m.column_name", "m.s.char_length", "m.s.avg_col_len"))
-    found = reduce(DataFrame.unionByName, measured)
+    nothing = spark.createDataFrame([], "table_name string, column_name string, char_length int, avg_col_len int")
+    found = reduce(DataFrame.unionByName, measured) if measured else nothing
     plain = catalogue_of(spark, tables).drop("char_length", "avg_col_len")
     order = [column.split()[0] for column in CATALOGUE_DDL.split(", ")]
     return plain.join(found, ["table_name", "column_name"], "left").select(*order)

@@ -84,3 +84,12 @@ def test_wide_tables_are_narrowed(spark, stores):
     assert rows(out.status.where("name = 'parent'").select("status", "message")) == [("end", "narrowed")]
     made = tf.read_table(spark, target, "parent")
     assert made.count() == 2 and made.schema["name"].metadata == {"comment": "the name"}
+
+
+def test_measured_types(spark, stores):
+    source, target = stores
+    tf.replace(spark.createDataFrame([(1, 3_000_000_000, 0.5, "x")], "a bigint, b bigint, c double, d string"), source, "m")
+    tf.replace(spark.createDataFrame([("x",)], "d string"), source, "n")
+    out = tf.run(spark, tf.Plan(source, target, [tf.TablePlan("m"), tf.TablePlan("n")], measure=True))
+    assert tf.read_table(spark, target, "m").dtypes == [("a", "int"), ("b", "bigint"), ("c", "double"), ("d", "string")]
+    assert {r.run_detail for r in out.report.collect()} == {"SUCCESS"}
