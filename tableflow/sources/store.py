@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote, urlparse
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MAX_CONNECTIONS = 64
+
 
 @dataclass(frozen=True)
 class Store:
@@ -57,6 +60,18 @@ def jdbc_read_options(store: Store, table: str, types: Mapping[str, str] | None
     return options
 
 
+def jdbc_write_options(store: Store, table: str, batch_rows: int = 10_000,
+                       extra: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Options of a JDBC write.
+
+    At most ``MAX_CONNECTIONS`` tasks write at a time, however many partitions there are;
+    ``numPartitions`` among the options of the store sets another limit.
+    """
+    options = {"url": store.location, "dbtable": table, "batchsize": str(batch_rows),
+               "numPartitions": str(MAX_CONNECTIONS)}
+    return options | dict(store.options) | dict(extra or {})
+
+
 def _projected(df: DataFrame, columns: Sequence[str] | None, types: Mapping[str, str] | None) -> DataFrame:
     if types:
         df = df.withColumns({name: F.col(name).cast(ddl) for name, ddl in types.items()})
@@ -139,8 +154,7 @@ def read_pages(spark: SparkSession, store: Store, name: str, predicates: Sequenc
 def _write(df: DataFrame, store: Store, name: str, mode: str, batch_rows: int,
            extra: Mapping[str, str] | None = None) -> None:
     if store.kind == "jdbc":
-        options = {"url": store.location, "dbtable": name, "batchsize": str(batch_rows)}
-        df.write.format("jdbc").options(**options | dict(store.options) | dict(extra or {})).mode(mode).save()
+        df.write.format("jdbc").options(**jdbc_write_options(store, name, batch_rows, extra)).mode(mode).save()
     elif store.kind == "tables":
         keep = mode == "append" or (extra or {}).get("truncate") == "true"
         if keep and df.sparkSession.catalog.tableExists(store.table(name)):
@@ -148,9 +162,17 @@ def _write(df: DataFrame, store: Store, name: str, mode: str, batch_rows: int,
         else:
             df.write.format(store.fmt).mode(mode).saveAsTable(store.table(name))
     else:
+        if mode == "overwrite" and _reads_from(df, store.path(name)):
+            raise ValueError(f"{store.path(name)} cannot be overwritten while it is read")
         df.write.format(store.fmt).options(**store.options).mode(mode).save(store.path(name))
 
 
+def _reads_from(df: DataFrame, folder: str) -> bool:
+    """Whether the rows come from files in ``folder``, which an overwrite would remove first."""
+    inside = unquote(urlparse(folder).path).rstrip("/") + "/"
+    return any(unquote(urlparse(file).path).startswith(inside) for file in df.inputFiles())
+
+
 def append(df: DataFrame, store: Store, name: str, batch_rows: int = 10_000) -> None:
     """Add rows to the table."""
     _write(df, store, name, "append", batch_rows)

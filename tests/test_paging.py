@@ -48,6 +48,13 @@ def test_copies_of_one_row_are_a_third(spark):
     assert "explode" in plan  # the copies are generated from a count
 
 
+def test_copies_with_null_fields(spark):
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 40).alias("k"), F.when(F.col("id") % 3 > 0, F.lit("v")).alias("s"))
+    _check_order(df, ["k"], 24)
+    _check_order(df, ["s", "k"], 24)
+
+
 def test_nulls_first_and_mixed_types(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 4 > 0, F.col("id") % 50).alias("a"),

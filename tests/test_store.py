@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 import tableflow as tf
 from tableflow.operators.mapping import ColumnRule
-from tableflow.sources.store import jdbc_read_options, key_cuts, range_predicates, target_schema
+from tableflow.sources.store import jdbc_read_options, jdbc_write_options, key_cuts, range_predicates, target_schema
 
 from conftest import rows
 
@@ -47,6 +47,12 @@ def test_jdbc_options():
         "customSchema": "`N` decimal(38,10), `C` string"}
 
 
+def test_jdbc_write_options():
+    store = tf.Store("jdbc", "jdbc:x://h/db", options={"numPartitions": "8"})
+    assert jdbc_write_options(store, "T", 500, {"truncate": "true"}) == {
+        "url": "jdbc:x://h/db", "dbtable": "T", "batchsize": "500", "numPartitions": "8", "truncate": "true"}
+
+
 @pytest.mark.parametrize("cuts", [[], [10.0], [5.0, 7.5, 60.0]])
 def test_range_predicates_are_a_partition(spark, cuts):
     df = spark.range(100).select(F.when(F.col("id") % 9 > 0, F.col("id")).alias("k"))
@@ -111,3 +117,21 @@ def test_shared_folder_comes_from_the_session(spark):
     assert tf.fresh_path(spark, "x") != tf.fresh_path(spark, "x")
     df = tf.materialise(spark.range(5))
     assert df.count() == 5 and "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_table_is_not_overwritten_from_itself(spark, store):
+    tf.replace(spark.range(5), store, "t")
+    tf.replace(spark.range(5), store, "t2")
+    t = tf.read_table(spark, store, "t")
+    with pytest.raises(ValueError):
+        tf.truncate_load(t.where("id > 2"), store, "t")
+    assert t.count() == 5
+    tf.truncate_load(t.where("id > 2"), store, "t2")
+    assert tf.read_table(spark, store, "t2").count() == 2
+
+
+def test_empty_tables_are_logged(spark, store):
+    empty = spark.createDataFrame([], "a int, b string")
+    rules = [ColumnRule("a", "bigint"), ColumnRule("b", "string", max_length=3)]
+    for log in (tf.copy_table(empty, store, "x"), tf.copy_table(empty, store, "y", rules=rules)):
+        assert (log.first().source_table_rows, log.first().target_table_rows) == (0, 0)
