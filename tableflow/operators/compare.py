@@ -16,7 +16,9 @@ from .paging import number_rows
 NO_TABLE = "TABLE NOT EXIST"
 NO_VIEW = "NOT EXISTS VIEW"
 NO_ROWS = -1
-OWN_TABLES = ("DATA_COMPARE", "MY_MIG_TASK_INFO")
+COMPARE_TABLE = "DATA_COMPARE"
+TASK_TABLE = "MY_MIG_TASK_INFO"
+OWN_TABLES = (COMPARE_TABLE, TASK_TABLE)
 
 
 def row_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:

@@ -117,10 +117,17 @@ def column_rules(mapped: DataFrame, table: str) -> list[ColumnRule]:
             for r in rows]
 
 
-def schema_of(columns: Sequence[ColumnRule]) -> T.StructType:
-    """Target schema with nullability and comments; an unmapped type is kept as text."""
+def schema_of(columns: Sequence[ColumnRule], source: T.StructType | None = None) -> T.StructType:
+    """Target schema with nullability and comments.
+
+    An unmapped column keeps its type in ``source``, or is text where that is not known.
+    """
+    known = {f.name.upper(): f.dataType for f in source or ()}
+
+    def kind(c: ColumnRule) -> T.DataType:
+        return T.DataType.fromDDL(c.spark_type) if c.spark_type else known.get(c.name.upper(), T.StringType())
+
     return T.StructType([
-        T.StructField(c.name, T.DataType.fromDDL(c.spark_type or "string"), c.nullable,
-                      {"comment": c.comment.replace('"', "")} if c.comment else None)
+        T.StructField(c.name, kind(c), c.nullable, {"comment": c.comment.replace('"', "")} if c.comment else None)
         for c in columns
     ])

@@ -11,17 +11,17 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.checks import check_not_null, check_primary_key, check_unique, orphan_summary
-from ..operators.compare import NO_TABLE, compare_counts, row_counts, store_counts
+from ..operators.checks import assign_ids, check_not_null, check_primary_key, check_unique, orphan_summary
+from ..operators.compare import COMPARE_TABLE, NO_TABLE, TASK_TABLE, compare_counts, row_counts, store_counts
 from ..operators.mapping import ROW_WIDTH_LIMIT, column_rules, fit_row_width, map_types, schema_of
 from ..operators.profile import number_widths, text_widths
-from ..operators.report import object_status, run_summary, transfer_report
+from ..operators.report import elapsed, object_status, run_summary, transfer_report
 from ..operators.text import rewrite_text, valid_only
 from ..operators.transfer import copy_table, load_common_columns, log_row, now, transfer
 from ..session import materialise
 from ..sources.catalogue import catalogue_of, measured_catalogue
 from ..sources.names import folded
-from ..sources.store import Store, read_table, read_tables, replace
+from ..sources.store import Store, read_table, read_tables, replace, save_log
 
 FULL, LISTED, DATA, METADATA = "full", "listed", "data", "metadata"
 MODES = (FULL, LISTED, DATA, METADATA)
@@ -39,19 +39,28 @@ class Reference:
 
 @dataclass(frozen=True)
 class TablePlan:
-    """What is known about a table; ``order`` is needed for a log by page."""
+    """What is known about a table.
+
+    ``order`` is needed for a log by page. Rows without a value in ``identity`` get the
+    next numbers, in that order.
+    """
 
     name: str
     order: Sequence[str] = ()
     primary_key: Sequence[str] = ()
     unique_keys: Sequence[Sequence[str]] = ()
     not_null: Sequence[str] = ()
+    identity: str | None = None
     references: Sequence[Reference] = ()
 
 
 @dataclass(frozen=True)
 class Plan:
-    """What to move. ``measure`` reads lengths and number ranges from the data before mapping."""
+    """What to move.
+
+    ``measure`` reads lengths and number ranges from the data before mapping. Rejected rows
+    go to ``reject_store``, the log and the compare result to ``log_store``.
+    """
 
     source: Store
     target: Store
@@ -64,6 +73,7 @@ class Plan:
     compat: bool = False
     measure: bool = False
     reject_store: Store | None = None
+    log_store: Store | None = None
     views: DataFrame | None = None
     objects: DataFrame | None = None
 
@@ -123,13 +133,15 @@ def _load(spark: SparkSession, plan: Plan, table: TablePlan, source: DataFrame,
         return load_common_columns(source, plan.target, table.name)
     rules = column_rules(mapping, table.name)
     if plan.mode == METADATA:
-        replace(spark.createDataFrame([], schema_of(rules)), plan.target, table.name)
+        replace(spark.createDataFrame([], schema_of(rules, source.schema)), plan.target, table.name)
         return log_row(spark, table.name, 0, 0, now())
+    if plan.source.kind == "jdbc" and (table.order or table.identity):
+        # Numbering reads its input several times; a live table is read once and cannot change in between.
+        source = materialise(source, table.name)
+    if table.identity:
+        source = assign_ids(source, table.identity, table.order or source.columns)
     if table.order:
         unique = bool(table.primary_key) and set(table.primary_key) <= set(table.order)
-        if plan.source.kind == "jdbc":
-            # Paging reads its input several times; a live table is read once and cannot change in between.
-            source = materialise(source, table.name)
         return transfer(source, plan.target, table.name, table.order, plan.page_size, unique, rules=rules,
                         reject_store=plan.reject_store)
     return copy_table(source, plan.target, table.name, rules=rules, reject_store=plan.reject_store)
@@ -168,6 +180,9 @@ def run(spark: SparkSession, plan: Plan) -> Run:
             described = catalogue_of(spark, readable)
         mapping, narrowed = _fitted(map_types(described, plan.compat, profile).cache(), readable)
     status: list[tuple] = []
+    if mapping is not None:
+        kept = mapping.where("rule = 'unmapped'").select("table_name", "column_name", "data_type").collect()
+        status += [("COLUMN", f"{r.table_name}.{r.column_name}", "unmapped", r.data_type, now()) for r in kept]
 
     def load(table: TablePlan) -> DataFrame:
         status.append(("TABLE", table.name, "running", "", now()))
@@ -195,6 +210,8 @@ def run(spark: SparkSession, plan: Plan) -> Run:
                 status.append((kind, name, "failed" if failed else "end", "" if bad is not None else NO_TABLE, now()))
                 if failed and bad is not None:
                     violations[name] = bad
+            if table.identity:
+                status.append(("AUTO INCREMENT COL", f"{table.name}.{table.identity}", "end", "", now()))
 
     views = None
     if plan.mode in (FULL, METADATA) and plan.views is not None:
@@ -207,5 +224,8 @@ def run(spark: SparkSession, plan: Plan) -> Run:
     ours = store_counts(spark, plan.source, names) if plan.source.kind == "jdbc" else row_counts(spark, sources)
     compared = compare_counts(ours, store_counts(spark, plan.target, [n for n in names if n in loaded]))
     history = spark.createDataFrame(status, STATUS_DDL)
+    if plan.log_store is not None:
+        save_log(elapsed(log), plan.log_store, TASK_TABLE)
+        save_log(compared.withColumn("compare_time", F.lit(now()).cast("timestamp_ntz")), plan.log_store, COMPARE_TABLE)
     return Run(log, transfer_report(log), compared, object_status(history), run_summary(history), mapping, views,
                violations)

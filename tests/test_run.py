@@ -93,3 +93,23 @@ def test_measured_types(spark, stores):
     out = tf.run(spark, tf.Plan(source, target, [tf.TablePlan("m"), tf.TablePlan("n")], measure=True))
     assert tf.read_table(spark, target, "m").dtypes == [("a", "int"), ("b", "bigint"), ("c", "double"), ("d", "string")]
     assert {r.run_detail for r in out.report.collect()} == {"SUCCESS"}
+
+
+def test_identity_log_and_unmapped_columns(spark, stores, tmp_path):
+    source, target = stores
+    tf.replace(spark.createDataFrame([(7, "a", [1.0]), (None, "c", None), (None, "b", [2.0])],
+                                     "id bigint, name string, v array<double>"), source, "x")
+    logs = tf.parquet_store(str(tmp_path / "logs"))
+    table = tf.TablePlan("x", order=["name"], primary_key=["id"], identity="id")
+    out = tf.run(spark, tf.Plan(source, target, [table], log_store=logs))
+    assert sorted(rows(tf.read_table(spark, target, "x", ["id", "name", "v"])), key=str) == [
+        (7, "a", [1.0]), (8, "b", [2.0]), (9, "c", None)]
+    assert not out.violations
+    assert rows(out.status.where("kind = 'COLUMN'").select("name", "status", "message")) == [
+        ("x.v", "unmapped", "ARRAY<DOUBLE>")]
+    assert rows(out.summary.where("kind = 'AUTO INCREMENT COL'")) == [("AUTO INCREMENT COL", 1, 1, 0)]
+    assert rows(tf.read_table(spark, logs, "MY_MIG_TASK_INFO", ["table_name", "target_table_rows"])) == [("x", 3)]
+    assert rows(tf.read_table(spark, logs, "DATA_COMPARE", ["source_table_name", "is_success"])) == [("X", "Y")]
+    empty = tf.run(spark, tf.Plan(source, target, [table], mode="metadata"))
+    assert tf.read_table(spark, target, "x").dtypes == [("id", "bigint"), ("name", "string"), ("v", "array<double>")]
+    assert empty.report.first().run_detail == "SUCCESS"
