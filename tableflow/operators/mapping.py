@@ -117,6 +117,14 @@ def column_rules(mapped: DataFrame, table: str) -> list[ColumnRule]:
             for r in rows]
 
 
+def exact_types(columns: Sequence[ColumnRule]) -> dict[str, str]:
+    """Types to read a database table with, so that no value is rounded or cut on the way.
+
+    Decimals and bytes are read as such; integers are left to the driver and checked later.
+    """
+    return {c.name: c.spark_type for c in columns if (c.spark_type or "").startswith(("decimal", "binary"))}
+
+
 def schema_of(columns: Sequence[ColumnRule], source: T.StructType | None = None) -> T.StructType:
     """Target schema with nullability and comments.
 

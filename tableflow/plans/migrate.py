@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.checks import assign_ids, check_not_null, check_primary_key, check_unique, orphan_summary
 from ..operators.compare import COMPARE_TABLE, NO_TABLE, TASK_TABLE, compare_counts, row_counts, store_counts
-from ..operators.mapping import ROW_WIDTH_LIMIT, column_rules, fit_row_width, map_types, schema_of
+from ..operators.mapping import ROW_WIDTH_LIMIT, column_rules, exact_types, fit_row_width, map_types, schema_of
 from ..operators.profile import number_widths, text_widths
 from ..operators.report import elapsed, object_status, run_summary, transfer_report
 from ..operators.text import rewrite_text, valid_only
@@ -66,7 +66,7 @@ class Plan:
     target: Store
     tables: Sequence[TablePlan]
     mode: str = FULL
-    names: Sequence[str] | None = None
+    names: Sequence[str] | DataFrame | None = None
     catalogue: DataFrame | None = None
     page_size: int = 10_000
     parallel: int = 2
@@ -80,12 +80,15 @@ class Plan:
     def chosen(self) -> list[TablePlan]:
         if self.mode not in MODES:
             raise ValueError(f"mode is one of {', '.join(MODES)}")
-        if self.mode == LISTED and not self.names:
+        names = self.names
+        if isinstance(names, DataFrame):  # at most one name per table of the catalogue
+            names = [row["name"] for row in names.collect()]
+        if self.mode == LISTED and not names:
             raise ValueError("the listed mode needs names")
-        if self.mode in (FULL, METADATA) and self.names:
+        if self.mode in (FULL, METADATA) and names:
             raise ValueError(f"names cannot be combined with the {self.mode} mode")
-        wanted = None if not self.names else {n.strip().split(",")[0].strip().upper() for n in self.names} - {""}
-        return [t for t in self.tables if wanted is None or t.name.upper() in wanted]
+        wanted = {n.split(",")[0].strip().upper() for n in names or ()} - {""}
+        return [t for t in self.tables if not names or t.name.upper() in wanted]
 
 
 @dataclass
@@ -135,9 +138,11 @@ def _load(spark: SparkSession, plan: Plan, table: TablePlan, source: DataFrame,
     if plan.mode == METADATA:
         replace(spark.createDataFrame([], schema_of(rules, source.schema)), plan.target, table.name)
         return log_row(spark, table.name, 0, 0, now())
-    if plan.source.kind == "jdbc" and (table.order or table.identity):
-        # Numbering reads its input several times; a live table is read once and cannot change in between.
-        source = materialise(source, table.name)
+    if plan.source.kind == "jdbc":
+        source = read_table(spark, plan.source, table.name, types=exact_types(rules))
+        if table.order or table.identity:
+            # Numbering reads its input several times; a live table is read once and cannot change in between.
+            source = materialise(source, table.name)
     if table.identity:
         source = assign_ids(source, table.identity, table.order or source.columns)
     if table.order:

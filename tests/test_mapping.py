@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import tableflow as tf
-from tableflow.operators.mapping import ROW_WIDTH_LIMIT
+from tableflow.operators.mapping import ROW_WIDTH_LIMIT, exact_types
 from tableflow.sources.catalogue import CATALOGUE_DDL
 
 from conftest import rows
@@ -156,3 +156,8 @@ def test_measured_catalogue(spark):
     assert (found["s"].char_length, found["s"].avg_col_len) == (2, 2)
     assert (found["n"].char_length, found["n"].avg_col_len) == (None, 2)
     assert (found["a"].data_type, found["a"].avg_col_len) == ("ARRAY<INT>", None)
+
+
+def test_exact_types(spark):
+    mapped = tf.map_types(_catalogue(spark, [CASES[0], CASES[14], CASES[17], ("BLOB", 0, None, None, 9, None)]))
+    assert exact_types(tf.column_rules(mapped, "T")) == {"C1": "decimal(5,2)", "C3": "binary"}

@@ -45,6 +45,8 @@ def test_missing_table_does_not_stop_the_run(spark, stores):
 def test_listed(spark, stores):
     out = tf.run(spark, tf.Plan(*stores, TABLES, mode="listed", names=[" Child,x", ""]))
     assert [r.table_name for r in out.report.collect()] == ["child"]
+    names = tf.name_list(spark.createDataFrame([("child,x",), (" ",)], "value string"))
+    assert [t.name for t in tf.Plan(*stores, TABLES, mode="listed", names=names).chosen()] == ["child"]
     status = {r.name: (r.status, r.message) for r in out.status.collect()}
     assert status["child parent_id"] == ("failed", "TABLE NOT EXIST")
 
