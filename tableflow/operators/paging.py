@@ -15,7 +15,7 @@ never sorted or held together: they are counted, and their numbers are generated
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -46,7 +46,8 @@ class _Layout:
     order: list[str]
     counts: dict[int, tuple[int, int]]  # bucket -> (rows, copies of its first key)
     key: Column | None = None  # what the cuts are compared with
-    cuts: Column | None = None
+    cuts: Sequence[str] = ()
+    literal: Callable[[Sequence[str]], Column] | None = None
 
     def starts(self) -> list[int]:
         """Rows before each bucket."""
@@ -56,26 +57,27 @@ class _Layout:
     def between(self, low: int, high: int) -> Column:
         """Rows of buckets ``low..high`` as a range of keys, which a scan can use to skip data."""
         inside = F.lit(True)
-        if self.cuts is not None and low > 0:
-            inside = inside & (self.key >= F.get(self.cuts, F.lit(low - 1)))
-        if self.cuts is not None and high < max(self.counts):
-            below = self.key < F.get(self.cuts, F.lit(high))
+        if self.cuts and low > 0:
+            inside = inside & (self.key >= F.get(self.literal(self.cuts[low - 1:low]), F.lit(0)))
+        if self.cuts and high < len(self.cuts):
+            below = self.key < F.get(self.literal(self.cuts[high:high + 1]), F.lit(0))
             inside = inside & (below if low > 0 else below | self.key.isNull())
         return inside
 
 
-def _add_bucket(df: DataFrame, key: Column, cuts: Column, count: int) -> DataFrame:
+def _add_bucket(df: DataFrame, key: Column, cuts: Sequence[str], literal: Callable[[Sequence[str]], Column]) -> DataFrame:
     """Add ``_bucket``, how many of the ascending ``cuts`` are at or below ``key``.
 
-    The search halves the range once per projection, so it stays compiled.
+    The search halves the range once per projection, so it stays compiled, and a
+    projection holds only the cuts its step can meet: every other one of those left.
     """
     df = df.withColumns({"_key": key, "_b0": F.lit(0)})
-    steps = [1 << k for k in reversed(range(count.bit_length()))]
-    for i, step in enumerate(steps):
-        found, reach = F.col(f"_b{i}"), F.col(f"_b{i}") + step
-        passed = (reach <= count) & (F.get(cuts, reach - 1) <= F.col("_key"))
-        df = df.withColumn(f"_b{i + 1}", F.when(passed, reach).otherwise(found)).drop(f"_b{i}")
-    return df.withColumnRenamed(f"_b{len(steps)}", "_bucket").drop("_key")
+    bits = len(cuts).bit_length()
+    for i in range(bits):
+        step, found = 1 << (bits - 1 - i), F.col(f"_b{i}")
+        met = F.get(literal(cuts[step - 1::2 * step]), F.shiftright(found, bits - i))
+        df = df.withColumn(f"_b{i + 1}", F.when(met <= F.col("_key"), found + step).otherwise(found)).drop(f"_b{i}")
+    return df.withColumnRenamed(f"_b{bits}", "_bucket").drop("_key")
 
 
 def _layout(df: DataFrame, keys: Sequence[str], unique: bool, buckets: int | None) -> _Layout:
@@ -107,7 +109,9 @@ def _layout(df: DataFrame, keys: Sequence[str], unique: bool, buckets: int | Non
         F.sequence(F.lit(1).cast("bigint"), F.lit(wanted - 1).cast("bigint")),
         lambda i: F.get("s", F.floor(i * F.size("s") / wanted).cast("int")),
     )
-    drawn = ordered.select(cut.alias("c"))
+    # Cuts are kept as JSON. They are what is left after writing and reading it, in order.
+    array_type = T.ArrayType(picked.schema["k"].dataType)
+    drawn = ordered.select(F.sort_array(F.from_json(F.to_json(cut, _JSON), array_type, _JSON)).alias("c"))
     prefixes = {f"p{n}": lead[:n] for n in range(1, len(lead) + 1)}
 
     def shortened(columns: list[str]) -> Column:
@@ -117,33 +121,36 @@ def _layout(df: DataFrame, keys: Sequence[str], unique: bool, buckets: int | Non
     def first_of_run(array: str) -> Column:
         return F.filter(array, lambda x, i: (i == 0) | (F.get(array, i - 1) != x))
 
-    whole = f"p{len(lead)}"
     drawn = drawn.select(
         F.filter("c", lambda x, i: (i > 0) & (F.get("c", i - 1) == x)).alias("hot"),
         *[shortened(p).alias(name) for name, p in prefixes.items()])
     drawn = drawn.select(*[first_of_run(name).alias(name) for name in ("hot", *prefixes)])
-    chosen = drawn.select(*[F.struct(F.size(name).alias("n"), F.to_json(name, _JSON).alias("json")).alias(name)
-                            for name in ("hot", *prefixes)]).first()
-    copied = not unique and chosen["hot"]["n"] > 0
+    chosen = drawn.select(*[F.transform(name, lambda x: F.to_json(x, _JSON)).alias(name)
+                            for name in ("hot", *prefixes)]).first().asDict()
+    whole = f"p{len(lead)}"
+    copied = not unique and len(chosen["hot"]) > 0
     # The fewest leading keys that tell the cuts apart as well as all of them do.
-    best = whole if copied else next(name for name in prefixes if chosen[name]["n"] == chosen[whole]["n"])
+    best = whole if copied else next(name for name in prefixes if len(chosen[name]) == len(chosen[whole]))
+    parts, cuts = prefixes[best], chosen[best]
+    scalar = len(parts) == 1 and not copied
+
+    key = F.struct(*[F.col(f"`{c}`") for c in parts])
+    key_type = keyed.select(key.alias("k")).schema["k"].dataType
+    if scalar:
+        key = F.col(f"`{parts[0]}`")
 
-    def literal(name: str, columns: list[str]) -> Column:
-        key_type = keyed.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("k")).schema["k"].dataType
-        return F.sort_array(F.from_json(F.lit(chosen[name]["json"]), T.ArrayType(key_type), _JSON))
+    def literal(texts: Sequence[str]) -> Column:
+        values = F.from_json(F.lit("[" + ",".join(texts) + "]"), T.ArrayType(key_type), _JSON)
+        return values[parts[0]] if scalar else values
 
-    parts, count = prefixes[best], chosen[best]["n"]
-    key, cuts = F.struct(*[F.col(f"`{c}`") for c in parts]), literal(best, parts)
-    if len(parts) == 1 and not copied:
-        cuts, key = cuts[parts[0]], F.col(f"`{parts[0]}`")
     copy = F.lit(False)
     if copied:
-        hot = literal("hot", lead)
-        copy = full_key.isin(*[F.get(hot, F.lit(i)) for i in range(chosen["hot"]["n"])])
-    keyed = _add_bucket(keyed, key, cuts, count).withColumn("_copy", copy)
+        copy = full_key.isin(*[F.get(literal([text]), F.lit(0)) for text in chosen["hot"]])
+    keyed = _add_bucket(keyed, key, cuts, literal).withColumn("_copy", copy)
     per_bucket = keyed.groupBy("_bucket").agg(
         F.count("*").alias("rows"), F.count_if("_copy").alias("copies")).collect()
-    return _Layout(keyed, order, {r["_bucket"]: (r["rows"], r["copies"]) for r in per_bucket}, key, cuts)
+    return _Layout(keyed, order, {r["_bucket"]: (r["rows"], r["copies"]) for r in per_bucket}, key, cuts,
+                   literal)
 
 
 def expand_counts(df: DataFrame, count: str, number: str) -> DataFrame:
