@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..joins import divisible_join
 from .paging import number_rows
 from .profile import one_row_per_column
 
@@ -31,8 +32,9 @@ def _counted(df: DataFrame, keys: Sequence[str], wide_keys: bool) -> DataFrame:
     """
     if wide_keys:
         hashed = df.select(*_cols(keys), F.xxhash64(*_cols(keys)).alias("_hash"))
-        twice = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_hash")
-        df = hashed.join(twice, "_hash", "left_semi")
+        twice = (hashed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1")
+                 .select(F.col("_hash").alias("_twice")))
+        df = divisible_join(hashed, twice, [hashed["_hash"]], [twice["_twice"]], "left_semi")
     return df.groupBy(*_cols(keys)).agg(F.count("*").alias("row_count")).where("row_count > 1")
 
 

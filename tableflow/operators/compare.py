@@ -76,10 +76,14 @@ def compare_counts(src: DataFrame, tgt: DataFrame, exclude: Sequence[str] = OWN_
 
 def compare_keys(src: DataFrame, tgt: DataFrame, keys: Sequence[str], tgt_keys: Sequence[str] | None = None,
                  missing: str = NO_VIEW) -> DataFrame:
-    """Which keys of ``src`` exist in ``tgt``, without case: ``target_key`` or the mark, ``Y``/``N``."""
+    """Which keys of ``src`` exist in ``tgt``, without case: ``target_key`` or the mark, ``Y``/``N``.
+
+    One row per key: rows of either side that share a key are the same to this question.
+    """
     ours = [F.upper(F.col(f"`{k}`").cast("string")).alias(f"_s{i}") for i, k in enumerate(keys)]
     theirs = [F.upper(F.col(f"`{k}`").cast("string")).alias(f"_t{i}") for i, k in enumerate(tgt_keys or keys)]
-    left, right = src.select(*ours), tgt.select(*theirs).distinct().withColumn("_found", F.lit(True))
+    left = src.select(*ours).distinct()
+    right = tgt.select(*theirs).distinct().withColumn("_found", F.lit(True))
     same = F.lit(True)
     for i in range(len(keys)):
         same = same & (left[f"_s{i}"] == right[f"_t{i}"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import types as rules
+from ..joins import divisible_join
 from ..sources.names import folded
 
 ROW_WIDTH_LIMIT = 65_535
@@ -64,8 +65,9 @@ def map_types(catalogue: DataFrame, compat: bool = False, profile: DataFrame | N
     }).drop("_kind", "digits", "min_value", "max_value", "max_scale")
     if not compat:
         return mapped
-    lost_tables = mapped.where(rules.breaks_table()).select("table_name").distinct().withColumn("_lost", F.lit(True))
-    mapped = mapped.join(lost_tables, "table_name", "left")
+    lost_tables = (mapped.where(rules.breaks_table()).select(F.col("table_name").alias("_table")).distinct()
+                   .withColumn("_lost", F.lit(True)))
+    mapped = divisible_join(mapped, lost_tables, [mapped["table_name"]], [lost_tables["_table"]], "left").drop("_table")
     lost = F.coalesce("_lost", F.lit(False))
     for name in ("target_type", "spark_type", "max_length", "target_default"):
         mapped = mapped.withColumn(name, F.when(~lost, F.col(name)))
@@ -87,10 +89,11 @@ def fit_row_width(catalogue: DataFrame, widths: DataFrame, limit: int = ROW_WIDT
     text = F.col("data_type").isin(*rules.VARIABLE_TEXT)
     declared = F.coalesce("char_length", F.lit(0))
     wide = (catalogue.groupBy("table_name").agg(F.sum(declared.cast("bigint")).alias("_row"))
-            .where(F.col("_row") > limit).select("table_name", F.lit(True).alias("_wide")))
+            .where(F.col("_row") > limit).select(F.col("table_name").alias("_table"), F.lit(True).alias("_wide")))
     found = widths.select("table_name", "column_name", F.col("width").alias("_width"))
     narrowed = F.coalesce("_wide", F.lit(False)) & text
-    return (catalogue.join(wide, "table_name", "left").join(found, ["table_name", "column_name"], "left")
+    marked = divisible_join(catalogue, wide, [catalogue["table_name"]], [wide["_table"]], "left").drop("_table")
+    return (marked.join(found, ["table_name", "column_name"], "left")
             .withColumns({"narrowed": narrowed,
                           "fitted_length": F.when(narrowed, F.coalesce("_width", F.lit(EMPTY_WIDTH)))
                           .otherwise(F.col("char_length"))})

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import between, normalised
+from ..joins import divisible_join
 from ..sources.names import restrict_to_list
 
 # Index type left out, and the trigger type that fills an identity column.
@@ -76,13 +77,13 @@ def foreign_keys(constraints: DataFrame, constraint_columns: DataFrame) -> DataF
     parents = constraints.select(F.col("constraint_name").alias("r_constraint_name"),
                                  F.col("table_name").alias("parent_table"))
     child_lists = lists.withColumnRenamed("columns", "child_columns")
-    parent_lists = lists.select(F.col("constraint_name").alias("r_constraint_name"),
-                                F.col("columns").alias("parent_columns"))
-    return (constraints.where("constraint_type = 'R'")
-            .select("constraint_name", F.col("table_name").alias("child_table"), "r_constraint_name")
-            .join(child_lists, "constraint_name", "left")
-            .join(parents, "r_constraint_name", "left")
-            .join(parent_lists, "r_constraint_name", "left")
+    parent_lists = lists.select(F.col("constraint_name").alias("_parent"), F.col("columns").alias("parent_columns"))
+    named = (constraints.where("constraint_type = 'R'")
+             .select("constraint_name", F.col("table_name").alias("child_table"), "r_constraint_name")
+             .join(child_lists, "constraint_name", "left")
+             .join(parents, "r_constraint_name", "left"))
+    # Many foreign keys may refer to one parent.
+    return (divisible_join(named, parent_lists, [named["r_constraint_name"]], [parent_lists["_parent"]], "left")
             .select("constraint_name", "child_table", "child_columns", "parent_table", "parent_columns"))
 
 

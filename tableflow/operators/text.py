@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..joins import divisible_join
 
 
 def rewrite_text(df: DataFrame, col: str, rules: Sequence[tuple[str, str]] = t.VIEW_RULES) -> DataFrame:
@@ -33,4 +34,4 @@ def text_between(df: DataFrame, col: str, start: str, end: str, name: str = "fou
 def valid_only(defs: DataFrame, objects: DataFrame, key: str, object_key: str, valid: str) -> DataFrame:
     """Definitions whose key is among the objects for which ``valid`` (SQL) holds."""
     known = objects.where(valid).select(F.col(object_key).alias("_object")).distinct()
-    return defs.join(known, defs[key] == known["_object"], "left_semi")
+    return divisible_join(defs, known, [defs[key]], [known["_object"]], "left_semi")

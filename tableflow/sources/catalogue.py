@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..joins import divisible_join
 from .names import folded
 from .store import Store, jdbc_read_options, read_table
 
@@ -109,5 +110,5 @@ def common_columns(src: DataFrame, tgt: DataFrame) -> DataFrame:
     ``column_id`` keeps the order of the source.
     """
     have = tgt.select(folded("table_name").alias("_t"), folded("column_name").alias("_c")).distinct()
-    same = (folded(src["table_name"]) == have["_t"]) & (folded(src["column_name"]) == have["_c"])
-    return src.join(have, same, "left_semi")
+    names = [folded(src["table_name"]), folded(src["column_name"])]
+    return divisible_join(src, have, names, [have["_t"], have["_c"]], "left_semi")

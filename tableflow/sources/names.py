@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..joins import divisible_join
+
 
 def folded(col: Column | str) -> Column:
     """Names are the same when they agree without case and outer blanks."""
@@ -26,4 +28,4 @@ def restrict_to_list(df: DataFrame, col: str, names: DataFrame | None) -> DataFr
     if names is None:
         return df
     wanted = names.select(folded("name").alias("_wanted")).distinct()
-    return df.join(wanted, folded(df[col]) == wanted["_wanted"], "left_semi")
+    return divisible_join(df, wanted, [folded(df[col])], [wanted["_wanted"]], "left_semi")
