@@ -31,6 +31,19 @@ from tableflow.functions.types import VARIABLE_TEXT  # noqa: E402
 from tableflow.operators.mapping import ColumnRule  # noqa: E402
 from tableflow.sources.store import key_cuts, range_predicates  # noqa: E402
 
+try:
+    from tableflow.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as absent:
+    if not str(absent.name).startswith("tableflow.llm"):
+        raise
+    llm = None
+try:
+    import corpus_pipeline  # noqa: E402
+except ModuleNotFoundError as absent:
+    if absent.name != "corpus_pipeline" and not str(absent.name).startswith("tableflow.llm"):
+        raise
+    corpus_pipeline = None
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -476,8 +489,18 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    found = {q.__name__: q for q in _QUERIES}
+    if llm:
+        found |= {q.__name__: q for q in llm.QUERIES}
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if llm:
+        found |= llm.ORACLES
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
