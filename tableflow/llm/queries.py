@@ -5,13 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tableflow.llm import packing, tokenfile
+from tableflow.llm import bpe, packing, quality, simhash, tokenfile
 from tableflow.llm.common import table
 from tableflow.session import fresh_path
 
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """A score of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf, "labels")))
+
+
+def op3_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every document and the text decoded from them, as digests."""
+    return bpe.digests(table(spark, sf, "documents"), BYTES)
+
+
+def op6_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return packing.pack(packing.cut_pieces(table(spark, sf, "documents"), WORDS, end_id=1))
@@ -24,5 +41,5 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return tokenfile.read_digests(spark, target)
 
 
-QUERIES = (op9_best_fit_packing, op10_token_files)
+QUERIES = (op1_quality_classifier, op3_bpe_round_trip, op6_simhash_near_duplicates, op9_best_fit_packing, op10_token_files)
 ORACLES: dict[str, str] = {}
