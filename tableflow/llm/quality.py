@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.llm.common import ids_column, prepare, texts
+from tableflow.llm.common import prepare, texts
 
 CHUNK = 512
 STEP = 448  # chunks overlap by the rest
@@ -184,17 +184,24 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, **columns:
     return fit([np.frombuffer(x, np.uint8).reshape(-1, CHUNK) for x in found["chunks"]], marks)
 
 
-def score(docs: DataFrame, net: Net | float, threshold: float = THRESHOLD, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score and predicted for each row; a null text counts as empty.
+def score_column(net: Net | float, text: Column) -> Column:
+    """The score of each text; a null text counts as empty, which is one chunk of zeros."""
+    @F.pandas_udf("double")
+    def run(found: pd.Series) -> pd.Series:
+        return pd.Series(net.score(found.tolist()) if isinstance(net, Net) else np.full(len(found), net))
+
+    return run(F.coalesce(text, F.lit("")))
 
-    The empty text is one chunk of zeros. A null id is not held out.
-    """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = net.score(batch["text"].tolist()) if isinstance(net, Net) else np.full(len(batch), net)
-            yield pd.DataFrame({"doc_id": ids_column(batch["doc_id"]), "score": found})
 
-    return texts(docs, id_col, text_col).mapInPandas(run, "doc_id long, score double").select(
+def score(docs: DataFrame, net: Net | float, threshold: float = THRESHOLD, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, score and predicted for each row. A null id is not held out."""
+    return texts(docs, id_col, text_col).select("doc_id", score_column(net, F.col("text")).alias("score")).select(
         "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, net: Net | float, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores ``threshold`` or more, with all their columns."""
+    prepare(docs.sparkSession)
+    return docs.where(score_column(net, F.col(f"`{text_col}`")) >= threshold)

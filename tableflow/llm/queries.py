@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tableflow.llm import bpe, packing, quality, simhash, tokenfile
+from tableflow.llm import bpe, linededup, packing, quality, simhash, tokenfile
 from tableflow.llm.common import table
 from tableflow.session import fresh_path
 
@@ -29,6 +30,12 @@ def op6_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without later copies of repeated runs of lines: its lines, those removed, and a digest."""
+    return linededup.dedup_lines(table(spark, sf, "documents")).select(
+        "doc_id", "lines_before", "lines_removed", F.md5("text").alias("text_md5"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return packing.pack(packing.cut_pieces(table(spark, sf, "documents"), WORDS, end_id=1))
@@ -41,5 +48,29 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return tokenfile.read_digests(spark, target)
 
 
-QUERIES = (op1_quality_classifier, op3_bpe_round_trip, op6_simhash_near_duplicates, op9_best_fit_packing, op10_token_files)
-ORACLES: dict[str, str] = {}
+QUERIES = (op1_quality_classifier, op3_bpe_round_trip, op6_simhash_near_duplicates, op8_line_dedup,
+           op9_best_fit_packing, op10_token_files)
+
+# A window is named by its very lines here. It starts or ends at each line and is the smallest of
+# 150 characters that does; a line goes if a window that holds it has an earlier copy.
+LINE_DEDUP = """
+WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+each AS (SELECT doc_id, i, lines, sum(len(lines[i])) OVER (PARTITION BY doc_id ORDER BY i) AS upto, len(lines[i]) AS size
+         FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines))) AS i FROM texts)),
+starting AS (SELECT a.doc_id, a.i AS first, min(b.i) AS last FROM each a JOIN each b
+             ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.size >= 150 GROUP BY a.doc_id, a.i),
+ending AS (SELECT b.doc_id, max(a.i) AS first, b.i AS last FROM each a JOIN each b
+           ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.size >= 150 GROUP BY b.doc_id, b.i),
+named AS (SELECT w.doc_id, first, last, list_slice(lines, first, last) AS content
+          FROM (SELECT * FROM starting UNION SELECT doc_id, first, last FROM ending) w JOIN texts t ON w.doc_id = t.doc_id),
+later AS (SELECT doc_id, first, last FROM named
+          QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, first) > 1),
+gone AS (SELECT DISTINCT e.doc_id, e.i FROM each e JOIN later l ON e.doc_id = l.doc_id AND e.i BETWEEN first AND last),
+kept AS (SELECT e.doc_id, string_agg(e.lines[e.i], chr(10) ORDER BY e.i) FILTER (g.i IS NULL) AS text, count(g.i) AS removed, count(*) AS n
+         FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id)
+SELECT t.doc_id, coalesce(n, 0) AS lines_before, coalesce(removed, 0) AS lines_removed,
+       CASE WHEN t.text IS NOT NULL THEN md5(coalesce(k.text, '')) END AS text_md5
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op8_line_dedup": LINE_DEDUP}

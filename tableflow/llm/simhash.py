@@ -198,3 +198,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = materialise(named, "classes")
     return found.join(named, found.fp == named["class"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, text_col: str = "text", budget: int = BUDGET) -> DataFrame:
+    """``docs`` with the first row, in input order, of each group of near duplicates; columns stay as they are."""
+    staged = materialise(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("uid")), "rows")
+    groups = near_duplicates(staged.select("uid", F.col("row")[text_col].alias("text")), "uid", "text", budget)
+    first = groups.where("doc_id = component_id").select("doc_id")
+    return staged.join(first, staged.uid == first.doc_id, "left_semi").select("row.*")
