@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import bpe, linededup, packing, quality, simhash, tokenfile
+from tableflow.llm import ann, bpe, linededup, packing, quality, simhash, tokenfile, wordpiece
 from tableflow.llm.common import table
 from tableflow.session import fresh_path
 
@@ -25,6 +25,16 @@ def op3_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(table(spark, sf, "documents"), BYTES)
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The 5 nearest vectors of each whose id is divisible by 50."""
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Words and greedy word pieces of every document."""
+    return wordpiece.count_pieces(table(spark, sf, "documents"), BYTES)
+
+
 def op6_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf, "documents"))
@@ -48,8 +58,8 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return tokenfile.read_digests(spark, target)
 
 
-QUERIES = (op1_quality_classifier, op3_bpe_round_trip, op6_simhash_near_duplicates, op8_line_dedup,
-           op9_best_fit_packing, op10_token_files)
+QUERIES = (op1_quality_classifier, op3_bpe_round_trip, op4_nearest_neighbours, op5_token_counts,
+           op6_simhash_near_duplicates, op8_line_dedup, op9_best_fit_packing, op10_token_files)
 
 # A window is named by its very lines here. It starts or ends at each line and is the smallest of
 # 150 characters that does; a line goes if a window that holds it has an earlier copy.
