@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import ann, bpe, linededup, packing, quality, simhash, tokenfile, wordpiece
+from tableflow.llm import ann, bpe, extraction, linededup, packing, quality, simhash, tokenfile, wordpiece
 from tableflow.llm.common import table
 from tableflow.session import fresh_path
 
@@ -20,6 +20,11 @@ def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf, "labels")))
 
 
+def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page."""
+    return extraction.main_texts(table(spark, sf, "pages"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     return bpe.digests(table(spark, sf, "documents"), BYTES)
@@ -58,8 +63,8 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return tokenfile.read_digests(spark, target)
 
 
-QUERIES = (op1_quality_classifier, op3_bpe_round_trip, op4_nearest_neighbours, op5_token_counts,
-           op6_simhash_near_duplicates, op8_line_dedup, op9_best_fit_packing, op10_token_files)
+QUERIES = (op1_quality_classifier, op2_html_extraction, op3_bpe_round_trip, op4_nearest_neighbours,
+           op5_token_counts, op6_simhash_near_duplicates, op8_line_dedup, op9_best_fit_packing, op10_token_files)
 
 # A window is named by its very lines here. It starts or ends at each line and is the smallest of
 # 150 characters that does; a line goes if a window that holds it has an earlier copy.
