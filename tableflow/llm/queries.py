@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import ann, bpe, extraction, linededup, packing, quality, simhash, tokenfile, wordpiece
+from tableflow.llm import ann, bpe, extraction, linededup, packing, quality, search, simhash, tokenfile, wordpiece
 from tableflow.llm.common import table
 from tableflow.session import fresh_path
 
@@ -45,6 +45,11 @@ def op6_simhash_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op7_top_k_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The 10 best documents for each whose id is divisible by 100, with its whole text as the query."""
+    return search.top_k(table(spark, sf, "documents"), F.col("doc_id") % 100 == 0, k=10)
+
+
 def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without later copies of repeated runs of lines: its lines, those removed, and a digest."""
     return linededup.dedup_lines(table(spark, sf, "documents")).select(
@@ -64,7 +69,7 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = (op1_quality_classifier, op2_html_extraction, op3_bpe_round_trip, op4_nearest_neighbours,
-           op5_token_counts, op6_simhash_near_duplicates, op8_line_dedup, op9_best_fit_packing, op10_token_files)
+           op5_token_counts, op6_simhash_near_duplicates, op7_top_k_search, op8_line_dedup, op9_best_fit_packing, op10_token_files)
 
 # A window is named by its very lines here. It starts or ends at each line and is the smallest of
 # 150 characters that does; a line goes if a window that holds it has an earlier copy.
@@ -88,4 +93,20 @@ SELECT t.doc_id, coalesce(n, 0) AS lines_before, coalesce(removed, 0) AS lines_r
 FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
 """
 
-ORACLES: dict[str, str] = {"op8_line_dedup": LINE_DEDUP}
+TOP_K = """
+WITH words AS (SELECT doc_id, unnest(string_split_regex(regexp_replace(lower(coalesce(text, '')), '[^\\pL\\pN]+', ' ', 'g'), ' ')) AS word
+               FROM documents),
+tf AS (SELECT doc_id, word, count(*) AS tf FROM words WHERE word <> '' GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf) AS length FROM tf GROUP BY ALL),
+everything AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(length) FROM lengths)::DOUBLE / (SELECT count(*) FROM documents) AS mean_length),
+rarity AS (SELECT word, ln(1 + (n - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS rarity FROM tf, everything GROUP BY word, n),
+shares AS (SELECT q.doc_id AS query_id, d.doc_id, round(1000000 * (rarity * (d.tf::DOUBLE * (1.2::DOUBLE + 1)
+               / (d.tf::DOUBLE + 1.2::DOUBLE * (1 - 0.75::DOUBLE + 0.75::DOUBLE * length::DOUBLE / mean_length)))))::HUGEINT AS share
+           FROM tf q JOIN tf d ON q.word = d.word JOIN rarity r ON r.word = q.word JOIN lengths l ON l.doc_id = d.doc_id, everything
+           WHERE q.doc_id % 100 = 0),
+scores AS (SELECT query_id, doc_id, sum(share) AS score FROM shares GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scores)
+SELECT query_id, rank::INT AS rank, doc_id, score::DOUBLE / 1000000 AS score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op7_top_k_search": TOP_K, "op8_line_dedup": LINE_DEDUP}
