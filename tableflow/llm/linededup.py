@@ -92,7 +92,7 @@ def repeated_windows(lines: DataFrame) -> DataFrame:
         .select("x.*").where("m > 0").distinct(), "windows")
     most = wanted.agg(F.max("m")).first()[0] or 0
     ranks = materialise(_classes(lines, ["high", "low"]), "ranks")
-    hits, step = [], 1
+    hits, step = [wanted.where(F.lit(False))], 1
     while step <= most:
         here = wanted.where(F.col("m").between(step, 2 * step - 1))
         starts = here.join(ranks, "pos")
