@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import sys
+import tempfile
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,17 +20,15 @@ from oracle_queries import (  # noqa: E402
     CONSTRAINT_TYPE,
     DEFINITION_TEXT,
     INDEX_FACTS,
-    MEASURED,
     NAME_LINES,
     ORACLES,
     TABLES,
     TRIGGER_TEXT,
     TRIGGERS,
     VIEW_TEXT,
-    WHOLE_NUMBERS,
 )
-from tableflow.functions.types import VARIABLE_TEXT  # noqa: E402
 from tableflow.operators.mapping import ColumnRule  # noqa: E402
+from tableflow.operators.paging import page_count, page_range  # noqa: E402
 from tableflow.sources.store import key_cuts, range_predicates  # noqa: E402
 
 try:
@@ -63,6 +63,11 @@ def _scratch(spark: SparkSession, label: str) -> tf.Store:
     return tf.parquet_store(tf.fresh_path(spark, label))
 
 
+def _rules(df: DataFrame, **other: ColumnRule) -> list[ColumnRule]:
+    """A rule for every column: its own type, or the one named."""
+    return [other.get(f.name) or ColumnRule(f.name, f.dataType.simpleString()) for f in df.schema]
+
+
 # ---- sources and sinks ---------------------------------------------------------------
 
 def scan_counts(spark, sf):
@@ -96,8 +101,10 @@ def load_append(spark, sf):
 def load_truncate(spark, sf):
     store = _scratch(spark, "truncate")
     tf.replace(_t(spark, sf, "orders"), store, "orders")
-    tf.truncate_load(_t(spark, sf, "orders").where("o_orderstatus = 'F'"), store, "orders")
-    return tf.read_table(spark, store, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("row_count"))
+    some = _t(spark, sf, "orders").where("o_orderstatus = 'F'").select("o_orderstatus", "o_orderkey")
+    tf.truncate_load(some, store, "orders")
+    return tf.read_table(spark, store, "orders").groupBy("o_orderstatus").agg(
+        F.count("*").alias("row_count"), F.sum("o_orderkey").alias("key_sum"), F.count("o_totalprice").alias("prices"))
 
 
 def save_csv(spark, sf):
@@ -106,18 +113,36 @@ def save_csv(spark, sf):
     return spark.read.schema("kind string, total bigint, success bigint, failed bigint").csv(path, header=True)
 
 
+def save_log(spark, sf):
+    """A compare result kept twice and read back."""
+    store = _scratch(spark, "log")
+    for _ in range(2):
+        tf.save_log(compare_counts(spark, sf), store, "log")
+    return tf.read_table(spark, store, "log").groupBy("source_table_name", "is_success").agg(F.count("*").alias("kept"))
+
+
+def read_types(spark, sf):
+    types = {"l_extendedprice": "decimal(12,1)", "l_quantity": "int", "l_orderkey": "string"}
+    rows = tf.read_table(spark, _store(sf), "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"], types)
+    return rows.withColumn("l_extendedprice", F.col("l_extendedprice").cast("double"))
+
+
 def column_catalogue(spark, sf):
-    tables = {name: _t(spark, sf, name, *columns) for name, columns in MEASURED.items()}
-    return tf.measured_catalogue(spark, tables).select(
-        "table_name", "column_id", "column_name", "data_type", "char_length", "avg_col_len")
+    return tf.column_catalogue(spark, _store(sf), TABLES).select(
+        "table_name", "column_id", "column_name", "data_type", "data_precision", "data_scale")
+
+
+def measured_catalogue(spark, sf):
+    return tf.measured_catalogue(spark, _all(spark, sf)).select(
+        "table_name", "column_name", "char_length", "avg_col_len")
 
 
 # ---- profile and mapping -------------------------------------------------------------
 
 # The catalogue has one column description per line item.
 
-def _catalogue(spark, sf):
-    return _t(spark, sf, "lineitem").selectExpr(*CATALOGUE)
+def _catalogue(spark, sf, *more):
+    return _t(spark, sf, "lineitem").selectExpr(*CATALOGUE, *more)
 
 
 MAPPED = ("table_name", "column_id", "column_name", "target_type", "spark_type", "max_length", "target_default", "rule")
@@ -128,14 +153,21 @@ def map_types(spark, sf):
 
 
 def map_types_measured(spark, sf):
-    """Types of real tables, chosen from lengths and ranges read from their data."""
-    tables = {name: _t(spark, sf, name, *columns) for name, columns in MEASURED.items()}
+    """Types of all tables, chosen from lengths and ranges read from their data."""
+    tables = _all(spark, sf)
     profile = reduce(DataFrame.unionByName, [
         tf.number_widths(df).withColumn("table_name", F.lit(name)) for name, df in tables.items()])
     return tf.map_types(tf.measured_catalogue(spark, tables), profile=profile).select(
         "table_name", "column_id", "column_name", "target_type", "max_length", "rule")
 
 
+def map_notes(spark, sf):
+    """Nullability and comments go through the mapping into a target's schema."""
+    described = _catalogue(spark, sf, "l_linestatus").withColumn(
+        "comments", F.concat(F.lit('line "'), "l_linestatus", F.lit('"')))
+    return tf.map_types(described).select("table_name", "column_id", "column_name", "nullable", "comments")
+
+
 def map_types_compat(spark, sf):
     return tf.map_types(_catalogue(spark, sf), compat=True).select(*MAPPED)
 
@@ -151,45 +183,49 @@ def clean_defaults_compat(spark, sf):
 
 
 def fit_row_width(spark, sf):
-    catalogue = _catalogue(spark, sf).where(F.col("data_type").isin(*VARIABLE_TEXT, "CHAR", "NUMBER"))
     widths = (_t(spark, sf, "lineitem").groupBy(
         F.concat(F.lit("T"), "l_orderkey").alias("table_name"), F.concat(F.lit("C"), "l_partkey").alias("column_name"))
         .agg(F.max("l_quantity").cast("int").alias("width")))
-    return tf.fit_row_width(catalogue, widths, limit=20_000).select(
+    return tf.fit_row_width(_catalogue(spark, sf), widths).select(
         "table_name", "column_id", "column_name", "fitted_length", "narrowed")
 
 
 def text_widths(spark, sf):
     return reduce(DataFrame.unionByName, [
-        tf.text_widths(_t(spark, sf, name)).select(F.lit(name).alias("table_name"), "*")
-        for name in ("customer", "part", "documents")])
+        tf.text_widths(df).select(F.lit(name).alias("table_name"), "*") for name, df in _all(spark, sf).items()])
 
 
 def number_widths(spark, sf):
-    both = [tf.number_widths(_t(spark, sf, name), columns).select(F.lit(name).alias("table_name"), "*")
-            for name, columns in WHOLE_NUMBERS.items()]
-    return reduce(DataFrame.unionByName, both).select(
-        "table_name", "column_name", "avg_length", F.col("min_value").cast("bigint").alias("min_value"),
-        F.col("max_value").cast("bigint").alias("max_value"), "max_scale")
+    every = [tf.number_widths(df).select(
+        F.lit(name).alias("table_name"), "column_name", "avg_length", F.col("min_value").cast("double").alias("min_value"),
+        F.col("max_value").cast("double").alias("max_value"), "max_scale", "inexact") for name, df in _all(spark, sf).items()]
+    return reduce(DataFrame.unionByName, every)
 
 
-EVENT_RULES = [
-    ColumnRule("event_id", "bigint", nullable=False),
-    ColumnRule("ts", "timestamp_ntz"),
-    ColumnRule("event_type", "string", max_length=6),
-    ColumnRule("value", "decimal(4,2)"),
-]
+def _event_rules(events: DataFrame) -> list[ColumnRule]:
+    return _rules(events, event_id=ColumnRule("event_id", "bigint", nullable=False), ts=ColumnRule("ts", "timestamp_ntz"),
+                  event_type=ColumnRule("event_type", "string", max_length=6), value=ColumnRule("value", "decimal(4,2)"))
 
 
 def conform_rows(spark, sf):
-    good, _ = tf.conform(_t(spark, sf, "events"), EVENT_RULES)
-    return good.select("event_id", F.col("ts").cast("string").alias("ts"), "event_type",
-                       F.col("value").cast("double").alias("value"))
+    events = _t(spark, sf, "events")
+    good, _ = tf.conform(events, _event_rules(events))
+    return good.withColumns({"ts": F.col("ts").cast("string"), "value": F.col("value").cast("double")})
 
 
 def reject_rows(spark, sf):
-    _, bad = tf.conform(_t(spark, sf, "events"), EVENT_RULES)
-    return bad.select("event_id", "event_type", "value", "reject_reason")
+    events = _t(spark, sf, "events")
+    _, bad = tf.conform(events, _event_rules(events))
+    return bad.withColumn("ts", F.col("ts").cast("string"))
+
+
+def conform_fractions(spark, sf):
+    """Fractions do not become whole numbers: such rows are rejected, with the reason."""
+    lineitem = _t(spark, sf, "lineitem")
+    rules = _rules(lineitem, l_extendedprice=ColumnRule("l_extendedprice", "bigint"), l_discount=ColumnRule("l_discount", "int"))
+    good, bad = tf.conform(lineitem, rules)
+    keys = ["l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("double").alias("price")]
+    return good.select(*keys, F.lit(None).cast("string").alias("reject_reason")).unionByName(bad.select(*keys, "reject_reason"))
 
 
 def common_columns(spark, sf):
@@ -215,7 +251,7 @@ def page_plan(spark, sf):
 
 
 def page_rows(spark, sf):
-    paged = tf.with_pages(_t(spark, sf, "orders", "o_orderkey"), ["o_orderkey"], 1000, unique=True)
+    paged = tf.with_pages(_t(spark, sf, "orders", "o_orderkey"), ["o_orderkey"], 1000, unique=True, buckets=24)
     return paged.groupBy("page_no").agg(
         F.count("*").alias("row_count"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
 
@@ -230,26 +266,37 @@ def page_rows_copies(spark, sf):
 
 def page_slice(spark, sf):
     lineitem = _t(spark, sf, "lineitem")
-    rows = tf.page_slice(lineitem, lineitem.columns, 5001, 6000)
+    rows = tf.page_slice(lineitem, lineitem.columns, 5001, 6000, buckets=40)
     return rows.withColumn("l_shipdate", F.col("l_shipdate").cast("date").cast("string"))
 
 
 def transfer_log(spark, sf):
-    log = tf.transfer(_t(spark, sf, "orders"), _scratch(spark, "transfer"), "orders", ["o_orderkey"], 1000, unique=True)
+    log = tf.transfer(_t(spark, sf, "orders"), _scratch(spark, "transfer"), "orders", ["o_orderkey"], 1000, unique=True,
+                      buckets=24)
     return log.select("table_name", "page_no", "source_table_rows", "target_table_rows", "type")
 
 
+def page_numbers(spark, sf):
+    """First and last row of pages given as text: numbers, 0 and texts that are none."""
+    asked = _t(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")).otherwise((F.col("o_orderkey") % 50).cast("string")).alias("page"))
+    bounds = page_range(F.col("page"), F.lit("1000"))
+    return asked.select("o_orderkey", bounds["start_row"].alias("start_row"), bounds["end_row"].alias("end_row"))
+
+
+def page_counts_compat(spark, sf):
+    return scan_counts(spark, sf).select(
+        "table_name", page_count(F.col("row_count"), 1000).alias("pages"), page_count(F.col("row_count"), 1000, compat=True).alias("pages_compat"))
+
+
 def _logs(spark, sf):
     """Log of three transfers; rows of part and orders that do not fit are left out."""
     store = _scratch(spark, "transfer")
-    moves = {
-        "customer": (["c_custkey"], None),
-        "orders": (["o_orderkey"], [ColumnRule("o_orderkey", "bigint"), ColumnRule("o_totalprice", "decimal(7,2)")]),
-        "part": (["p_partkey"], [ColumnRule("p_partkey", "bigint"), ColumnRule("p_name", "string", max_length=9)]),
-    }
+    moves = {"customer": ("c_custkey", {}), "orders": ("o_orderkey", {"o_totalprice": ColumnRule("o_totalprice", "decimal(7,2)")}),
+             "part": ("p_partkey", {"p_name": ColumnRule("p_name", "string", max_length=9)})}
     return reduce(DataFrame.unionByName, [
-        tf.transfer(_t(spark, sf, name), store, name, keys, 500, unique=True, rules=rules)
-        for name, (keys, rules) in moves.items()])
+        tf.transfer(df := _t(spark, sf, name), store, name, [key], 500, unique=True, rules=_rules(df, **other), buckets=8)
+        for name, (key, other) in moves.items()])
 
 
 def transfer_status(spark, sf):
@@ -264,7 +311,8 @@ def transfer_report(spark, sf):
 
 def copy_log(spark, sf):
     rejected, target = _scratch(spark, "rejected"), _scratch(spark, "copy")
-    log = tf.copy_table(_t(spark, sf, "events"), target, "events", rules=EVENT_RULES, reject_store=rejected)
+    events = _t(spark, sf, "events")
+    log = tf.copy_table(events, target, "events", rules=_event_rules(events), reject_store=rejected)
     found = tf.read_table(spark, rejected, "events").agg(F.count("*").alias("rejected_rows"))
     written = tf.read_table(spark, target, "events").agg(F.count("*").alias("written_rows"))
     counts = log.select("table_name", "source_table_rows", "target_table_rows")
@@ -278,6 +326,13 @@ def task_elapsed(spark, sf):
     return tf.elapsed(tasks).select("user_id", "run_time")
 
 
+def zoned_elapsed(spark, sf):
+    """Times of a zone, each an instant, in place of wall clock times."""
+    tasks = _t(spark, sf, "events", "user_id", "ts").groupBy("user_id").agg(
+        F.min("ts").cast("timestamp").alias("task_start_time"), F.max("ts").cast("timestamp").alias("task_end_time"))
+    return tf.elapsed(tasks.withColumn("task_end_time", F.col("task_end_time") + F.expr("INTERVAL 90 SECONDS"))).select("user_id", "run_time")
+
+
 def _plan(spark, sf, mode, **more):
     tables = [
         tf.TablePlan("customer", ["c_custkey"], ["c_custkey"]),
@@ -291,15 +346,39 @@ def _plan(spark, sf, mode, **more):
 
 
 def run_full(spark, sf):
-    return tf.run(spark, _plan(spark, sf, "full")).report
+    """Report, compare and summary of one run, a line each."""
+    done = tf.run(spark, _plan(spark, sf, "full"))
+    parts = {"report": done.report.drop("id"), "compare": done.compare, "summary": done.summary}
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(part).alias("part"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns]).alias("line"))
+        for part, df in parts.items()])
 
 
-def run_full_compare(spark, sf):
-    return tf.run(spark, _plan(spark, sf, "full")).compare
+def run_failing(spark, sf):
+    """A table that is not there, one whose values do not fit, and a key that no table has."""
+    tables = [tf.TablePlan("customer", primary_key=["nosuch"]), tf.TablePlan("orders", primary_key=["o_orderkey"]), tf.TablePlan("absent")]
+    described = tf.catalogue_of(spark, {t.name: _t(spark, sf, t.name) for t in tables[:2]}).withColumn(
+        "data_type", F.when(F.col("column_name") == "o_totalprice", "NUMBER").otherwise(F.col("data_type")))
+    done = tf.run(spark, tf.Plan(_store(sf), _scratch(spark, "failing"), tables, catalogue=described, reject_store=_scratch(spark, "rejects")))
+    report = done.report.select(F.lit("TABLE").alias("kind"), F.col("table_name").alias("name"), "target_table_rows", F.col("run_detail").alias("outcome"))
+    checks = done.status.where("kind = 'CONSTRAINT INDEX'").select(
+        "kind", "name", F.lit(None).cast("bigint").alias("target_table_rows"), F.col("status").alias("outcome"))
+    return report.unionByName(checks)
 
 
-def run_full_summary(spark, sf):
-    return tf.run(spark, _plan(spark, sf, "full")).summary
+def run_metadata(spark, sf):
+    """Tables made without rows: the columns they have."""
+    plan = _plan(spark, sf, "metadata")
+    tf.run(spark, plan)
+    return tf.column_catalogue(spark, plan.target, ["customer", "orders", "lineitem"]).select("table_name", "column_id", "column_name", "data_type")
+
+
+def run_views(spark, sf):
+    """Views by name on both sides, beside the tables."""
+    views = _t(spark, sf, "documents").selectExpr("concat('v', doc_id) AS view_name", "concat('select nvl(', source, ',0)') AS text")
+    there = _t(spark, sf, "labels").where("quality = 1").selectExpr("concat('V', doc_id) AS view_name")
+    plan = tf.Plan(_store(sf), _scratch(spark, "views"), [tf.TablePlan("region")], views=views, target_views=there)
+    return tf.run(spark, plan).compare
 
 
 def run_listed(spark, sf):
@@ -307,8 +386,8 @@ def run_listed(spark, sf):
 
 
 def run_data(spark, sf):
-    plan = _plan(spark, sf, "data", names=["orders", "customer"])
-    for name, shape in {"orders": "o_orderkey bigint, extra int", "customer": "c_custkey bigint"}.items():
+    plan = _plan(spark, sf, "data", names=["orders", "customer"], reject_store=_scratch(spark, "rejects"))
+    for name, shape in {"orders": "o_orderkey bigint, extra int, o_totalprice decimal(7,2)", "customer": "c_custkey bigint"}.items():
         tf.replace(spark.createDataFrame([], shape), plan.target, name)
     done = tf.run(spark, plan)
     return done.compare
@@ -321,14 +400,6 @@ def ordered_list(spark, sf):
                            name="part_list")
 
 
-def ordered_list_large(spark, sf):
-    lists = tf.ordered_list(_t(spark, sf, "lineitem"), ["l_returnflag"], "l_partkey",
-                            ["l_orderkey", "l_linenumber", "l_partkey"], name="part_list",
-                            chunk=F.floor(F.col("l_orderkey") / 500))
-    return lists.select("l_returnflag", F.length("part_list").cast("bigint").alias("chars"),
-                        F.md5("part_list").alias("digest"))
-
-
 def key_columns(spark, sf):
     lineitem, orders = _t(spark, sf, "lineitem"), _t(spark, sf, "orders")
     columns = lineitem.selectExpr("concat('T', l_suppkey) AS table_name", "concat('I', l_orderkey) AS index_name",
@@ -472,17 +543,31 @@ def valid_only(spark, sf):
 
 
 _QUERIES = (
-    scan_counts, range_scan, name_list, restrict_to_list, load_append, load_truncate, save_csv, column_catalogue,
-    map_types, map_types_measured, map_types_compat, clean_defaults, clean_defaults_compat, fit_row_width, text_widths, number_widths,
-    conform_rows, reject_rows, common_columns, load_common_columns, page_plan, page_rows, page_rows_copies, page_slice,
-    transfer_log, transfer_status, transfer_report, copy_log, task_elapsed, run_full, run_full_compare,
-    run_full_summary, run_listed, run_data, ordered_list, ordered_list_large, key_columns, foreign_keys,
+    scan_counts, range_scan, name_list, restrict_to_list, load_append, load_truncate, save_csv, save_log, read_types,
+    column_catalogue, measured_catalogue, map_types, map_notes, map_types_measured, map_types_compat, clean_defaults, clean_defaults_compat, fit_row_width, text_widths, number_widths,
+    conform_rows, reject_rows, conform_fractions, common_columns, load_common_columns, page_plan, page_rows,
+    page_rows_copies, page_slice, page_numbers, page_counts_compat, transfer_log, transfer_status, transfer_report, copy_log,
+    task_elapsed, zoned_elapsed, run_full, run_failing, run_metadata, run_views, run_listed, run_data, ordered_list, key_columns,
+    foreign_keys,
     check_primary_key, check_unique, check_not_null, orphan_rows, orphan_summary, assign_ids, text_between,
     identity_columns, identity_count, compare_counts, compare_failures, compare_keys, exists_in, object_status,
     run_summary, count_by_kind, rewrite_text, rewrite_views, normalise_text, strip_definition, valid_only,
 )
 
 
+def _with_folder(query):
+    """On a local master that names no shared folder, the one machine's own folder serves as it."""
+    @wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        context = spark.sparkContext
+        unset = not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir())
+        if unset and re.match(r"local(\[|$)", context.master):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="tableflow-"))
+        return query(spark, sf)
+
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Compare all tables with a copy that lacks rows and a table."""
     return compare_counts(spark, SMALL)
@@ -494,7 +579,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         found |= {q.__name__: q for q in llm.QUERIES}
     if corpus_pipeline:
         found["pipeline"] = corpus_pipeline.run
-    return found
+    return {name: _with_folder(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -29,16 +29,21 @@ CATALOGUE = (
 )
 NAME_LINES = ("CASE WHEN o_orderstatus = 'P' THEN '   ' "
               "ELSE concat('  ', lower(o_orderpriority), ' , ', o_orderstatus) END")
-MEASURED = {
-    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"],
-    "lineitem": ["l_orderkey", "l_linenumber", "l_returnflag"],
-    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
-}
-TEXT_COLUMNS = {"o_orderstatus", "o_orderpriority", "l_returnflag", "text", "lang", "source"}
-WHOLE_NUMBERS = {
-    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
-    "orders": ["o_orderkey", "o_custkey"],
+# Columns of the given tables: w whole numbers of 64 bits, i of 32 bits, d doubles, t times, s texts, v vectors.
+_KINDS = {
+    "region": "r_regionkey:i r_name:s", "nation": "n_nationkey:i n_name:s n_regionkey:i",
+    "customer": "c_custkey:w c_name:s c_nationkey:i c_acctbal:d c_mktsegment:s",
+    "supplier": "s_suppkey:w s_name:s s_nationkey:i s_acctbal:d",
+    "part": "p_partkey:w p_name:s p_brand:s p_type:s p_size:i p_retailprice:d",
+    "orders": "o_orderkey:w o_custkey:w o_orderstatus:s o_totalprice:d o_orderdate:t o_orderpriority:s",
+    "lineitem": "l_orderkey:w l_partkey:w l_suppkey:w l_linenumber:i l_quantity:d l_extendedprice:d l_discount:d l_tax:d "
+                "l_returnflag:s l_linestatus:s l_shipdate:t",
+    "events": "event_id:w ts:t user_id:w event_type:s value:d props:s", "documents": "doc_id:w text:s lang:s source:s n_chars:w",
+    "embeddings": "vec_id:w embedding:v label:i", "pages": "page_id:w url:s html:s", "benchmark": "item_id:w text:s",
+    "labels": "doc_id:w quality:i toxic:i", "conversations": "conv_id:w turn:w role:s text:s",
 }
+COLUMNS = {table: [tuple(c.split(":")) for c in kinds.split()] for table, kinds in _KINDS.items()}
+_SOURCE_TYPES = {"w": "NUMBER", "i": "NUMBER", "d": "BINARY_DOUBLE", "t": "TIMESTAMP(6)", "s": "VARCHAR2", "v": "ARRAY<FLOAT>"}
 INDEX_FACTS = (
     "CASE WHEN o_orderpriority = '2-HIGH' THEN 'UNIQUE' ELSE 'NONUNIQUE' END AS uniqueness",
     "CASE WHEN o_orderstatus = 'P' THEN 'FUNCTION-BASED NORMAL' WHEN o_orderpriority = '5-LOW' THEN 'BITMAP' "
@@ -55,7 +60,7 @@ TRIGGERS = (
 )
 VIEW_TEXT = ("concat('select nvl(a,0), unistr(''', chr(92), '0030''), unistr(''', chr(92), '0033'') -- ', text, "
              "' nvl(b,1) --')")
-TRIGGER_TEXT = "concat('into:new.id from sys.dual ;', replace(text, 'ß', 's'), ' sys.dual')"
+TRIGGER_TEXT = "concat('into:new.id from sys.dual ;', text, ' sys.dual')"
 DEFINITION_TEXT = (
     "concat('CREATE VIEW \"U\".\"V', doc_id, '\" AS SELECT UPPER(N), ou.x, u.y FROM u.t -- ', text, "
     "CASE WHEN lang = 'fr' THEN ' PCTFREE 10 pctfree' WHEN lang = 'de' THEN ' pctfree 20' ELSE '' END)"
@@ -151,46 +156,57 @@ def _digest(column: str, table: str = "documents") -> str:
     return f"SELECT doc_id, length(t) AS chars, md5(t) AS digest FROM (SELECT doc_id, {column} AS t FROM {table})"
 
 
+def _described(tables: list[str] = TABLES) -> str:
+    """Name, place, source type, precision and scale of every column."""
+    digits = {"w": "19, 0", "i": "10, 0"}
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {n} AS column_id, '{c}' AS column_name, '{_SOURCE_TYPES[kind]}' AS data_type, "
+        + ", ".join(f"{x}::INT AS {name}" for x, name in zip(digits.get(kind, "NULL, NULL").split(", "), ("data_precision", "data_scale")))
+        for t in tables for n, (c, kind) in enumerate(COLUMNS[t], 1))
+
+
 def _measured() -> str:
-    rows = []
-    for table, columns in MEASURED.items():
-        for i, c in enumerate(columns, 1):
-            text = c in TEXT_COLUMNS
-            rows.append(
-                f"SELECT '{table}' AS table_name, {i} AS column_id, '{c}' AS column_name, "
-                f"'{'VARCHAR2' if text else 'NUMBER'}' AS data_type, "
-                f"{f'max(length({c}))' if text else 'NULL'}::INT AS char_length, "
-                f"ceil(avg(strlen({c}::VARCHAR)))::INT AS avg_col_len FROM {table}")
-    return " UNION ALL ".join(rows)
+    """Longest text and mean stored length."""
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, {f'max(length({c}))' if kind == 's' else 'max(NULL)'}::INT AS char_length, "
+        f"{'max(NULL)' if kind == 'v' else f'ceil(avg(strlen({c}::VARCHAR)))'}::INT AS avg_col_len FROM {t}"
+        for t in TABLES for c, kind in COLUMNS[t])
 
 
 def _measured_types() -> str:
     largest = " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, max(abs({c})) AS largest FROM {t}"
-        for t, columns in MEASURED.items() for c in columns if c not in TEXT_COLUMNS)
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, max(abs({c}))::DOUBLE AS largest FROM {t}"
+        for t in TABLES for c, kind in COLUMNS[t] if kind in "wi")
     return f"""
         SELECT table_name, column_id, column_name, char_length AS max_length,
-          CASE WHEN data_type = 'VARCHAR2' THEN 'varchar' WHEN avg_col_len < 6 AND largest <= 2147483647 THEN 'int'
-            ELSE 'bigint' END AS rule,
-          CASE WHEN data_type = 'VARCHAR2' THEN concat('VARCHAR(', char_length, ')') ELSE upper(rule) END AS target_type
-        FROM ({_measured()}) LEFT JOIN ({largest}) USING (table_name, column_name)"""
+          CASE data_type WHEN 'VARCHAR2' THEN 'varchar' WHEN 'BINARY_DOUBLE' THEN 'double' WHEN 'TIMESTAMP(6)' THEN 'datetime'
+            WHEN 'ARRAY<FLOAT>' THEN 'unmapped' ELSE CASE WHEN avg_col_len < 6 AND largest <= 2147483647 THEN 'int' ELSE 'bigint' END
+            END AS rule,
+          CASE data_type WHEN 'VARCHAR2' THEN concat('VARCHAR(', char_length, ')') WHEN 'ARRAY<FLOAT>' THEN data_type
+            ELSE upper(rule) END AS target_type
+        FROM ({_described()}) JOIN ({_measured()}) USING (table_name, column_name)
+        LEFT JOIN ({largest}) USING (table_name, column_name)"""
 
 
 def _widths() -> str:
-    texts = {"customer": ["c_name", "c_mktsegment"], "part": ["p_name", "p_brand", "p_type"],
-             "documents": ["text", "lang", "source"]}
     longest = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, coalesce(max(length({c})), 0)::INT AS max_length FROM {t}"
-        for t, columns in texts.items() for c in columns)
+        for t in TABLES for c, kind in COLUMNS[t] if kind == "s")
     return (f"SELECT *, CASE WHEN max_length = 0 THEN 100 ELSE round_even(max_length * 1.5, 0) END::INT AS width "
             f"FROM ({longest})")
 
 
 def _numbers() -> str:
+    def exact(c: str) -> str:
+        return f"CASE WHEN try_cast({c}::VARCHAR AS DECIMAL(38, 10))::DOUBLE = {c} THEN try_cast({c}::VARCHAR AS DECIMAL(38, 10)) END"
+
     return " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, round(avg(strlen({c}::VARCHAR)), 4) AS avg_length, "
-        f"min({c})::BIGINT AS min_value, max({c})::BIGINT AS max_value, 0 AS max_scale FROM {t}"
-        for t, columns in WHOLE_NUMBERS.items() for c in columns)
+        + (f"min({exact(c)})::DOUBLE AS min_value, max({exact(c)})::DOUBLE AS max_value, "
+           f"coalesce(max(length(rtrim(split_part(({exact(c)})::VARCHAR, '.', 2), '0'))), 0)::INT AS max_scale, "
+           f"count({c}) - count({exact(c)}) AS inexact" if kind == "d" else
+           f"min({c})::DOUBLE AS min_value, max({c})::DOUBLE AS max_value, 0 AS max_scale, 0::BIGINT AS inexact") + f" FROM {t}"
+        for t in TABLES for c, kind in COLUMNS[t] if kind in "wid")
 
 
 _REASON = """nullif(concat_ws(';',
@@ -216,8 +232,15 @@ ORACLES = {
         FROM orders) WHERE name <> '' GROUP BY 1""",
     "restrict_to_list": "SELECT doc_id, source FROM documents WHERE upper(trim(source)) IN ('SRC3', 'SRC7', 'NOSUCH')",
     "load_append": "SELECT count(*) * 2 AS row_count, (sum(c_custkey) * 2)::BIGINT AS key_sum FROM customer",
-    "load_truncate": "SELECT o_orderstatus, count(*) AS row_count FROM orders WHERE o_orderstatus = 'F' GROUP BY 1",
-    "column_catalogue": _measured(),
+    "load_truncate": """SELECT o_orderstatus, count(*) AS row_count, sum(o_orderkey)::BIGINT AS key_sum, 0::BIGINT AS prices
+        FROM orders WHERE o_orderstatus = 'F' GROUP BY 1""",
+    "read_types": """SELECT l_orderkey::VARCHAR AS l_orderkey, l_linenumber, l_quantity::INT AS l_quantity,
+        l_extendedprice::DECIMAL(12, 1)::DOUBLE AS l_extendedprice FROM lineitem""",
+    "save_log": f"SELECT source_table_name, is_success, 2::BIGINT AS kept FROM ({_COMPARE})",
+    "column_catalogue": _described(),
+    "measured_catalogue": _measured(),
+    "map_notes": f"""SELECT table_name, column_id, column_name, nullable, concat('line "', l_linestatus, '"') AS comments
+        FROM (SELECT {", ".join(c for c in CATALOGUE if not c.endswith("AS comments"))}, l_linestatus FROM lineitem)""",
     "map_types": f"""SELECT table_name, column_id, column_name, {_rule(_SAFE)}, {_LENGTH},
         {_DEFAULT} AS target_default FROM ({_STATS})""",
     "map_types_measured": _measured_types(),
@@ -233,10 +256,10 @@ ORACLES = {
     "clean_defaults_compat": f"""SELECT data_type, data_default, {_COMPAT_DEFAULT} AS target_default,
         count(*) AS row_count FROM ({_STATS}) GROUP BY ALL""",
     "fit_row_width": f"""
-        WITH c AS (SELECT * FROM ({_STATS}) WHERE data_type IN ('VARCHAR2', 'NVARCHAR2', 'CHAR', 'NUMBER')),
+        WITH c AS (SELECT * FROM ({_STATS})),
         w AS (SELECT concat('T', l_orderkey) AS table_name, concat('C', l_partkey) AS column_name,
           max(l_quantity)::INT AS width FROM lineitem GROUP BY 1, 2),
-        big AS (SELECT table_name FROM c GROUP BY 1 HAVING sum(char_length) > 20000)
+        big AS (SELECT table_name FROM c GROUP BY 1 HAVING sum(char_length) > 65535)
         SELECT table_name, column_id, column_name, CASE WHEN narrowed THEN width ELSE char_length END AS fitted_length,
           narrowed
         FROM (SELECT c.*, w.width, c.table_name IN (SELECT table_name FROM big)
@@ -244,10 +267,20 @@ ORACLES = {
     "text_widths": _widths(),
     "number_widths": _numbers(),
     "conform_rows": f"""SELECT event_id, strftime(date_trunc('second', ts + INTERVAL 500 MILLISECONDS),
-          '%Y-%m-%d %H:%M:%S') AS ts, event_type, try_cast(value AS DECIMAL(4, 2))::DOUBLE AS value
+          '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, try_cast(value AS DECIMAL(4, 2))::DOUBLE AS value, props
         FROM events WHERE {_REASON} IS NULL""",
-    "reject_rows": f"""SELECT event_id, event_type, value, {_REASON} AS reject_reason FROM events
+    "reject_rows": f"""SELECT event_id, ts::VARCHAR AS ts, user_id, event_type, value, props, {_REASON} AS reject_reason FROM events
         WHERE {_REASON} IS NOT NULL""",
+    "conform_fractions": """SELECT l_orderkey, l_linenumber, l_extendedprice AS price, nullif(concat_ws(';',
+          CASE WHEN l_extendedprice <> floor(l_extendedprice) THEN 'l_extendedprice:scale' END,
+          CASE WHEN l_discount <> floor(l_discount) THEN 'l_discount:scale' END), '') AS reject_reason FROM lineitem""",
+    "page_numbers": """SELECT o_orderkey, CASE WHEN page > 0 THEN (page - 1) * 1000 + 1 ELSE 0 END AS start_row,
+          CASE WHEN page > 0 THEN page * 1000 ELSE 999 END AS end_row
+        FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 50 END AS page FROM orders)""",
+    "page_counts_compat": f"""SELECT table_name, ((row_count + 999) // 1000)::BIGINT AS pages,
+          round_even((row_count + 999) / 1000, 0)::BIGINT AS pages_compat FROM ({_COUNTS})""",
+    "zoned_elapsed": """SELECT user_id, (epoch(date_trunc('second', max(ts) + INTERVAL 90 SECONDS)) - epoch(date_trunc('second', min(ts))))::BIGINT
+          AS run_time FROM events GROUP BY 1""",
     "common_columns": """SELECT concat('T', l_orderkey) AS table_name, l_linenumber AS column_id,
           concat('C', l_partkey) AS column_name FROM lineitem
         WHERE (l_orderkey, l_partkey) IN (SELECT (l_orderkey, l_partkey) FROM lineitem WHERE l_linestatus = 'O')""",
@@ -277,18 +310,7 @@ ORACLES = {
           count(*) FILTER ({_REASON} IS NOT NULL) AS rejected_rows FROM events""",
     "task_elapsed": """SELECT user_id, (epoch(date_trunc('second', max(ts))) - epoch(date_trunc('second', min(ts))))::BIGINT
           AS run_time FROM events GROUP BY 1""",
-    "run_full": """SELECT row_number() OVER (ORDER BY run_detail, table_name) AS id, *
-        FROM (SELECT 'customer' AS table_name, count(*) AS source_table_rows, count(*) AS target_table_rows,
-            'SUCCESS' AS run_detail FROM customer
-          UNION ALL SELECT 'orders', count(*), count(*), 'SUCCESS' FROM orders
-          UNION ALL SELECT 'lineitem', count(*), count(*), 'SUCCESS' FROM lineitem
-          UNION ALL SELECT 'absent', 0, 0, 'TABLE NOT EXIST')""",
-    "run_full_compare": """SELECT 'CUSTOMER' AS source_table_name, count(*) AS source_rows, 'TABLE' AS db_type,
-          'CUSTOMER' AS target_table_name, count(*) AS target_rows, 'Y' AS is_success FROM customer
-        UNION ALL SELECT 'ORDERS', count(*), 'TABLE', 'ORDERS', count(*), 'Y' FROM orders
-        UNION ALL SELECT 'LINEITEM', count(*), 'TABLE', 'LINEITEM', count(*), 'Y' FROM lineitem
-        UNION ALL SELECT 'ABSENT', NULL, 'TABLE', 'TABLE NOT EXIST', -1, 'N'""",
-    "run_full_summary": """
+    "run_full": """
         WITH bad AS (SELECT
           (SELECT count(*) > 0 FROM (SELECT 1 FROM customer GROUP BY c_custkey HAVING count(*) > 1))::INT
           + (SELECT count(*) > 0 FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1))::INT
@@ -297,20 +319,33 @@ ORACLES = {
               HAVING count(*) > 1))::INT AS keys,
           (SELECT count(*) > 0 FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))::INT
           + (SELECT count(*) > 0 FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))::INT AS refs)
-        SELECT 'TABLE' AS kind, 4::BIGINT AS total, 3::BIGINT AS success, 1::BIGINT AS failed
-        UNION ALL SELECT 'CONSTRAINT INDEX', 4, 4 - keys, keys FROM bad
-        UNION ALL SELECT 'FOREIGN KEY', 2, 2 - refs, refs FROM bad""",
+        , tables AS (SELECT 'customer' AS t, count(*) AS n FROM customer UNION ALL SELECT 'orders', count(*) FROM orders
+          UNION ALL SELECT 'lineitem', count(*) FROM lineitem)
+        SELECT 'report' AS part, concat_ws('|', t, n, n, 'SUCCESS') AS line FROM tables UNION ALL SELECT 'report', 'absent|0|0|TABLE NOT EXIST'
+        UNION ALL SELECT 'compare', concat_ws('|', upper(t), n, 'TABLE', upper(t), n, 'Y') FROM tables
+        UNION ALL SELECT 'compare', 'ABSENT|-|TABLE|TABLE NOT EXIST|-1|N' UNION ALL SELECT 'summary', 'TABLE|4|3|1'
+        UNION ALL SELECT 'summary', concat_ws('|', 'CONSTRAINT INDEX', 4, 4 - keys, keys) FROM bad
+        UNION ALL SELECT 'summary', concat_ws('|', 'FOREIGN KEY', 2, 2 - refs, refs) FROM bad""",
+    "run_failing": """SELECT 'TABLE' AS kind, 'customer' AS name, count(*) AS target_table_rows, 'SUCCESS' AS outcome FROM customer
+        UNION ALL SELECT 'TABLE', 'orders', count(*) FILTER (o_totalprice = floor(o_totalprice)), 'TABLE INSERT FAIL' FROM orders
+        UNION ALL SELECT 'TABLE', 'absent', 0, 'TABLE NOT EXIST'
+        UNION ALL SELECT 'CONSTRAINT INDEX', 'customer primary key', NULL, 'failed'
+        UNION ALL SELECT 'CONSTRAINT INDEX', 'orders primary key', NULL, 'end'""",
+    "run_metadata": f"SELECT table_name, column_id, column_name, data_type FROM ({_described(['customer', 'orders', 'lineitem'])})",
+    "run_views": """SELECT 'REGION' AS source_table_name, count(*) AS source_rows, 'TABLE' AS db_type, 'REGION' AS target_table_name,
+          count(*) AS target_rows, 'Y' AS is_success FROM region
+        UNION ALL SELECT concat('V', doc_id), NULL, 'VIEW', CASE WHEN found THEN concat('V', doc_id) ELSE 'NOT EXISTS VIEW' END, NULL,
+          CASE WHEN found THEN 'Y' ELSE 'N' END
+        FROM (SELECT doc_id, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS found FROM documents)""",
     "run_listed": """SELECT 'orders' AS table_name, count(*) AS source_table_rows, count(*) AS target_table_rows,
           'SUCCESS' AS run_detail FROM orders
         UNION ALL SELECT 'lineitem', count(*), count(*), 'SUCCESS' FROM lineitem""",
     "run_data": """SELECT 'CUSTOMER' AS source_table_name, count(*) AS source_rows, 'TABLE' AS db_type,
           'CUSTOMER' AS target_table_name, count(*) AS target_rows, 'Y' AS is_success FROM customer
-        UNION ALL SELECT 'ORDERS', count(*), 'TABLE', 'ORDERS', count(*), 'Y' FROM orders""",
+        UNION ALL SELECT 'ORDERS', count(*), 'TABLE', 'ORDERS', count(*) FILTER (o_totalprice < 99999.995),
+          CASE WHEN bool_and(o_totalprice < 99999.995) THEN 'Y' ELSE 'N' END FROM orders""",
     "ordered_list": """SELECT l_orderkey, string_agg(l_partkey::VARCHAR, ',' ORDER BY l_linenumber, l_partkey) AS part_list
         FROM lineitem GROUP BY 1""",
-    "ordered_list_large": """SELECT l_returnflag, length(part_list) AS chars, md5(part_list) AS digest
-        FROM (SELECT l_returnflag, string_agg(l_partkey::VARCHAR, ',' ORDER BY l_orderkey, l_linenumber, l_partkey)
-          AS part_list FROM lineitem GROUP BY 1)""",
     "key_columns": f"""
         WITH t AS (SELECT concat('T', l_suppkey) AS table_name, l_orderkey, string_agg(concat('C', l_partkey), ','
             ORDER BY l_linenumber, concat('C', l_partkey)) AS columns FROM lineitem GROUP BY 1, 2),
@@ -382,7 +417,7 @@ ORACLES = {
         concat('unistr(''', chr(92), '0030'')'), '0'), concat('unistr(''', chr(92), '0031'')'), '1'),
         concat('unistr(''', chr(92), '0033'')'), '3')"""),
     "normalise_text": _digest(
-        f"""replace(replace(replace(replace(upper({TRIGGER_TEXT}), 'INTO:', 'INTO :'), 'SYS.DUAL ', 'DUAL'),
+        f"""replace(replace(replace(replace(upper(replace({TRIGGER_TEXT}, 'ß', 'SS')), 'INTO:', 'INTO :'), 'SYS.DUAL ', 'DUAL'),
         'SYS.DUAL', 'DUAL'), chr(10), '')"""),
     "strip_definition": _digest(
         f"""trim(replace(regexp_replace(replace(CASE WHEN instr(upper({DEFINITION_TEXT}), ' PCTFREE') > 0

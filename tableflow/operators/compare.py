@@ -12,12 +12,13 @@ from ..sources.names import folded
 from ..sources.store import Store, read_tables
 from .paging import number_rows
 
-# Marks of the compare result and the tables that hold the tool's own data.
+# Marks of the compare result.
 NO_TABLE = "TABLE NOT EXIST"
 NO_VIEW = "NOT EXISTS VIEW"
 NO_ROWS = -1
-COMPARE_TABLE = "DATA_COMPARE"
-TASK_TABLE = "MY_MIG_TASK_INFO"
+# Tables that hold a run's own data, unless a plan names others.
+COMPARE_TABLE = "RUN_COMPARE"
+TASK_TABLE = "RUN_LOG"
 OWN_TABLES = (COMPARE_TABLE, TASK_TABLE)
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 50_000
+BYTES_PER_BUCKET = 64 << 20
 ROWS_PER_TASK = 1_000_000
 MAX_BUCKETS = 16_384
 SAMPLED_PER_BUCKET = 32
@@ -80,6 +81,12 @@ def _add_bucket(df: DataFrame, key: Column, cuts: Sequence[str], literal: Callab
     return df.withColumnRenamed(f"_b{bits}", "_bucket").drop("_key")
 
 
+def _known_bytes(df: DataFrame) -> int:
+    """Bytes of the rows as Spark estimates them from its sources, 0 where it does not know."""
+    found = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return found if found < 1 << 60 else 0
+
+
 def _layout(df: DataFrame, keys: Sequence[str], unique: bool, buckets: int | None) -> _Layout:
     rest = [] if unique else [c for c in df.columns if c not in set(keys)]
     lead, order, keyed = list(keys), [*keys, *rest], df
@@ -87,13 +94,17 @@ def _layout(df: DataFrame, keys: Sequence[str], unique: bool, buckets: int | Non
         keyed = keyed.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in rest]))
         lead, order = [*keys, "_tie"], [*keys, "_tie", *rest]
 
-    texts = [c for c in keys if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
-    known = df.agg(F.count("*").alias("rows"), *[F.avg(F.octet_length(F.col(f"`{c}`"))) for c in texts]).first()
+    def size(c: str) -> Column:
+        column, kind = F.col(f"`{c}`"), df.schema[c].dataType
+        return F.octet_length(column if isinstance(kind, (T.StringType, T.BinaryType)) else F.to_json(F.struct(column)))
+
+    wide = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    known = df.agg(F.count("*").alias("rows"), *[F.avg(size(c)) for c in keys if isinstance(df.schema[c].dataType, wide)]).first()
     total = known["rows"]
     # The sample is sorted in one task and its cuts become part of the plan: both are bounded,
     # by number and for long keys by size. Fewer buckets are larger ones.
-    key_bytes = 16 * len(lead) + sum(size or 0 for size in known[1:])
-    wanted = buckets or min(MAX_BUCKETS, -(-total // ROWS_PER_BUCKET))
+    key_bytes = 16 * len(lead) + sum(found or 0 for found in known[1:])
+    wanted = buckets or min(MAX_BUCKETS, max(-(-total // ROWS_PER_BUCKET), -(-_known_bytes(df) // BYTES_PER_BUCKET)))
     sampled = min(SAMPLED_PER_BUCKET * wanted, int(SAMPLE_BYTES / key_bytes))
     wanted = min(wanted, max(2, sampled // 4))
     if wanted <= 1 or total == 0:

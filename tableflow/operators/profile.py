@@ -38,21 +38,27 @@ def text_widths(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def number_widths(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 10) -> DataFrame:
-    """``column_name, avg_length, min_value, max_value, max_scale`` of the numeric columns.
+    """``column_name, avg_length, min_value, max_value, max_scale, inexact`` of the numeric columns.
 
-    Values are compared exactly; doubles as decimals with ``digits`` places.
+    Values are compared exactly; doubles as decimals with ``digits`` places. ``inexact`` counts
+    the values that are not such a decimal (too large, too small, not finite). They are in no
+    other figure but the length.
     """
     names = _named(df, columns, (T.NumericType,))
     if not names:
         return df.sparkSession.createDataFrame([], "column_name string, avg_length double, min_value decimal(38,0), "
-                                                   "max_value decimal(38,0), max_scale int")
+                                                   "max_value decimal(38,0), max_scale int, inexact bigint")
     kinds = [df.schema[c].dataType for c in names]
     places = max([k.scale if isinstance(k, T.DecimalType) else 0 if isinstance(k, T.IntegralType) else digits
                   for k in kinds], default=0)
 
     def fields(c: str) -> dict[str, Column]:
         value, kind = F.col(f"`{c}`"), df.schema[c].dataType
-        exact = value if isinstance(kind, (T.IntegralType, T.DecimalType)) else value.try_cast(f"decimal(38,{digits})")
+        exact, inexact = value, F.lit(0).cast("bigint")
+        if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+            near = value.try_cast(f"decimal(38,{digits})")
+            exact = F.when(near.cast(kind) == value, near)
+            inexact = F.count_if(value.isNotNull() & exact.isNull())
         shown = F.rtrim(F.split_part(exact.cast("string"), F.lit("."), F.lit(2)), F.lit("0"))
         scale = F.lit(0) if isinstance(kind, T.IntegralType) else F.coalesce(F.max(F.length(shown)), F.lit(0))
         return {
@@ -60,6 +66,7 @@ def number_widths(df: DataFrame, columns: Sequence[str] | None = None, digits: i
             "min_value": F.min(exact).try_cast(f"decimal(38,{places})"),
             "max_value": F.max(exact).try_cast(f"decimal(38,{places})"),
             "max_scale": scale,
+            "inexact": inexact,
         }
 
     return one_row_per_column(df, {c: fields(c) for c in names})

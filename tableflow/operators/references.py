@@ -57,10 +57,11 @@ def key_columns(index_columns: DataFrame, indexes: DataFrame, constraints: DataF
     Inputs: ``(table_name, index_name, column_name, column_position)``,
     ``(index_name, uniqueness, index_type)`` and ``(constraint_name, constraint_type)``.
     """
-    columns = ordered_list(restrict_to_list(index_columns, "table_name", tables), ["table_name", "index_name"],
-                           "column_name", ["column_position", "column_name"], name="columns")
     plain = indexes.where(F.col("index_type") != FUNCTION_INDEX).select("index_name", "uniqueness", "index_type")
     kinds = constraints.select(F.col("constraint_name").alias("index_name"), "constraint_type")
+    # Columns of left out indexes do not move on; the lists and all joins share one exchange by index.
+    wanted = restrict_to_list(index_columns, "table_name", tables).join(plain, "index_name", "left_semi")
+    columns = ordered_list(wanted, ["table_name", "index_name"], "column_name", ["column_position", "column_name"], name="columns")
     return (columns.join(plain, "index_name").join(kinds, "index_name", "left")
             .select("table_name", "index_name", "columns", key_class().alias("key_class")))
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .compare import NO_TABLE
-from .paging import number_rows
 
 # Texts of the table report.
 INSERT_FAIL = "TABLE INSERT FAIL"
 SUCCESS = "SUCCESS"
+RUNNING = "running"
 
 
 def transfer_status(log: DataFrame) -> DataFrame:
@@ -58,15 +59,18 @@ def transfer_report(log: DataFrame, missing: DataFrame | None = None, numbered:
     short = F.when(F.col("source_table_rows") != F.col("target_table_rows"), INSERT_FAIL).otherwise("")
     told = F.concat(short, F.col("_detail"))
     report = tables.withColumn("run_detail", F.when(told == "", SUCCESS).otherwise(told)).drop("_detail")
-    return number_rows(report, ["run_detail", "table_name"], unique=True, name="id") if numbered else report
+    # A row for each table of a run: numbering them is no work for many tasks.
+    order = Window.orderBy("run_detail", "table_name")
+    return report.withColumn("id", F.row_number().over(order).cast("bigint")) if numbered else report
 
 
 def object_status(log: DataFrame) -> DataFrame:
     """Latest status and message of each object: ``kind, name, status, message``.
 
-    ``log`` holds ``kind, name, status, message, ts``.
+    ``log`` holds ``kind, name, status, message, ts``. At one time, a state beats ``running``.
     """
-    latest = F.max(F.struct("ts", "status", "message")).alias("last")
+    done = (F.col("status") != RUNNING).alias("done")
+    latest = F.max(F.struct("ts", done, "status", "message")).alias("last")
     return log.groupBy("kind", "name").agg(latest).select("kind", "name", "last.status", "last.message")
 
 

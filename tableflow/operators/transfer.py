@@ -54,6 +54,12 @@ def _checked(df: DataFrame, rules: Sequence[ColumnRule] | None, keep: Sequence[s
     return flagged.observe(seen, F.count("*").alias("rows"), out).where(F.col(REASON).isNull()).drop(REASON), seen
 
 
+def _ruled(df: DataFrame, rules: Sequence[ColumnRule] | None, *keep: str) -> DataFrame:
+    """The columns that go to the target: those with a rule, if there are rules."""
+    names = {r.name.upper() for r in rules or ()} | {k.upper() for k in keep}
+    return df if rules is None else df.select(*[F.col(f"`{c}`") for c in df.columns if c.upper() in names])
+
+
 def _save_rejects(df: DataFrame, rules: Sequence[ColumnRule] | None, seen: Observation,
                   reject_store: Store | None, name: str, options: dict[str, bool]) -> None:
     # The source is read again for the rejected rows only if the write met any.
@@ -66,11 +72,12 @@ def copy_table(df: DataFrame, store: Store, name: str, mode: str = "replace",
                **options: bool) -> DataFrame:
     """Write the table in one pass without any exchange; the log has one row.
 
-    Rows that do not fit ``rules`` are left out and kept in ``reject_store`` with a
-    reason. Counts are taken while the rows are written.
+    Rows that do not fit ``rules`` are left out and kept whole in ``reject_store`` with a
+    reason. Counts are taken while the rows are written. With rules, the target has the
+    columns they name, as in a mapping that drops some.
     """
     started = now()
-    good, seen = _checked(df, rules, (), options)
+    good, seen = _checked(_ruled(df, rules), rules, (), options)
     _write(good, store, name, mode, rules)
     _save_rejects(df, rules, seen, reject_store, name, options)
     rows, out = seen.get["rows"], seen.get["rejected"]
@@ -79,7 +86,7 @@ def copy_table(df: DataFrame, store: Store, name: str, mode: str = "replace",
 
 def transfer(df: DataFrame, store: Store, name: str, keys: Sequence[str], page_size: int, unique: bool = False,
              mode: str = "replace", rules: Sequence[ColumnRule] | None = None, reject_store: Store | None = None,
-             **options: bool) -> DataFrame:
+             buckets: int | None = None, **options: bool) -> DataFrame:
     """Write the table in pages of a fixed number of rows and log every page.
 
     The written table has a column ``page_no``. Target rows are counted per page on what
@@ -91,8 +98,8 @@ def transfer(df: DataFrame, store: Store, name: str, keys: Sequence[str], page_s
     started = now()
     spark = df.sparkSession
     staged = parquet_store(fresh_path(spark, "stage")) if store.kind == "jdbc" else store
-    paged = with_pages(df, keys, page_size, unique).drop("row_no")
-    good, seen = _checked(paged, rules, ("page_no",), options)
+    paged = with_pages(df, keys, page_size, unique, buckets).drop("row_no")
+    good, seen = _checked(_ruled(paged, rules, "page_no"), rules, ("page_no",), options)
     _write(good, staged, name, mode if staged is store else "replace", rules)
     _save_rejects(df, rules, seen, reject_store, name, options)
     stage = io.read_table(spark, staged, name)
@@ -110,11 +117,13 @@ def transfer(df: DataFrame, store: Store, name: str, keys: Sequence[str], page_s
         F.lit(now()).cast("timestamp_ntz").alias("task_end_time"))
 
 
-def load_common_columns(df: DataFrame, store: Store, name: str, batch_rows: int = 10_000) -> DataFrame | None:
+def load_common_columns(df: DataFrame, store: Store, name: str, batch_rows: int = 10_000,
+                        reject_store: Store | None = None) -> DataFrame | None:
     """Empty the target table and load the columns it shares with ``df``, others null.
 
     Returns the log, or ``None`` where the target has no such table. A file table is
-    rewritten with its own schema.
+    rewritten with its own schema. Rows with a value the target cannot hold are left out and
+    kept in ``reject_store`` with a reason; the log counts what was written.
     """
     schema = io.target_schema(df.sparkSession, store, name)
     if schema is None:
@@ -123,6 +132,12 @@ def load_common_columns(df: DataFrame, store: Store, name: str, batch_rows: int
     if store.kind == "jdbc":
         have = {c.upper() for c in df.columns}
         schema = type(schema)([f for f in schema if f.name.upper() in have])
-    seen = Observation()
-    io.truncate_load(align(df, schema).observe(seen, F.count("*").alias("rows")), store, name, batch_rows)
-    return log_row(df.sparkSession, name, seen.get["rows"], seen.get["rows"], started)
+    have = {c.upper() for c in df.columns}
+    rules = [ColumnRule(f.name, f.dataType.simpleString()) for f in schema if f.name.upper() in have]
+    options = {"exact_scale": True, "whole_seconds": False}
+    others = [c for c in df.columns if c.upper() not in {r.name.upper() for r in rules}]
+    good, seen = _checked(df, rules, others, options)
+    io.truncate_load(align(good, schema), store, name, batch_rows)
+    _save_rejects(df, rules, seen, reject_store, name, options)
+    rows, out = seen.get["rows"], seen.get["rejected"]
+    return log_row(df.sparkSession, name, rows, rows - out, started)

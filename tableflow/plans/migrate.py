@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from threading import Lock
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checks import assign_ids, check_not_null, check_primary_key, check_unique, orphan_summary
-from ..operators.compare import COMPARE_TABLE, NO_TABLE, TASK_TABLE, compare_counts, row_counts, store_counts
+from ..operators.compare import (
+    COMPARE_TABLE,
+    NO_TABLE,
+    TASK_TABLE,
+    compare_counts,
+    compare_keys,
+    row_counts,
+    store_counts,
+)
 from ..operators.mapping import ROW_WIDTH_LIMIT, column_rules, exact_types, fit_row_width, map_types, schema_of
 from ..operators.profile import number_widths, text_widths
-from ..operators.report import elapsed, object_status, run_summary, transfer_report
+from ..operators.report import INSERT_FAIL, RUNNING, elapsed, object_status, run_summary, transfer_report
 from ..operators.text import rewrite_text, valid_only
 from ..operators.transfer import copy_table, load_common_columns, log_row, now, transfer
 from ..session import materialise
 from ..sources.catalogue import catalogue_of, measured_catalogue
 from ..sources.names import folded
-from ..sources.store import Store, read_table, read_tables, replace, save_log
+from ..sources.store import Store, read_ranges, read_table, read_tables, replace, save_log
 
 FULL, LISTED, DATA, METADATA = "full", "listed", "data", "metadata"
 MODES = (FULL, LISTED, DATA, METADATA)
@@ -42,7 +50,8 @@ class TablePlan:
     """What is known about a table.
 
     ``order`` is needed for a log by page. Rows without a value in ``identity`` get the
-    next numbers, in that order.
+    next numbers, in that order. A database table is read in ``parts`` ranges of the number
+    ``split_key`` at a time, by load, profile and checks alike; without one, in one task.
     """
 
     name: str
@@ -52,6 +61,8 @@ class TablePlan:
     not_null: Sequence[str] = ()
     identity: str | None = None
     references: Sequence[Reference] = ()
+    split_key: str | None = None
+    parts: int = 8
 
 
 @dataclass(frozen=True)
@@ -59,7 +70,9 @@ class Plan:
     """What to move.
 
     ``measure`` reads lengths and number ranges from the data before mapping. Rejected rows
-    go to ``reject_store``, the log and the compare result to ``log_store``.
+    go to ``reject_store``, the log (as tables finish) and the compare result to ``log_store``.
+    ``views`` (view_name, text) are rewritten; with ``target_views`` (view_name), the compare
+    result says which of them are there.
     """
 
     source: Store
@@ -74,8 +87,11 @@ class Plan:
     measure: bool = False
     reject_store: Store | None = None
     log_store: Store | None = None
+    log_table: str = TASK_TABLE
+    compare_table: str = COMPARE_TABLE
     views: DataFrame | None = None
     objects: DataFrame | None = None
+    target_views: DataFrame | None = None
 
     def chosen(self) -> list[TablePlan]:
         if self.mode not in MODES:
@@ -124,27 +140,38 @@ def _fitted(mapping: DataFrame, readable: Mapping[str, DataFrame]) -> tuple[Data
                                  "column_name": folded("column_name")})
     fitted = fit_row_width(named, reduce(DataFrame.unionByName, widths))
     length = F.when(F.col("narrowed"), F.col("fitted_length")).otherwise(F.col("max_length"))
-    fitted = fitted.withColumns({"max_length": length, "table_name": F.col("_t"), "column_name": F.col("_c")})
-    fitted = fitted.select(*mapping.columns).cache()
+    told = F.concat(F.split_part("target_type", F.lit("("), F.lit(1)), F.lit("("), F.col("fitted_length"), F.lit(")"))
+    fitted = fitted.withColumns({
+        "max_length": length, "target_type": F.when(F.col("narrowed") & F.col("max_length").isNotNull(), told)
+        .otherwise(F.col("target_type")), "table_name": F.col("_t"), "column_name": F.col("_c")})
+    fitted = materialise(fitted.select(*mapping.columns), "mapping")
     return fitted, wide & {name.upper() for name in readable}
 
 
+def _read(spark: SparkSession, store: Store, table: TablePlan, types: Mapping[str, str] | None = None) -> DataFrame:
+    """A table of a store, in ranges of its split key where a database is asked."""
+    if store.kind == "jdbc" and table.split_key:
+        return read_ranges(spark, store, table.name, table.split_key, table.parts, types=types)
+    return read_table(spark, store, table.name, types=types)
+
+
 def _load(spark: SparkSession, plan: Plan, table: TablePlan, source: DataFrame,
           mapping: DataFrame | None) -> DataFrame | None:
     """Load one table in the mode of the plan and return its log."""
     if plan.mode == DATA:
-        return load_common_columns(source, plan.target, table.name)
+        return load_common_columns(source, plan.target, table.name, reject_store=plan.reject_store)
     rules = column_rules(mapping, table.name)
     if plan.mode == METADATA:
         replace(spark.createDataFrame([], schema_of(rules, source.schema)), plan.target, table.name)
         return log_row(spark, table.name, 0, 0, now())
     if plan.source.kind == "jdbc":
-        source = read_table(spark, plan.source, table.name, types=exact_types(rules))
+        source = _read(spark, plan.source, table, exact_types(rules))
         if table.order or table.identity:
             # Numbering reads its input several times; a live table is read once and cannot change in between.
             source = materialise(source, table.name)
     if table.identity:
-        source = assign_ids(source, table.identity, table.order or source.columns)
+        # Paging reads its input several times; the numbers are given once.
+        source = materialise(assign_ids(source, table.identity, table.order or source.columns), table.name)
     if table.order:
         unique = bool(table.primary_key) and set(table.primary_key) <= set(table.order)
         return transfer(source, plan.target, table.name, table.order, plan.page_size, unique, rules=rules,
@@ -152,30 +179,43 @@ def _load(spark: SparkSession, plan: Plan, table: TablePlan, source: DataFrame,
     return copy_table(source, plan.target, table.name, rules=rules, reject_store=plan.reject_store)
 
 
-def _checks(spark: SparkSession, plan: Plan, table: TablePlan) -> Iterator[tuple[str, str, DataFrame | None]]:
-    """Kind, name and violations in the target; ``None`` where a parent table is not there."""
-    df = read_table(spark, plan.target, table.name)
+def _checks(spark: SparkSession, plan: Plan, table: TablePlan) -> Iterator[tuple[str, str, Callable[[], DataFrame | None]]]:
+    """Kind, name and what finds violations in the target; that gives ``None`` where a parent table is not there."""
+    def rows(columns: Sequence[str]) -> DataFrame:
+        return _read(spark, plan.target, table).select(*columns)
+
+    def lost(ref: Reference) -> DataFrame | None:
+        if read_tables(spark, plan.target, [ref.parent])[ref.parent] is None:
+            return None
+        known = next((t for t in plan.tables if t.name == ref.parent), TablePlan(ref.parent))
+        parent = _read(spark, plan.target, known).select(*ref.parent_columns)
+        return orphan_summary(rows(ref.columns), parent, ref.columns, ref.parent_columns)
+
     if table.primary_key:
-        yield "CONSTRAINT INDEX", f"{table.name} primary key", check_primary_key(df, table.primary_key)
+        yield "CONSTRAINT INDEX", f"{table.name} primary key", lambda: check_primary_key(rows(table.primary_key), table.primary_key)
     for keys in table.unique_keys:
-        yield "CONSTRAINT INDEX", f"{table.name} unique {','.join(keys)}", check_unique(df, keys)
+        yield "CONSTRAINT INDEX", f"{table.name} unique {','.join(keys)}", lambda keys=keys: check_unique(rows(keys), keys)
     if table.not_null:
-        missing = check_not_null(df, table.not_null).where("null_count > 0")
-        yield "CONSTRAINT INDEX", f"{table.name} not null", missing
+        yield ("CONSTRAINT INDEX", f"{table.name} not null",
+               lambda: check_not_null(rows(table.not_null), table.not_null).where("null_count > 0"))
     for ref in table.references:
-        parent = read_tables(spark, plan.target, [ref.parent])[ref.parent]
-        lost = None if parent is None else orphan_summary(df, parent, ref.columns, ref.parent_columns)
-        yield "FOREIGN KEY", f"{table.name} {','.join(ref.columns)}", lost
+        yield "FOREIGN KEY", f"{table.name} {','.join(ref.columns)}", lambda ref=ref: lost(ref)
+
+
+def _told(error: Exception) -> str:
+    return f"{type(error).__name__}: {error}"
 
 
 def run(spark: SparkSession, plan: Plan) -> Run:
-    """Run the plan. A table that fails is reported and does not stop the others.
+    """Run the plan. A table or a check that fails is reported and does not stop the others.
 
     The driver only submits jobs, a few tables at a time; rows move in tasks.
     """
     tables = plan.chosen()
     sources = read_tables(spark, plan.source, [t.name for t in tables])
-    readable = {name: df for name, df in sources.items() if df is not None}
+    ranged = {t.name: t for t in tables if t.split_key and plan.source.kind == "jdbc"}
+    readable = {name: _read(spark, plan.source, ranged[name]) if name in ranged else df
+                for name, df in sources.items() if df is not None}
     mapping, narrowed = None, set()
     if plan.mode != DATA:
         described, profile = plan.catalogue, None
@@ -183,25 +223,44 @@ def run(spark: SparkSession, plan: Plan) -> Run:
             described, profile = measured_catalogue(spark, readable), _profile(readable)
         elif described is None:
             described = catalogue_of(spark, readable)
-        mapping, narrowed = _fitted(map_types(described, plan.compat, profile).cache(), readable)
+        mapping, narrowed = _fitted(materialise(map_types(described, plan.compat, profile), "mapping"), readable)
     status: list[tuple] = []
+    saving = Lock()
     if mapping is not None:
-        kept = mapping.where("rule = 'unmapped'").select("table_name", "column_name", "data_type").collect()
-        status += [("COLUMN", f"{r.table_name}.{r.column_name}", "unmapped", r.data_type, now()) for r in kept]
+        told = mapping.where("rule IN ('unmapped', 'dropped', 'table_lost')").select("table_name", "column_name", "data_type", "rule")
+        status += [("COLUMN", f"{r.table_name}.{r.column_name}", r.rule, r.data_type, now()) for r in told.collect()]
 
     def load(table: TablePlan) -> DataFrame:
-        status.append(("TABLE", table.name, "running", "", now()))
-        started, log, message = now(), None, ""
+        status.append(("TABLE", table.name, RUNNING, "", now()))
+        started, log, message, detail = now(), None, "", ""
         try:
             if table.name in readable:
                 log = _load(spark, plan, table, readable[table.name], mapping)
             if log is None:
-                message = NO_TABLE
-        except (PySparkException, ValueError) as error:
-            message = f"{type(error).__name__}: {error}".splitlines()[0][:500]
+                message = detail = NO_TABLE
+            else:
+                log = materialise(log, "log")  # read by the report, the log store and the caller
+        except Exception as error:  # whatever one table meets, the others go on
+            log, message = None, _told(error)
+            detail = f"{INSERT_FAIL} {message}"
         done = "narrowed" if table.name.upper() in narrowed else ""
         status.append(("TABLE", table.name, "failed" if message else "end", message or done, now()))
-        return log if log is not None else log_row(spark, table.name, 0, 0, started, NO_TABLE)
+        if log is None:
+            log = log_row(spark, table.name, 0, 0, started, detail)
+        if plan.log_store is not None:
+            with saving:  # files of one table, one writer at a time
+                save_log(elapsed(log), plan.log_store, plan.log_table)
+        return log
+
+    def check(found: tuple[str, str, Callable[[], DataFrame | None]]) -> tuple[str, DataFrame | None]:
+        kind, name, look = found
+        try:
+            bad = look()
+            failed, message = bad is None or not bad.isEmpty(), NO_TABLE if bad is None else ""
+        except Exception as error:
+            bad, failed, message = None, True, _told(error)
+        status.append((kind, name, "failed" if failed else "end", message, now()))
+        return name, bad if failed else None
 
     with ThreadPoolExecutor(max_workers=max(1, plan.parallel)) as pool:
         logs = list(pool.map(load, tables))
@@ -209,14 +268,11 @@ def run(spark: SparkSession, plan: Plan) -> Run:
 
     violations = {}
     if plan.mode != DATA:
-        for table in (t for t in tables if t.name in loaded):
-            for kind, name, bad in _checks(spark, plan, table):
-                failed = bad is None or not bad.isEmpty()
-                status.append((kind, name, "failed" if failed else "end", "" if bad is not None else NO_TABLE, now()))
-                if failed and bad is not None:
-                    violations[name] = bad
-            if table.identity:
-                status.append(("AUTO INCREMENT COL", f"{table.name}.{table.identity}", "end", "", now()))
+        moved = [t for t in tables if t.name in loaded]
+        with ThreadPoolExecutor(max_workers=max(1, plan.parallel)) as pool:
+            found = pool.map(check, [c for t in moved for c in _checks(spark, plan, t)])
+            violations = {name: bad for name, bad in found if bad is not None}
+        status += [("AUTO INCREMENT COL", f"{t.name}.{t.identity}", "end", "", now()) for t in moved if t.identity]
 
     views = None
     if plan.mode in (FULL, METADATA) and plan.views is not None:
@@ -228,9 +284,15 @@ def run(spark: SparkSession, plan: Plan) -> Run:
     names = [t.name for t in tables]
     ours = store_counts(spark, plan.source, names) if plan.source.kind == "jdbc" else row_counts(spark, sources)
     compared = compare_counts(ours, store_counts(spark, plan.target, [n for n in names if n in loaded]))
+    if views is not None and plan.target_views is not None:
+        there = compare_keys(views, plan.target_views, ["view_name"])
+        compared = compared.unionByName(there.select(
+            F.col("source_key").alias("source_table_name"), F.lit(None).cast("bigint").alias("source_rows"),
+            F.lit("VIEW").alias("db_type"), F.col("target_key").alias("target_table_name"),
+            F.lit(None).cast("bigint").alias("target_rows"), "is_success"))
     history = spark.createDataFrame(status, STATUS_DDL)
     if plan.log_store is not None:
-        save_log(elapsed(log), plan.log_store, TASK_TABLE)
-        save_log(compared.withColumn("compare_time", F.lit(now()).cast("timestamp_ntz")), plan.log_store, COMPARE_TABLE)
+        stamped = compared.withColumn("compare_time", F.lit(now()).cast("timestamp_ntz"))
+        save_log(stamped, plan.log_store, plan.compare_table)
     return Run(log, transfer_report(log), compared, object_status(history), run_summary(history), mapping, views,
                violations)

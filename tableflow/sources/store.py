@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from urllib.parse import unquote, urlparse
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import file_system, materialise
+
 MAX_CONNECTIONS = 64
 
 
@@ -65,7 +67,8 @@ def jdbc_write_options(store: Store, table: str, batch_rows: int = 10_000,
     """Options of a JDBC write.
 
     At most ``MAX_CONNECTIONS`` tasks write at a time, however many partitions there are;
-    ``numPartitions`` among the options of the store sets another limit.
+    ``numPartitions`` among the options of the store sets another limit. Rows are staged
+    before, so the limit holds back none of the work that makes them.
     """
     options = {"url": store.location, "dbtable": table, "batchsize": str(batch_rows),
                "numPartitions": str(MAX_CONNECTIONS)}
@@ -122,7 +125,7 @@ def range_predicates(key: str, cuts: Sequence[object]) -> list[str]:
 
 
 def read_ranges(spark: SparkSession, store: Store, name: str, key: str, parts: int,
-                balanced: bool = False) -> DataFrame:
+                balanced: bool = False, types: Mapping[str, str] | None = None) -> DataFrame:
     """Read a table as disjoint key ranges in parallel.
 
     Files are split by Spark itself, so this is a plain scan for them. A JDBC table is cut
@@ -130,47 +133,70 @@ def read_ranges(spark: SparkSession, store: Store, name: str, key: str, parts: i
     ``balanced=True`` (one more read of the key column).
     """
     if store.kind != "jdbc":
-        return read_table(spark, store, name)
+        return read_table(spark, store, name, types=types)
     if balanced:
         keys = read_ranges(spark, store, f"(SELECT {key} FROM {name}) k", key, parts)
-        return read_pages(spark, store, name, range_predicates(key, key_cuts(keys, key, parts)))
+        return read_pages(spark, store, name, range_predicates(key, key_cuts(keys, key, parts)), types)
     bounds = spark.read.format("jdbc").options(**jdbc_read_options(
         store, f"(SELECT MIN({key}) AS low, MAX({key}) AS high FROM {name}) b")).load().first()
-    options = jdbc_read_options(store, name)
+    return spark.read.format("jdbc").options(**jdbc_range_options(store, name, key, parts, bounds, types)).load()
+
+
+def jdbc_range_options(store: Store, name: str, key: str, parts: int, bounds: Sequence[object],
+                       types: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Options of a JDBC read in equal steps of ``key``; an empty table is read at once."""
+    options = jdbc_read_options(store, name, types)
     if bounds[0] is not None:
         options |= {"partitionColumn": key, "numPartitions": str(parts),
                     "lowerBound": str(bounds[0]), "upperBound": str(bounds[1])}
-    return spark.read.format("jdbc").options(**options).load()
+    return options
 
 
-def read_pages(spark: SparkSession, store: Store, name: str, predicates: Sequence[str]) -> DataFrame:
+def read_pages(spark: SparkSession, store: Store, name: str, predicates: Sequence[str],
+               types: Mapping[str, str] | None = None) -> DataFrame:
     """Rows of a table by a list of disjoint predicates, one task each over JDBC."""
     if store.kind == "jdbc":
-        properties = {k: v for k, v in jdbc_read_options(store, name).items() if k not in ("url", "dbtable")}
+        properties = {k: v for k, v in jdbc_read_options(store, name, types).items() if k not in ("url", "dbtable")}
         return spark.read.jdbc(store.location, name, predicates=list(predicates), properties=properties)
     return read_table(spark, store, name).where(" OR ".join(f"({p})" for p in predicates))
 
 
 def _write(df: DataFrame, store: Store, name: str, mode: str, batch_rows: int,
            extra: Mapping[str, str] | None = None) -> None:
+    """Rows are made whole before the target is touched: a failure on the way leaves it as it was."""
     if store.kind == "jdbc":
-        df.write.format("jdbc").options(**jdbc_write_options(store, name, batch_rows, extra)).mode(mode).save()
+        staged = materialise(df, name)
+        staged.write.format("jdbc").options(**jdbc_write_options(store, name, batch_rows, extra)).mode(mode).save()
     elif store.kind == "tables":
         keep = mode == "append" or (extra or {}).get("truncate") == "true"
+        staged = materialise(df, name) if mode == "overwrite" else df
         if keep and df.sparkSession.catalog.tableExists(store.table(name)):
-            df.write.insertInto(store.table(name), overwrite=mode == "overwrite")
+            staged.write.insertInto(store.table(name), overwrite=mode == "overwrite")
         else:
-            df.write.format(store.fmt).mode(mode).saveAsTable(store.table(name))
-    else:
-        if mode == "overwrite" and _reads_from(df, store.path(name)):
-            raise ValueError(f"{store.path(name)} cannot be overwritten while it is read")
+            staged.write.format(store.fmt).mode(mode).saveAsTable(store.table(name))
+    elif mode == "append":
         df.write.format(store.fmt).options(**store.options).mode(mode).save(store.path(name))
-
-
-def _reads_from(df: DataFrame, folder: str) -> bool:
-    """Whether the rows come from files in ``folder``, which an overwrite would remove first."""
-    inside = unquote(urlparse(folder).path).rstrip("/") + "/"
-    return any(unquote(urlparse(file).path).startswith(inside) for file in df.inputFiles())
+    else:
+        # A leading underscore hides the folder from readers of the store.
+        staged = f"{store.location.rstrip('/')}/_{name.replace('/', '_')}-{uuid.uuid4().hex}"
+        df.write.format(store.fmt).options(**store.options).save(staged)
+        _swap(df.sparkSession, staged, store.path(name))
+
+
+def _swap(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a written folder in the place of another, which goes only when the new one is there."""
+    system, new = file_system(spark, staged)
+    at, old = file_system(spark, target)[1], file_system(spark, f"{staged}-old")[1]
+    had = system.exists(at)
+    if had and not system.rename(at, old):
+        raise OSError(f"{target} cannot be moved aside")
+    if not system.rename(new, at):
+        if had:
+            system.rename(old, at)
+        raise OSError(f"{staged} cannot be moved to {target}")
+    if had:
+        system.delete(old, True)
+    spark.catalog.refreshByPath(target)
 
 
 def append(df: DataFrame, store: Store, name: str, batch_rows: int = 10_000) -> None:
@@ -179,7 +205,18 @@ def append(df: DataFrame, store: Store, name: str, batch_rows: int = 10_000) ->
 
 
 def truncate_load(df: DataFrame, store: Store, name: str, batch_rows: int = 10_000) -> None:
-    """Empty the table but keep its definition, then load the columns ``df`` has."""
+    """Empty the table but keep its definition, then load the columns ``df`` has.
+
+    Files get the columns and types they had, absent ones null; a column the table lacks is
+    an error, as in a database.
+    """
+    schema = target_schema(df.sparkSession, store, name) if store.kind == "files" else None
+    if schema is not None:
+        have = {c.upper(): c for c in df.columns}
+        if unknown := set(have) - {f.name.upper() for f in schema}:
+            raise ValueError(f"{name} has no columns {', '.join(sorted(unknown))}")
+        df = df.select(*[(F.col(f"`{have[f.name.upper()]}`") if f.name.upper() in have else F.lit(None))
+                         .cast(f.dataType).alias(f.name) for f in schema])
     _write(df, store, name, "overwrite", batch_rows, {"truncate": "true"})
 
 

@@ -12,8 +12,8 @@ LOG = "table_name string, source_table_rows bigint, target_table_rows bigint, ty
 
 
 def test_compare_counts(spark):
-    src = spark.createDataFrame([("same", 5), ("less", 5), ("gone", 1), ("Case", 2), ("bad", None), ("data_compare", 9)], COUNTS)
-    tgt = spark.createDataFrame([("SAME", 5), ("less", 4), ("cASE", 2), ("more", 1), ("bad", 0), ("my_mig_task_info", 3)], COUNTS)
+    src = spark.createDataFrame([("same", 5), ("less", 5), ("gone", 1), ("Case", 2), ("bad", None), ("run_compare", 9)], COUNTS)
+    tgt = spark.createDataFrame([("SAME", 5), ("less", 4), ("cASE", 2), ("more", 1), ("bad", 0), ("run_log", 3)], COUNTS)
     out = tf.compare_counts(src, tgt, numbered=True)
     got = {r.source_table_name: (r.source_rows, r.target_table_name, r.target_rows, r.is_success) for r in out.collect()}
     assert got == {

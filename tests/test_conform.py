@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -69,3 +70,32 @@ def test_names_match_in_any_case(spark):
     good, bad = tf.conform(spark.createDataFrame([(1, "x")], "Id int, NAME string"),
                            [ColumnRule("ID", "bigint"), ColumnRule("name", "string", max_length=3)])
     assert good.columns == ["ID", "name"] and rows(good) == [(1, "x")] and bad.count() == 0
+
+
+def test_fractions_do_not_become_whole_numbers(spark):
+    df = spark.createDataFrame([(Decimal("1.70"), 3.99, "2.50"), (Decimal("2.00"), 4.0, "3")], "a decimal(10,2), b double, c string")
+    rules = [ColumnRule("a", "bigint"), ColumnRule("b", "int"), ColumnRule("c", "int")]
+    good, bad = tf.conform(df, rules)
+    assert rows(good) == [(2, 4, 3)]
+    assert [r.reject_reason.split(";")[:2] for r in bad.collect()] == [["a:scale", "b:scale"]]
+
+
+def test_exact_scale_of_long_numbers(spark):
+    long = Decimal("1234567890123456789012345")
+    df = spark.createDataFrame([(long, Decimal("1.25"), 0.5), (long, Decimal("1.20"), 0.55)], "a decimal(30,0), b decimal(10,2), c double")
+    rules = [ColumnRule("a", "decimal(38,5)"), ColumnRule("b", "decimal(10,1)"), ColumnRule("c", "decimal(3,1)")]
+    good, bad = tf.conform(df, rules, exact_scale=True)
+    assert good.count() == 0 and [r.reject_reason for r in bad.orderBy("b", ascending=False).collect()] == ["b:scale", "c:scale"]
+
+
+def test_each_column_is_ruled_kept_or_an_error(spark):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    with pytest.raises(ValueError, match="B"):
+        tf.conform(df, [ColumnRule("a", "int")])
+    assert tf.conform(df, [ColumnRule("a", "int")], ["b"])[0].columns == ["a", "b"]
+
+
+def test_numbers_that_are_no_decimals_are_counted(spark):
+    df = spark.createDataFrame([(1e-12,), (1e30,), (0.25,), (-3.5,), (float("nan"),), (None,)], "x double")
+    r = tf.number_widths(df).first()
+    assert (r.min_value, r.max_value, r.max_scale, r.inexact) == (Decimal("-3.5"), Decimal("0.25"), 2, 3)

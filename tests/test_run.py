@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tableflow as tf
+from tableflow.plans import migrate
 
 from conftest import rows
 
@@ -110,8 +111,70 @@ def test_identity_log_and_unmapped_columns(spark, stores, tmp_path):
     assert rows(out.status.where("kind = 'COLUMN'").select("name", "status", "message")) == [
         ("x.v", "unmapped", "ARRAY<DOUBLE>")]
     assert rows(out.summary.where("kind = 'AUTO INCREMENT COL'")) == [("AUTO INCREMENT COL", 1, 1, 0)]
-    assert rows(tf.read_table(spark, logs, "MY_MIG_TASK_INFO", ["table_name", "target_table_rows"])) == [("x", 3)]
-    assert rows(tf.read_table(spark, logs, "DATA_COMPARE", ["source_table_name", "is_success"])) == [("X", "Y")]
+    assert rows(tf.read_table(spark, logs, "RUN_LOG", ["table_name", "target_table_rows"])) == [("x", 3)]
+    assert rows(tf.read_table(spark, logs, "RUN_COMPARE", ["source_table_name", "is_success"])) == [("X", "Y")]
     empty = tf.run(spark, tf.Plan(source, target, [table], mode="metadata"))
     assert tf.read_table(spark, target, "x").dtypes == [("id", "bigint"), ("name", "string"), ("v", "array<double>")]
     assert empty.report.first().run_detail == "SUCCESS"
+
+
+def test_fractions_end_in_the_reject_store(spark, stores, tmp_path):
+    source, target = stores
+    tf.replace(spark.createDataFrame([(1, 1.7), (2, 2.5), (3, 4.0)], "id bigint, price double"), source, "p")
+    described = tf.catalogue_of(spark, {"p": tf.read_table(spark, source, "p")}).withColumn("data_type", F.lit("NUMBER"))
+    kept = tf.parquet_store(str(tmp_path / "kept"))
+    out = tf.run(spark, tf.Plan(source, target, [tf.TablePlan("p")], catalogue=described, reject_store=kept))
+    assert [r.run_detail for r in out.report.collect()] == ["TABLE INSERT FAIL"] and [r.is_success for r in out.compare.collect()] == ["N"]
+    assert sorted(rows(tf.read_table(spark, target, "p"))) == [(3, 4)]
+    assert sorted((r.id, r.reject_reason) for r in tf.read_table(spark, kept, "p").collect()) == [(1, "price:scale"), (2, "price:scale")]
+
+
+def test_a_run_survives_what_tables_and_checks_meet(spark, stores, tmp_path):
+    source, target = stores
+    damaged = tmp_path / "s" / "damaged"
+    tf.replace(spark.range(3), source, "damaged")
+    for part in damaged.glob("part-*"):
+        part.write_bytes(part.read_bytes()[:-40] + b"x" * 40)
+    tf.replace(spark.createDataFrame([(5,)], "id bigint"), target, "damaged")
+    logs = tf.parquet_store(str(tmp_path / "logs"))
+    tables = [tf.TablePlan("damaged"), tf.TablePlan("parent", primary_key=["nosuch"], not_null=["name"])]
+    out = tf.run(spark, tf.Plan(source, target, tables, log_store=logs))
+    detail = {r.table_name: r.run_detail for r in out.report.collect()}
+    assert detail["parent"] == "SUCCESS" and detail["damaged"] in ("TABLE NOT EXIST",) or detail["damaged"].startswith("TABLE INSERT FAIL ")
+    states = {r.name: r.status for r in out.status.collect()}
+    assert states["parent primary key"] == "failed" and states["parent not null"] == "end" and states["damaged"] == "failed"
+    assert rows(tf.read_table(spark, target, "damaged")) == [(5,)]
+    assert {r.table_name for r in tf.read_table(spark, logs, "RUN_LOG").collect()} == {"damaged", "parent"}
+
+
+def test_a_failing_table_is_not_called_missing(spark, stores):
+    source, target = stores
+    tf.replace(spark.createDataFrame([(1, 2)], "id bigint, ID2 bigint"), source, "t")
+    tf.replace(spark.createDataFrame([([1],)], "id array<int>"), target, "t")
+    out = tf.run(spark, tf.Plan(source, target, [tf.TablePlan("t")], mode="data"))
+    assert [r.run_detail[:17] for r in out.report.collect()] == ["TABLE INSERT FAIL"]
+
+
+def test_narrowed_columns_have_one_width(spark, stores):
+    source, target = stores
+    described = tf.catalogue_of(spark, {"parent": tf.read_table(spark, source, "parent")}).withColumn(
+        "char_length", F.when(F.col("data_type") == "VARCHAR2", 70_000))
+    out = tf.run(spark, tf.Plan(source, target, TABLES[:1], catalogue=described, mode="metadata"))
+    assert {r.column_name: (r.target_type, r.max_length) for r in out.mapping.collect()}["name"] == ("VARCHAR(2)", 2)
+
+
+def test_an_end_beats_a_start_at_one_time(spark):
+    log = spark.createDataFrame([("TABLE", "a", "running", "", 1), ("TABLE", "a", "end", "", 1), ("TABLE", "b", "running", "", 1)],
+                                "kind string, name string, status string, message string, ts int")
+    assert {r.name: r.status for r in tf.object_status(log).collect()} == {"a": "end", "b": "running"}
+
+
+def test_database_tables_are_read_in_ranges(spark, stores, monkeypatch):
+    asked = []
+    monkeypatch.setattr(migrate, "read_ranges", lambda spark, store, name, key, parts, types=None: asked.append((name, key, parts, types)))
+    monkeypatch.setattr(migrate, "read_table", lambda spark, store, name, types=None: asked.append((name, types)))
+    store = tf.Store("jdbc", "jdbc:x://h/db")
+    migrate._read(spark, store, tf.TablePlan("t", split_key="id", parts=5), {"n": "decimal(5,0)"})
+    migrate._read(spark, store, tf.TablePlan("u"))
+    migrate._read(spark, stores[0], tf.TablePlan("v", split_key="id"))
+    assert asked == [("t", "id", 5, {"n": "decimal(5,0)"}), ("u", None), ("v", None)]

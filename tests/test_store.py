@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 import tableflow as tf
 from tableflow.operators.mapping import ColumnRule
-from tableflow.sources.store import jdbc_read_options, jdbc_write_options, key_cuts, range_predicates, target_schema
+from tableflow import session
+from tableflow.sources.store import jdbc_range_options, jdbc_read_options, jdbc_write_options, key_cuts, range_predicates, target_schema
 
 from conftest import rows
 
@@ -119,15 +120,55 @@ def test_shared_folder_comes_from_the_session(spark):
     assert df.count() == 5 and "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_a_table_is_not_overwritten_from_itself(spark, store):
+def test_a_table_is_written_whole_before_it_replaces_what_it_is_read_from(spark, store):
     tf.replace(spark.range(5), store, "t")
-    tf.replace(spark.range(5), store, "t2")
-    t = tf.read_table(spark, store, "t")
+    tf.truncate_load(tf.read_table(spark, store, "t").where("id > 2"), store, "t")
+    assert sorted(rows(tf.read_table(spark, store, "t"))) == [(3,), (4,)]
+
+
+def test_a_failed_load_leaves_the_old_table(spark, store):
+    tf.replace(spark.createDataFrame([(1, "old")], "a int, b string"), store, "t")
+    bad = spark.createDataFrame([("x1",), ("5",)], "a string").selectExpr("CAST(a AS INT) AS a")
+    for load in (tf.truncate_load, tf.replace):
+        with pytest.raises(Exception):
+            load(bad, store, "t")
+        assert rows(tf.read_table(spark, store, "t")) == [(1, "old")]
+
+
+def test_truncate_keeps_the_definition(spark, store):
+    tf.replace(spark.createDataFrame([(1, "x")], "a bigint, b string"), store, "t")
+    tf.truncate_load(spark.createDataFrame([(2,)], "A int"), store, "t")
+    out = tf.read_table(spark, store, "t")
+    assert out.dtypes == [("a", "bigint"), ("b", "string")] and rows(out) == [(2, None)]
     with pytest.raises(ValueError):
-        tf.truncate_load(t.where("id > 2"), store, "t")
-    assert t.count() == 5
-    tf.truncate_load(t.where("id > 2"), store, "t2")
-    assert tf.read_table(spark, store, "t2").count() == 2
+        tf.truncate_load(spark.createDataFrame([(2,)], "c int"), store, "t")
+
+
+def test_common_columns_keep_what_does_not_fit(spark, store):
+    tf.replace(spark.createDataFrame([(0, "old")], "a int, b string"), store, "t")
+    kept = tf.parquet_store(store.location + "_kept")
+    src = spark.createDataFrame([("x1", 1.5), ("5", 2.0), ("2.5", 3.0)], "a string, other double")
+    log = tf.load_common_columns(src, store, "t", reject_store=kept).first()
+    assert (log.source_table_rows, log.target_table_rows) == (3, 1)
+    assert rows(tf.read_table(spark, store, "t")) == [(5, None)]
+    assert sorted((r.a, r.other) for r in tf.read_table(spark, kept, "t").collect()) == [("2.5", 3.0), ("x1", 1.5)]
+
+
+def test_ranges_of_a_database_read():
+    store = tf.Store("jdbc", "jdbc:x://h/db")
+    options = jdbc_range_options(store, "T", "id", 6, (1, 90), {"N": "decimal(5,0)"})
+    assert {k: options[k] for k in ("dbtable", "partitionColumn", "numPartitions", "lowerBound", "upperBound", "customSchema")} == {
+        "dbtable": "T", "partitionColumn": "id", "numPartitions": "6", "lowerBound": "1", "upperBound": "90", "customSchema": "`N` decimal(5,0)"}
+    assert "partitionColumn" not in jdbc_range_options(store, "T", "id", 6, (None, None))
+
+
+def test_staged_data_goes_on_request(spark, tmp_path):
+    df = tf.materialise(spark.range(5), folder=str(tmp_path))
+    assert df.count() == 5 and len(list(tmp_path.iterdir())) == 1
+    kept = dict(session._STAGED)
+    session._STAGED[spark.sparkContext.applicationId] = [p for p in session._STAGED[spark.sparkContext.applicationId] if str(tmp_path) in p]
+    assert session.remove_staged(spark) == 1 and not list(tmp_path.iterdir())
+    session._STAGED.update(kept)
 
 
 def test_empty_tables_are_logged(spark, store):
