@@ -27,7 +27,7 @@ WIDTH = 2.7  # of a window, in radii: a vector at the radius is in it with proba
 COLLISIONS = 49  # of LINES
 FIRST_RADIUS = 0.3
 GROWTH = 1.25
-SHARD_ROWS = 16_384
+SHARD_ROWS = 8_192
 _APART = 1_000.0  # more than any two places differ
 QUERY_ROWS = 512
 

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tableflow.joins import divisible_join
 from tableflow.llm.common import ids_column, prepare
 from tableflow.llm.simhash import _ranges as ranges
 from tableflow.session import fresh_path, materialise
@@ -172,7 +173,8 @@ def top_k(docs: DataFrame, queries: Column, k: int, id_col: str = "doc_id", text
     df = known.join(terms.select("term").distinct(), F.col("of") == F.col("term"), "left_semi").groupBy("of").agg(F.sum("df").alias("df"))
     # The same formula in the tests' SQL; the logarithm is Java's.
     rarity = F.log(1 + (F.lit(total) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighed = terms.join(df, F.col("term") == F.col("of")).select("query_id", "term", rarity.alias("rarity"))
+    # A word that most queries have is divided by the adaptive join.
+    weighed = divisible_join(terms, df, [terms.term], [df.of], "inner").select("query_id", "term", rarity.alias("rarity"))
     blocks = max(1, -(-terms.select("query_id").distinct().count() // query_rows))
 
     def block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
