@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
 import sys
-import tempfile
 from collections.abc import Callable
 from functools import reduce, wraps
 from pathlib import Path
@@ -29,6 +27,7 @@ from oracle_queries import (  # noqa: E402
 )
 from tableflow.operators.mapping import ColumnRule  # noqa: E402
 from tableflow.operators.paging import page_count, page_range  # noqa: E402
+from tableflow.session import own_folder  # noqa: E402
 from tableflow.sources.store import key_cuts, range_predicates  # noqa: E402
 
 try:
@@ -556,13 +555,9 @@ _QUERIES = (
 
 
 def _with_folder(query):
-    """On a local master that names no shared folder, the one machine's own folder serves as it."""
     @wraps(query)
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        context = spark.sparkContext
-        unset = not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir())
-        if unset and re.match(r"local(\[|$)", context.master):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="tableflow-"))
+        own_folder(spark)
         return query(spark, sf)
 
     return run

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from py4j.java_gateway import JavaObject
@@ -18,6 +20,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def own_folder(spark: SparkSession) -> None:
+    """Give a session on one machine a folder of that machine, where it names none. A cluster must name its own."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and re.match(r"local(\[|$)", context.master):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tableflow-"))
+
+
 def fresh_path(spark: SparkSession, label: str, folder: str | None = None) -> str:
     """A path in ``folder`` (the shared one if not given) that no other run uses."""
     path = f"{folder.rstrip('/') if folder else shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
