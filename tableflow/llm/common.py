@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import re
 import struct
-import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableflow.session import file_system, shared_folder
+
 BATCH_ROWS = 1_000
 CACHE_WORDS = 500_000
 CACHE_LETTERS = 64
@@ -31,17 +34,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def prepare(spark: SparkSession) -> None:
     """Let executors import this library, and send them texts in batches of at most 1,000 rows.
 
-    The library goes out through Spark's own file server, once for each application, so that no
-    executor needs it installed. A batch of long texts must fit in a worker's memory.
+    The library goes to the shared folder and from there to executors, once for each application,
+    so that none needs it installed. A batch of long texts must fit in a worker's memory.
     """
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
-        root = Path(__file__).resolve().parent.parent
-        archive = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
-        with zipfile.ZipFile(archive, "w") as out:
+        root, data = Path(__file__).resolve().parent.parent, io.BytesIO()
+        with zipfile.ZipFile(data, "w") as out:
             for source in sorted(root.rglob("*.py")):
                 out.write(source, source.relative_to(root.parent))
-        context.addPyFile(str(archive))
+        path = f"{shared_folder(spark)}/code-{uuid.uuid4().hex}/{root.name}.zip"
+        system, found = file_system(spark, path)
+        stream = system.create(found)
+        stream.write(data.getvalue())
+        stream.close()
+        context.addPyFile(path)
         _SHIPPED.add(context.applicationId)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
