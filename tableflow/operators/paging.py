@@ -111,33 +111,41 @@ def _layout(df: DataFrame, keys: Sequence[str], unique: bool, buckets: int | Non
         keyed = keyed.withColumns({"_bucket": F.lit(0), "_copy": F.lit(False)})
         return _Layout(keyed, order, {0: (total, 0)} if total else {})
 
-    full_key = F.struct(*[F.col(f"`{c}`") for c in lead])
-    picked = keyed.select(full_key.alias("k"))
-    if sampled < total:
-        picked = picked.sample(sampled / total, seed=7)
-    ordered = picked.agg(F.array_sort(F.collect_list("k")).alias("s"))
-    cut = F.transform(
-        F.sequence(F.lit(1).cast("bigint"), F.lit(wanted - 1).cast("bigint")),
-        lambda i: F.get("s", F.floor(i * F.size("s") / wanted).cast("int")),
-    )
-    # Cuts are kept as JSON. They are what is left after writing and reading it, in order.
-    array_type = T.ArrayType(picked.schema["k"].dataType)
-    drawn = ordered.select(F.sort_array(F.from_json(F.to_json(cut, _JSON), array_type, _JSON)).alias("c"))
-    prefixes = {f"p{n}": lead[:n] for n in range(1, len(lead) + 1)}
-
-    def shortened(columns: list[str]) -> Column:
-        some = F.filter("c", lambda x: x[columns[0]].isNotNull()) if len(columns) == 1 else F.col("c")
-        return F.transform(some, lambda x: F.struct(*[x[c].alias(c) for c in columns]))
-
-    def first_of_run(array: str) -> Column:
-        return F.filter(array, lambda x, i: (i == 0) | (F.get(array, i - 1) != x))
-
-    drawn = drawn.select(
-        F.filter("c", lambda x, i: (i > 0) & (F.get("c", i - 1) == x)).alias("hot"),
-        *[shortened(p).alias(name) for name, p in prefixes.items()])
-    drawn = drawn.select(*[first_of_run(name).alias(name) for name in ("hot", *prefixes)])
-    chosen = drawn.select(*[F.transform(name, lambda x: F.to_json(x, _JSON)).alias(name)
-                            for name in ("hot", *prefixes)]).first().asDict()
+    def drawn(lead: list[str]) -> tuple[Column, dict[str, list[str]], dict[str, list[str]]]:
+        """The key, its prefixes, and for each of them the cuts that a sample gives, as JSON."""
+        full_key = F.struct(*[F.col(f"`{c}`") for c in lead])
+        picked = keyed.select(full_key.alias("k"))
+        if sampled < total:
+            picked = picked.sample(sampled / total, seed=7)
+        ordered = picked.agg(F.array_sort(F.collect_list("k")).alias("s"))
+        cut = F.transform(
+            F.sequence(F.lit(1).cast("bigint"), F.lit(wanted - 1).cast("bigint")),
+            lambda i: F.get("s", F.floor(i * F.size("s") / wanted).cast("int")),
+        )
+        # Cuts are kept as JSON. They are what is left after writing and reading it, in order.
+        array_type = T.ArrayType(picked.schema["k"].dataType)
+        cuts = ordered.select(F.sort_array(F.from_json(F.to_json(cut, _JSON), array_type, _JSON)).alias("c"))
+        prefixes = {f"p{n}": lead[:n] for n in range(1, len(lead) + 1)}
+
+        def shortened(columns: list[str]) -> Column:
+            some = F.filter("c", lambda x: x[columns[0]].isNotNull()) if len(columns) == 1 else F.col("c")
+            return F.transform(some, lambda x: F.struct(*[x[c].alias(c) for c in columns]))
+
+        def first_of_run(array: str) -> Column:
+            return F.filter(array, lambda x, i: (i == 0) | (F.get(array, i - 1) != x))
+
+        cuts = cuts.select(
+            F.filter("c", lambda x, i: (i > 0) & (F.get("c", i - 1) == x)).alias("hot"),
+            *[shortened(p).alias(name) for name, p in prefixes.items()])
+        cuts = cuts.select(*[first_of_run(name).alias(name) for name in ("hot", *prefixes)])
+        return full_key, prefixes, cuts.select(*[
+            F.transform(name, lambda x: F.to_json(x, _JSON)).alias(name) for name in ("hot", *prefixes)]).first().asDict()
+
+    full_key, prefixes, chosen = drawn(list(keys))
+    if rest and chosen["hot"]:  # only where the keys repeat are the other columns read for it
+        full_key, prefixes, chosen = drawn(lead)
+    else:
+        lead = list(keys)
     whole = f"p{len(lead)}"
     copied = not unique and len(chosen["hot"]) > 0
     # The fewest leading keys that tell the cuts apart as well as all of them do.
