@@ -278,7 +278,8 @@ def transfer_log(spark, sf):
 def page_numbers(spark, sf):
     """First and last row of pages given as text: numbers, 0 and texts that are none."""
     asked = _t(spark, sf, "orders").select(
-        "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")).otherwise((F.col("o_orderkey") % 50).cast("string")).alias("page"))
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus"))
+        .otherwise((F.col("o_orderkey") % 50).cast("string")).alias("page"))
     bounds = page_range(F.col("page"), F.lit("1000"))
     return asked.select("o_orderkey", bounds["start_row"].alias("start_row"), bounds["end_row"].alias("end_row"))
 
