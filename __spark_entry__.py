@@ -286,7 +286,8 @@ def page_numbers(spark, sf):
 
 def page_counts_compat(spark, sf):
     return scan_counts(spark, sf).select(
-        "table_name", page_count(F.col("row_count"), 1000).alias("pages"), page_count(F.col("row_count"), 1000, compat=True).alias("pages_compat"))
+        "table_name", page_count(F.col("row_count"), 1000).alias("pages"),
+        page_count(F.col("row_count"), 1000, compat=True).alias("pages_compat"))
 
 
 def _logs(spark, sf):
@@ -330,7 +331,8 @@ def zoned_elapsed(spark, sf):
     """Times of a zone, each an instant, in place of wall clock times."""
     tasks = _t(spark, sf, "events", "user_id", "ts").groupBy("user_id").agg(
         F.min("ts").cast("timestamp").alias("task_start_time"), F.max("ts").cast("timestamp").alias("task_end_time"))
-    return tf.elapsed(tasks.withColumn("task_end_time", F.col("task_end_time") + F.expr("INTERVAL 90 SECONDS"))).select("user_id", "run_time")
+    later = tasks.withColumn("task_end_time", F.col("task_end_time") + F.expr("INTERVAL 90 SECONDS"))
+    return tf.elapsed(later).select("user_id", "run_time")
 
 
 def _plan(spark, sf, mode, **more):
@@ -349,9 +351,12 @@ def run_full(spark, sf):
     """Report, compare and summary of one run, a line each."""
     done = tf.run(spark, _plan(spark, sf, "full"))
     parts = {"report": done.report.drop("id"), "compare": done.compare, "summary": done.summary}
-    return reduce(DataFrame.unionByName, [
-        df.select(F.lit(part).alias("part"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns]).alias("line"))
-        for part, df in parts.items()])
+
+    def lines(part: str, df: DataFrame) -> DataFrame:
+        shown = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns]
+        return df.select(F.lit(part).alias("part"), F.concat_ws("|", *shown).alias("line"))
+
+    return reduce(DataFrame.unionByName, [lines(part, df) for part, df in parts.items()])
 
 
 def run_failing(spark, sf):
@@ -359,8 +364,10 @@ def run_failing(spark, sf):
     tables = [tf.TablePlan("customer", primary_key=["nosuch"]), tf.TablePlan("orders", primary_key=["o_orderkey"]), tf.TablePlan("absent")]
     described = tf.catalogue_of(spark, {t.name: _t(spark, sf, t.name) for t in tables[:2]}).withColumn(
         "data_type", F.when(F.col("column_name") == "o_totalprice", "NUMBER").otherwise(F.col("data_type")))
-    done = tf.run(spark, tf.Plan(_store(sf), _scratch(spark, "failing"), tables, catalogue=described, reject_store=_scratch(spark, "rejects")))
-    report = done.report.select(F.lit("TABLE").alias("kind"), F.col("table_name").alias("name"), "target_table_rows", F.col("run_detail").alias("outcome"))
+    done = tf.run(spark, tf.Plan(_store(sf), _scratch(spark, "failing"), tables, catalogue=described,
+                                 reject_store=_scratch(spark, "rejects")))
+    report = done.report.select(F.lit("TABLE").alias("kind"), F.col("table_name").alias("name"), "target_table_rows",
+                                F.col("run_detail").alias("outcome"))
     checks = done.status.where("kind = 'CONSTRAINT INDEX'").select(
         "kind", "name", F.lit(None).cast("bigint").alias("target_table_rows"), F.col("status").alias("outcome"))
     return report.unionByName(checks)
@@ -370,7 +377,8 @@ def run_metadata(spark, sf):
     """Tables made without rows: the columns they have."""
     plan = _plan(spark, sf, "metadata")
     tf.run(spark, plan)
-    return tf.column_catalogue(spark, plan.target, ["customer", "orders", "lineitem"]).select("table_name", "column_id", "column_name", "data_type")
+    return tf.column_catalogue(spark, plan.target, ["customer", "orders", "lineitem"]).select(
+        "table_name", "column_id", "column_name", "data_type")
 
 
 def run_views(spark, sf):
@@ -544,7 +552,8 @@ def valid_only(spark, sf):
 
 _QUERIES = (
     scan_counts, range_scan, name_list, restrict_to_list, load_append, load_truncate, save_csv, save_log, read_types,
-    column_catalogue, measured_catalogue, map_types, map_notes, map_types_measured, map_types_compat, clean_defaults, clean_defaults_compat, fit_row_width, text_widths, number_widths,
+    column_catalogue, measured_catalogue, map_types, map_notes, map_types_measured, map_types_compat, clean_defaults,
+    clean_defaults_compat, fit_row_width, text_widths, number_widths,
     conform_rows, reject_rows, conform_fractions, common_columns, load_common_columns, page_plan, page_rows,
     page_rows_copies, page_slice, page_numbers, page_counts_compat, transfer_log, transfer_status, transfer_report, copy_log,
     task_elapsed, zoned_elapsed, run_full, run_failing, run_metadata, run_views, run_listed, run_data, ordered_list, key_columns,
