@@ -14,6 +14,8 @@ they do not depend on the order of adding, and equal texts tie exactly. Words ar
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,12 +36,12 @@ from tableflow.session import fresh_path, materialise
 K1 = 1.2
 B = 0.75
 UNIT = 1_000_000
-SHARD_ROWS = 8_192
-BLOCK_ROWS = 64
-QUERY_ROWS = 256
-FIRST_BLOCKS = 4
+SHARD_ROWS = 16_384
+BLOCK_ROWS = 512
+QUERY_ROWS = 4_096
+FIRST_BLOCKS = 1
 
-_INDEX = ("shard long, doc_ids array<long>, n_docs long, n_words long, terms array<long>, dfs array<long>, lengths binary,"
+_INDEX = ("shard long, ids binary, no_id binary, n_docs long, n_words long, terms array<long>, dfs array<long>, lengths binary,"
           " docs binary, tfs binary")
 _FOUND = "query_id long, doc_id long, score long"
 
@@ -60,35 +62,43 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, codes[real], np.concatenate([[0], np.cumsum(real)])[cuts]
 
 
-def index_rows(texts: list[str]) -> dict:
-    """The inverted index of some texts; lists are in the order of the words' hashes."""
+def postings(texts: list[str], first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A word's hash, the document's place and how often it has the word, for each pair; and the documents' lengths."""
     hashes, codes, cuts = words(texts)
     lengths = np.diff(cuts)
     names, place = np.unique(hashes, return_inverse=True)
     pairs, tfs = np.unique(place[codes].astype(np.int64) * len(texts) + np.repeat(np.arange(len(texts)), lengths), return_counts=True)
-    terms, dfs = np.unique(pairs // len(texts), return_counts=True)
-    return {"n_docs": len(texts), "n_words": int(lengths.sum()), "terms": names[terms], "dfs": dfs,
-            "lengths": lengths.astype("<i8").tobytes(), "docs": (pairs % len(texts)).astype("<i4").tobytes(), "tfs": tfs.astype("<i4").tobytes()}
+    return names[pairs // len(texts)], (pairs % len(texts) + first).astype(np.int32), tfs.astype(np.int32), lengths
+
+
+def index_rows(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> dict:
+    """The inverted index of the documents in ``parts``; lists are in the order of the words' hashes."""
+    terms, docs, tfs, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(terms, kind="stable")  # documents ascend in each part and from part to part
+    names, dfs = np.unique(terms[order], return_counts=True)
+    return {"n_docs": len(lengths), "n_words": int(lengths.sum()), "terms": names, "dfs": dfs, "lengths": lengths.astype("<i8").tobytes(),
+            "docs": docs[order].astype("<i4").tobytes(), "tfs": tfs[order].astype("<i4").tobytes()}
 
 
 def build(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The index of all rows (doc_id, text), a row for each shard. Texts do not leave their partition."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, texts, shard = [], [], TaskContext.get().partitionId() << 32
+        ids, parts, shard = [], [], TaskContext.get().partitionId() << 32
 
         def row() -> pd.DataFrame:
-            return pd.DataFrame([{"shard": shard, "doc_ids": list(ids)} | index_rows(texts)])
+            known = np.array([0 if i is None else i for i in ids], "<i8")
+            return pd.DataFrame([{"shard": shard, "ids": known.tobytes(), "no_id": np.array([i is None for i in ids]).tobytes()}
+                                 | index_rows(parts)])
 
         for batch in batches:
-            for doc, text in zip(ids_column(batch["doc_id"]), batch["text"], strict=True):
-                ids.append(None if pd.isna(doc) else int(doc))
-                texts.append(text)
-                if len(texts) == shard_rows:
+            for at in range(0, len(batch), shard_rows):
+                some = batch.iloc[at:at + shard_rows]
+                if ids and len(ids) + len(some) > shard_rows:
                     yield row()
-                    shard += 1
-                    ids.clear()
-                    texts.clear()
-        if texts:
+                    shard, ids, parts = shard + 1, [], []
+                parts.append(postings(some["text"].tolist(), len(ids)))
+                ids += [None if pd.isna(i) else int(i) for i in ids_column(some["doc_id"])]
+        if ids:
             yield row()
 
     return docs.mapInPandas(run, _INDEX)
@@ -98,26 +108,53 @@ class Shard:
     """An index in memory: postings' weights without the words' rarity, and their maxima by block."""
 
     def __init__(self, row, mean_length: float):
-        self.ids = list(row.doc_ids)
+        self.ids, self.no_id = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.no_id, bool)
         self.terms = np.asarray(row.terms, np.int64)
         ends = np.cumsum(np.asarray(row.dfs, np.int64))
-        self.docs = np.frombuffer(row.docs, "<i4").astype(np.int64)
-        tf, length = np.frombuffer(row.tfs, "<i4").astype(np.float64), np.frombuffer(row.lengths, "<i8").astype(np.float64)
-        self.weights = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.docs] / mean_length))
+        self.docs = np.frombuffer(row.docs, "<i4")
+        length = K1 * (1 - B + B * np.frombuffer(row.lengths, "<i8") / mean_length)
+        self.weights = np.frombuffer(row.tfs, "<i4").astype(np.float64)
+        below = length[self.docs]
+        below += self.weights
+        self.weights *= K1 + 1
+        self.weights /= below
+        del below
         # Each list's postings in each of its blocks: a start, and the largest weight.
-        place = np.repeat(np.arange(len(self.terms)), np.diff(ends, prepend=0))
+        place = np.repeat(np.arange(len(self.terms), dtype=np.int32), np.diff(ends, prepend=0))
         blocks = self.docs // BLOCK_ROWS
         new = np.flatnonzero((np.diff(place, prepend=-1) != 0) | (np.diff(blocks, prepend=-1) != 0))
         self.part_start, self.part_end = new, np.append(new[1:], len(self.docs))
         self.part_block = blocks[new]
         self.part_most = np.maximum.reduceat(self.weights, new) if len(new) else np.zeros(0)
         self.first_part = np.searchsorted(place[new], np.arange(len(self.terms) + 1))
+        self.list_start = np.concatenate([[0], ends])
+
+    def _scores(self, terms: np.ndarray, rarity: np.ndarray, parts: np.ndarray, rare: np.ndarray, part_block: np.ndarray,
+                blocks: np.ndarray | None) -> np.ndarray:
+        """The score of each document of some blocks, or of all."""
+        if blocks is None:  # whole lists
+            starts, ends = self.list_start[terms].tolist(), self.list_start[terms + 1].tolist()
+            docs = np.concatenate([self.docs[a:z] for a, z in zip(starts, ends, strict=True)])
+            share = np.concatenate([self.weights[a:z] for a, z in zip(starts, ends, strict=True)])
+            share *= np.repeat(rarity, np.subtract(ends, starts))
+        else:
+            chosen = np.zeros(part_block.max() + 1, bool)
+            chosen[blocks] = True
+            use = chosen[part_block]
+            starts = self.part_start[parts[use]]
+            sizes = self.part_end[parts[use]] - starts
+            postings = ranges(starts, sizes)
+            docs, share = self.docs[postings], self.weights[postings]
+            share *= np.repeat(rare[use], sizes)
+        share *= UNIT
+        return np.bincount(docs, weights=np.rint(share, out=share))
 
     def top(self, terms: np.ndarray, rarity: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The best ``k`` documents (their places) and their scores, for words by their place among ``terms``."""
         counts = self.first_part[terms + 1] - self.first_part[terms]
         parts, rare = ranges(self.first_part[terms], counts), np.repeat(rarity, counts)
-        bound = np.bincount(self.part_block[parts], weights=np.rint(UNIT * (rare * self.part_most[parts])))
+        part_block = self.part_block[parts]
+        bound = np.bincount(part_block, weights=np.rint(rare * self.part_most[parts] * UNIT))
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         docs, scores = np.zeros(0, np.int64), np.zeros(0)
@@ -128,21 +165,19 @@ class Shard:
                 taken = taken[bound[taken] >= scores[-1]]  # an equal score may win by a smaller id
                 if not len(taken):
                     break
-            chosen = np.zeros(len(bound), bool)
-            chosen[taken] = True
-            use = chosen[self.part_block[parts]]
-            sizes = (self.part_end - self.part_start)[parts[use]]
-            postings = ranges(self.part_start[parts[use]], sizes)
-            found = np.bincount(self.docs[postings], weights=np.rint(UNIT * (np.repeat(rare[use], sizes) * self.weights[postings])))
+            if at and len(taken) == len(order) - at:
+                taken = order  # nothing can be passed over: whole lists cost less than picking from them
+            found = self._scores(terms, rarity, parts, rare, part_block, taken if len(taken) < len(order) else None)
             new = np.flatnonzero(found)
+            if at and len(taken) == len(order):  # the first blocks were scored again
+                docs, scores = docs[:0], scores[:0]
             docs, scores = np.concatenate([docs, new]), np.concatenate([scores, found[new]])
             if len(docs) > k:
                 least = np.partition(scores, len(scores) - k)[len(scores) - k]
                 docs, scores = docs[scores >= least], scores[scores >= least]
-            names = np.array([np.inf if self.ids[d] is None else self.ids[d] for d in docs], float) if len(docs) > k else docs
-            best = np.lexsort((names, -scores))[:k]
+            best = np.lexsort((self.ids[docs], self.no_id[docs], -scores))[:k]
             docs, scores = docs[best], scores[best]
-            at, step = at + step, step * 4
+            at, step = at + step, len(order)  # then all that may still hold one of the best
         return docs, scores
 
 
@@ -171,10 +206,8 @@ def top_k(docs: DataFrame, queries: Column, k: int, id_col: str = "doc_id", text
                         .mapInPandas(asked, "query_id long, term long").distinct(), "queries")
     known = index.select(F.explode(F.arrays_zip("terms", "dfs")).alias("x")).select(F.col("x.terms").alias("of"), F.col("x.dfs").alias("df"))
     df = known.join(terms.select("term").distinct(), F.col("of") == F.col("term"), "left_semi").groupBy("of").agg(F.sum("df").alias("df"))
-    # The same formula in the tests' SQL; the logarithm is Java's.
-    rarity = F.log(1 + (F.lit(total) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     # A word that most queries have is divided by the adaptive join.
-    weighed = divisible_join(terms, df, [terms.term], [df.of], "inner").select("query_id", "term", rarity.alias("rarity"))
+    weighed = divisible_join(terms, df, [terms.term], [df.of], "inner").select("query_id", "term", "df")
     blocks = max(1, -(-terms.select("query_id").distinct().count() // query_rows))
 
     def block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -182,22 +215,22 @@ def top_k(docs: DataFrame, queries: Column, k: int, id_col: str = "doc_id", text
         names, first = np.unique(rows["term"].to_numpy(), return_index=True)
         queries, starts = np.unique(rows["query_id"].to_numpy(), return_index=True)
         return pd.DataFrame([{
-            "block": int(key[0]), "terms": names.astype("<i8").tobytes(), "rarity": rows["rarity"].to_numpy()[first].astype("<f8").tobytes(),
+            "block": int(key[0]), "terms": names.astype("<i8").tobytes(), "dfs": zlib.compress(rows["df"].to_numpy()[first].astype("<i8"), 1),
             "queries": queries.astype("<i8").tobytes(), "starts": starts.astype("<i8").tobytes(),
-            "places": np.searchsorted(names, rows["term"].to_numpy()).astype("<i4").tobytes()}])
+            "places": zlib.compress(np.diff(np.searchsorted(names, rows["term"].to_numpy()), prepend=0).astype("<i4"), 1)}])
 
-    shape = "block long, terms binary, rarity binary, queries binary, starts binary, places binary"
+    shape = "block long, terms binary, dfs binary, queries binary, starts binary, places binary"
     asking = materialise(weighed.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).groupBy("block")
                          .applyInPandas(block, shape), "queries")
     # An index and the query blocks that follow it go to the task of their shard as rows, in this order.
     shards = index.select("shard").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     meeting = shards.join(asking, "block").select("shard", "block", F.struct(
-        F.col("terms"), "rarity", "queries", "starts", "places").alias("ask"), F.lit(None).alias("index"))
+        F.col("terms"), F.col("dfs").alias("known"), "queries", "starts", "places").alias("ask"), F.lit(None).alias("index"))
     stored = index.select("shard", F.lit(-1).cast("long").alias("block"), F.lit(None).alias("ask"), F.struct(
-        "doc_ids", F.col("terms"), "dfs", "lengths", "docs", "tfs").alias("index"))
+        "ids", "no_id", F.col("terms"), "dfs", "lengths", "docs", "tfs").alias("index"))
     rows = (stored.unionByName(meeting).repartition("shard").sortWithinPartitions("shard", "block")
-            .select("shard", *[F.col(f"index.{c}").alias(c) for c in ("doc_ids", "dfs", "lengths", "docs", "tfs")],
-                    F.col("index.terms").alias("terms"), *[F.col(f"ask.{c}").alias(c) for c in ("rarity", "queries", "starts", "places")],
+            .select("shard", *[F.col(f"index.{c}").alias(c) for c in ("ids", "no_id", "dfs", "lengths", "docs", "tfs")],
+                    F.col("index.terms").alias("terms"), *[F.col(f"ask.{c}").alias(c) for c in ("known", "queries", "starts", "places")],
                     F.col("ask.terms").alias("asked")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,9 +240,11 @@ def top_k(docs: DataFrame, queries: Column, k: int, id_col: str = "doc_id", text
                 if r.docs is not None:
                     shard = Shard(r, mean_length)
                     continue
-                names, rarity = np.frombuffer(r.asked, "<i8"), np.frombuffer(r.rarity, "<f8")
+                names = np.frombuffer(r.asked, "<i8")
+                dfs = np.frombuffer(zlib.decompress(r.known), "<i8").tolist()
+                rarity = np.array([math.log(1 + (total - n + 0.5) / (n + 0.5)) for n in dfs])
                 queries, starts = np.frombuffer(r.queries, "<i8"), np.frombuffer(r.starts, "<i8")
-                places = np.frombuffer(r.places, "<i4")
+                places = np.cumsum(np.frombuffer(zlib.decompress(r.places), "<i4"))
                 here = np.minimum(np.searchsorted(shard.terms, names), max(0, len(shard.terms) - 1))
                 has = shard.terms[here] == names if len(shard.terms) else np.zeros(len(names), bool)
                 out = []
@@ -217,14 +252,14 @@ def top_k(docs: DataFrame, queries: Column, k: int, id_col: str = "doc_id", text
                     mine = places[a:z][has[places[a:z]]]
                     if len(mine):
                         docs, scores = shard.top(here[mine], rarity[mine], k)
-                        out += [(query, shard.ids[d], int(s)) for d, s in zip(docs, scores, strict=True)]
+                        out += [(query, None if shard.no_id[d] else int(shard.ids[d]), int(s)) for d, s in zip(docs, scores, strict=True)]
                 found = pd.DataFrame(out, columns=["query_id", "doc_id", "score"])
-                yield found.assign(doc_id=ids_column(found["doc_id"]))
+                yield found.assign(doc_id=ids_column(found["doc_id"].astype(object)))
 
     # A row holds an index: few rows at a time go to Python.
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual, path = spark.conf.get(key), fresh_path(spark, "found")
-    spark.conf.set(key, "2")
+    spark.conf.set(key, "1")
     try:
         rows.mapInPandas(run, _FOUND).write.parquet(path)
     finally:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tableflow.llm.common import ids_column, prepare, texts, word_tokens
-from tableflow.llm.rans import BLOCK_IDS, CHECKPOINT_STEPS, LANES, Block, Table, decode_block, encode_block, frequencies
+from tableflow.llm.rans import BLOCK_IDS, Block, Table, decode_block, encode_block, frequencies
 from tableflow.session import fresh_path
 
 _BLOCKS = ("shard int, block long, n_ids long, first_doc long, first_part int, doc_ids array<long>, doc_sizes array<long>,"

@@ -96,7 +96,7 @@ def test_pruned_blocks_change_nothing():
     rng = random.Random(8)
     names = [f"w{k}" for k in range(200)]
     texts = [" ".join(rng.choice(names[: rng.choice((5, 30, 200))]) for _ in range(rng.randrange(3, 40))) for _ in range(900)]
-    row = type("Row", (), search.index_rows(texts) | {"doc_ids": list(range(900))})
+    row = type("Row", (), search.index_rows([search.postings(texts[:500]), search.postings(texts[500:], 500)]) | {"ids": np.arange(900).astype("<i8").tobytes(), "no_id": bytes(900)})
     shard = search.Shard(row, 20.0)
     for _ in range(50):
         terms = np.array(sorted(rng.sample(range(len(shard.terms)), 12)))
