@@ -62,6 +62,11 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, codes[real], np.concatenate([[0], np.cumsum(real)])[cuts]
 
 
+def place_type(documents: int) -> str:
+    """How a shard stores the places of its documents."""
+    return "<u2" if documents <= 1 << 16 else "<i4"
+
+
 def postings(texts: list[str], first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A word's hash, the document's place and how often it has the word, for each pair; and the documents' lengths."""
     hashes, codes, cuts = words(texts)
@@ -77,7 +82,7 @@ def index_rows(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     order = np.argsort(terms, kind="stable")  # documents ascend in each part and from part to part
     names, dfs = np.unique(terms[order], return_counts=True)
     return {"n_docs": len(lengths), "n_words": int(lengths.sum()), "terms": names, "dfs": dfs, "lengths": lengths.astype("<i8").tobytes(),
-            "docs": docs[order].astype("<i4").tobytes(), "tfs": tfs[order].astype("<i4").tobytes()}
+            "docs": docs[order].astype(place_type(len(lengths))).tobytes(), "tfs": zlib.compress(tfs[order].astype("<i4"), 1)}
 
 
 def build(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -111,9 +116,9 @@ class Shard:
         self.ids, self.no_id = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.no_id, bool)
         self.terms = np.asarray(row.terms, np.int64)
         ends = np.cumsum(np.asarray(row.dfs, np.int64))
-        self.docs = np.frombuffer(row.docs, "<i4")
+        self.docs = np.frombuffer(row.docs, place_type(len(self.ids)))
         length = K1 * (1 - B + B * np.frombuffer(row.lengths, "<i8") / mean_length)
-        self.weights = np.frombuffer(row.tfs, "<i4").astype(np.float64)
+        self.weights = np.frombuffer(zlib.decompress(row.tfs), "<i4").astype(np.float64)
         below = length[self.docs]
         below += self.weights
         self.weights *= K1 + 1
@@ -122,9 +127,11 @@ class Shard:
         # Each list's postings in each of its blocks: a start, and the largest weight.
         place = np.repeat(np.arange(len(self.terms), dtype=np.int32), np.diff(ends, prepend=0))
         blocks = self.docs // BLOCK_ROWS
-        new = np.flatnonzero((np.diff(place, prepend=-1) != 0) | (np.diff(blocks, prepend=-1) != 0))
+        changes = np.ones(len(place), bool)
+        changes[1:] = (place[1:] != place[:-1]) | (blocks[1:] != blocks[:-1])
+        new = np.flatnonzero(changes)
         self.part_start, self.part_end = new, np.append(new[1:], len(self.docs))
-        self.part_block = blocks[new]
+        self.part_block = blocks[new].astype(np.int64)
         self.part_most = np.maximum.reduceat(self.weights, new) if len(new) else np.zeros(0)
         self.first_part = np.searchsorted(place[new], np.arange(len(self.terms) + 1))
         self.list_start = np.concatenate([[0], ends])
