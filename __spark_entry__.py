@@ -330,7 +330,8 @@ def task_elapsed(spark, sf):
 def zoned_elapsed(spark, sf):
     """Times of a zone, each an instant, in place of wall clock times."""
     tasks = _t(spark, sf, "events", "user_id", "ts").groupBy("user_id").agg(
-        F.min("ts").cast("timestamp").alias("task_start_time"), F.max("ts").cast("timestamp").alias("task_end_time"))
+        *[F.concat(end("ts").cast("string"), F.lit("Z")).cast("timestamp").alias(name)
+          for end, name in ((F.min, "task_start_time"), (F.max, "task_end_time"))])
     later = tasks.withColumn("task_end_time", F.col("task_end_time") + F.expr("INTERVAL 90 SECONDS"))
     return tf.elapsed(later).select("user_id", "run_time")
 
