@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tableflow.session import file_system, shared_folder
 
 BATCH_ROWS = 1_000
-CACHE_WORDS = 500_000
+CACHE_WORDS = 350_000
 CACHE_LETTERS = 64
 _SHIPPED: set[str] = set()
 

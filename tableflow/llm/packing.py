@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.common import frames, ids_column, prepare, texts, word_tokens
-from tableflow.session import fresh_path
+from tableflow.session import fresh_path, materialise
 
 CAPACITY = 4096
 CARRY = 256
@@ -129,7 +129,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, carry: int = CARRY, fan_in
         df.write.partitionBy("open").parquet(path)
         return spark.read.schema(shape).parquet(path)
 
-    levels = [written(pieces.mapInPandas(local, shape))]
+    # Written first, so that no task needs one Python worker to cut texts and another to pack.
+    levels = [written(materialise(pieces, "pieces").mapInPandas(local, shape))]
     while True:
         left = levels[-1].where("open")
         nodes = left.agg(F.max("node")).first()[0]

@@ -28,7 +28,7 @@ TRAIN_ROWS = 1_500
 TRAIN_CHUNKS = 8
 STEPS = 750  # of 32 documents each
 THRESHOLD = 0.3
-_BLOCK = 2_048  # chunks that pass through the filters at a time
+_BLOCK = 512  # chunks that pass through the filters at a time
 _PLACES = (CHUNK - WINDOW) // STRIDE + 1
 
 
