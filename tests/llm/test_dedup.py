@@ -3,12 +3,13 @@
 import random
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tableflow.llm import linededup, simhash
+from tableflow.llm import linededup, shingles, simhash
 from tableflow.llm.components import components
 
 # ---- SimHash -------------------------------------------------------------------------
@@ -96,6 +97,64 @@ def test_components_of_a_chain_a_star_and_copies(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+# ---- shingles ------------------------------------------------------------------------
+
+
+def plain_shingles(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+    return {" ".join(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_similarity(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def plain_kept(texts):
+    """The first of each group that links of similarity 0.8 connect."""
+    sets = [plain_shingles(t) for t in texts]
+    of = list(range(len(texts)))
+    changed = True
+    while changed:
+        new = [min(of[j] for j in range(len(texts)) if plain_similarity(sets[i], sets[j]) >= 0.8) for i in range(len(texts))]
+        changed, of = new != of, new
+    return {k for k, g in enumerate(of) if k == g}
+
+
+def test_near_copies_of_shingles(spark, edge_docs, no_docs):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    texts = ["", None, "  ", "two words", "Two  words", "two other"]
+    for _ in range(12):  # each next copy has some more words changed, from far above the threshold to below it
+        words = [word() for _ in range(rng.randrange(60, 200))]
+        for step in range(6):
+            copy = list(words)
+            for place in rng.sample(range(len(copy)), step):
+                copy[place] = word()
+            texts.append(" ".join(copy))
+    common = [word() for _ in range(100)]  # a large group, with some of its members below the threshold
+    for step in range(80):
+        copy = list(common)
+        for place in rng.sample(range(len(copy)), step % 7):
+            copy[place] = word()
+        texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    kept = {r.doc_id for r in shingles.one_of_each(docs).collect()}
+    assert kept == plain_kept(texts)
+    assert shingles.one_of_each(edge_docs).columns == edge_docs.columns and shingles.one_of_each(no_docs).count() == 0
+    assert shingles.one_of_each(edge_docs).count() == len({frozenset(plain_shingles(r.text)) for r in edge_docs.collect()})
+
+
+def test_pipeline_drops_copies_of_more_than_four_bits(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(120)]
+    texts = [" ".join(words)] + [" ".join([*words[:k], "other", *words[k + 1:]]) for k in range(0, 120, 7)]
+    first = simhash.fingerprint(texts[0])
+    assert any(bin(first ^ simhash.fingerprint(t)).count("1") > 4 for t in texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert [r.doc_id for r in corpus_pipeline.dedup_documents(spark, docs, "").collect()] == [0]
+
+
 # ---- lines ---------------------------------------------------------------------------
 
 
