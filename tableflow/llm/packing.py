@@ -1,6 +1,7 @@
 """Best-fit packing of token sequences by hierarchical residual packing.
 
-Each partition packs its own items best fit, longest first, and emits the bins it cannot
+Items are dealt to partitions by a hash, so that each has the whole mix of lengths however the
+input is ordered. Each partition packs its own items best fit, longest first, and emits the bins it cannot
 improve. The few that are least full go on as items of their own, with what they hold: groups
 of partitions merge in a tree, each node packing best fit what its children passed on, until
 one node is left. A node passes on ``carry`` bins at most; this bounds the memory of each node
@@ -130,7 +131,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, carry: int = CARRY, fan_in
         return spark.read.schema(shape).parquet(path)
 
     # Written first, so that no task needs one Python worker to cut texts and another to pack.
-    levels = [written(materialise(pieces, "pieces").mapInPandas(local, shape))]
+    staged = materialise(pieces.withColumn("node", F.monotonically_increasing_id()), "pieces")
+    levels = [written(staged.repartition(F.xxhash64("node")).drop("node").mapInPandas(local, shape))]
     while True:
         left = levels[-1].where("open")
         nodes = left.agg(F.max("node")).first()[0]

@@ -182,6 +182,14 @@ def test_best_fit_is_best_fit():
         assert packing.best_fit(np.array(sizes), 40).max() + 1 == len(room)
 
 
+def test_packing_does_not_depend_on_the_order(spark):
+    lengths = [2500] * 4000 + [1500] * 4000  # in order: one partition of long pieces, one of short ones
+    rows = spark.createDataFrame(list(enumerate(lengths)), "id long, length long").repartitionByRange(2, "id")
+    packed = packing.pack(rows).collect()
+    assert sorted(r.id for r in packed) == list(range(8000))
+    assert check_packing(packed, 4096) <= 1.05 * 4000
+
+
 def test_pieces_that_cannot_be_packed_fail(spark):
     for length in ("null", "-1", "11"):
         with pytest.raises(Exception, match="a piece must hold"):
