@@ -150,7 +150,8 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col:
              text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """Chunks of at most ``rows`` documents of each class for learning, none of them held out.
 
-    Which ones is settled by a hash of the id. Rows without a label of 0 or 1 do not count.
+    Which ones is settled by a hash of the id, and of rows that share an id, by a hash of the chunks:
+    one row of each id. Rows without a label of 0 or 1 do not count.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     marked = marked.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -166,7 +167,8 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "chunks": found})
 
     known = texts(docs, id_col, text_col)
-    return known.join(F.broadcast(few), "doc_id").mapInPandas(run, "doc_id long, label int, chunks binary")
+    rows_found = known.join(F.broadcast(few), "doc_id").mapInPandas(run, "doc_id long, label int, chunks binary")
+    return rows_found.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("chunks").alias("hash"), "chunks"))["chunks"].alias("chunks"))
 
 
 def held_out(doc_id: Column) -> Column:

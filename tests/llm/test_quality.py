@@ -36,6 +36,14 @@ def test_no_held_out_document_is_learned(marked):
     assert few.groupBy("label").count().where("count = 10").count() == 2
 
 
+def test_one_row_of_each_document_is_learned(spark, marked):
+    docs = marked.select("doc_id", "text").unionByName(spark.range(500).selectExpr("1L AS doc_id", "concat('row ', id) AS text"))
+    rows = quality.labelled(docs.repartition(4), marked.select("doc_id", "quality"), rows=500).collect()
+    assert len(rows) == len({r.doc_id for r in rows}) == marked.where(~quality.held_out(marked.doc_id)).count()
+    again = quality.labelled(docs.repartition(3), marked.select("doc_id", "quality"), rows=500).collect()
+    assert sorted(rows) == sorted(again)
+
+
 def test_edge_cases(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, None), (3, 7), (None, 1)], "doc_id long, quality int")
     share = quality.train(edge_docs, labels)
