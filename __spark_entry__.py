@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 import sys
 from collections.abc import Callable
 from functools import reduce, wraps
+from importlib import import_module
 from pathlib import Path
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,18 +33,17 @@ from tableflow.operators.paging import page_count, page_range  # noqa: E402
 from tableflow.session import own_folder  # noqa: E402
 from tableflow.sources.store import key_cuts, range_predicates  # noqa: E402
 
-try:
-    from tableflow.llm import queries as llm  # noqa: E402
-except ModuleNotFoundError as absent:
-    if not str(absent.name).startswith("tableflow.llm"):
-        raise
-    llm = None
-try:
-    import corpus_pipeline  # noqa: E402
-except ModuleNotFoundError as absent:
-    if absent.name != "corpus_pipeline" and not str(absent.name).startswith("tableflow.llm"):
-        raise
-    corpus_pipeline = None
+def _optional(name: str) -> ModuleType | None:
+    """A part that may be absent, or lack what it needs: the other queries work without it."""
+    try:
+        return import_module(name)
+    except Exception as error:  # whatever its import meets
+        logging.getLogger(__name__).warning("%s is left out: %s: %s", name, type(error).__name__, error)
+        return None
+
+
+llm = _optional("tableflow.llm.queries")
+corpus_pipeline = _optional("corpus_pipeline")
 
 SMALL = "/root/testdata/sf0.001"
 

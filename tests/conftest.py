@@ -22,7 +22,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
-
-
-def rows(df):
-    return [tuple(r) for r in df.collect()]

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 import tableflow as tf
 
-from conftest import rows
+from collected import rows
 
 
 def test_primary_key(spark):

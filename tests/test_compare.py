@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import tableflow as tf
 from tableflow.operators import compare
 
-from conftest import rows
+from collected import rows
 
 COUNTS = "table_name string, row_count bigint"
 LOG = "table_name string, source_table_rows bigint, target_table_rows bigint, type string, detail string"

@@ -11,7 +11,7 @@ import tableflow as tf
 from tableflow.functions.rounding import to_second
 from tableflow.operators.mapping import ColumnRule
 
-from conftest import rows
+from collected import rows
 
 RULES = [ColumnRule("a", "int"), ColumnRule("b", "string", max_length=3, nullable=False), ColumnRule("d", "decimal(3,1)")]
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 import tableflow as tf
 from tableflow.joins import divisible_join
 
-from conftest import rows
+from collected import rows
 
 # Small thresholds, so that small tables meet what large ones do.
 SMALL = {

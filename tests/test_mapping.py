@@ -6,7 +6,7 @@ import tableflow as tf
 from tableflow.operators.mapping import ROW_WIDTH_LIMIT, exact_types
 from tableflow.sources.catalogue import CATALOGUE_DDL
 
-from conftest import rows
+from collected import rows
 
 # type, length, precision, scale, average, default -> compat type, compat default, our type, our max, our default
 CASES = [

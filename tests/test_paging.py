@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tableflow.operators import paging
 from tableflow.operators.paging import expand_counts, number_rows, page_bounds, page_count, page_range, page_slice, with_pages
 
-from conftest import rows
+from collected import rows
 
 
 def _check_order(df, keys, buckets, unique=False):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 import tableflow as tf
 from tableflow.plans import migrate
 
-from conftest import rows
+from collected import rows
 
 
 @pytest.fixture

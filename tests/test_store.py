@@ -6,7 +6,7 @@ from tableflow.operators.mapping import ColumnRule
 from tableflow import session
 from tableflow.sources.store import jdbc_range_options, jdbc_read_options, jdbc_write_options, key_cuts, range_predicates, target_schema
 
-from conftest import rows
+from collected import rows
 
 
 @pytest.fixture

@@ -1,7 +1,7 @@
 import tableflow as tf
 from tableflow.functions.text import java_quoted
 
-from conftest import rows
+from collected import rows
 
 
 def _one(spark, text):
