@@ -21,6 +21,10 @@ COLUMNS = {
     "op8_": {"doc_id": "bigint", "lines_before": "bigint", "lines_removed": "bigint", "text_md5": "string"},
     "op9_": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint",
              "sequence_id": "bigint", "offset": "bigint"},
+    "op12": {"doc_id": "bigint", "n": "bigint", "form": "string", "prefix_chars": "bigint", "middle_chars": "bigint",
+             "output_sha256": "string", "restored_sha256": "string"},
+    "op13": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint",
+             "score": "bigint"},
     "op10": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
 }
 
@@ -35,9 +39,9 @@ def test_query(spark, name):
     assert dict(df.dtypes) == COLUMNS[name[:4]]
     rows = df.collect()
     source = "pages" if name.startswith("op2_") else "documents"
-    if not name.startswith(("op4_", "op7_", "op9_")):
+    if not name.startswith(("op4_", "op7_", "op9_", "op13_")):
         assert len(rows) == spark.read.parquet(f"{SF}/{source}.parquet").count()
-    assert rows
+    assert rows or name.startswith("op13_")  # no phrase of the smallest table is frequent enough in some languages
     if name in queries.ORACLES:
         con = duckdb.connect()
         for path in Path(SF).glob("*.parquet"):
