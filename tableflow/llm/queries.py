@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import ann, bpe, extraction, fim, linededup, packing, phrases, quality, search, simhash, tokenfile, wordpiece
+from tableflow.llm import ann, bpe, extraction, fim, jaccard, linededup, packing, phrases, quality, search, simhash, tokenfile, wordpiece
 from tableflow.llm.common import table
 from tableflow.session import fresh_path
 
@@ -68,6 +68,11 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return tokenfile.read_digests(spark, target)
 
 
+def op11_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Size of the shingle set and component of every document, at a similarity of 0.8."""
+    return jaccard.near_documents(table(spark, sf, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
     """Every document rearranged to fill in its middle, and restored, as digests."""
     done = fim.restored(fim.fill_in_middle(table(spark, sf, "documents")))
@@ -82,7 +87,7 @@ def op13_phrase_mining(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = (op1_quality_classifier, op2_html_extraction, op3_bpe_round_trip, op4_nearest_neighbours,
            op5_token_counts, op6_simhash_near_duplicates, op7_top_k_search, op8_line_dedup, op9_best_fit_packing, op10_token_files,
-           op12_fill_in_middle, op13_phrase_mining)
+           op11_jaccard_join, op12_fill_in_middle, op13_phrase_mining)
 
 # A window is named by its very lines here. It starts or ends at each line and is the smallest of
 # 150 characters that does; a line goes if a window that holds it has an earlier copy.

@@ -21,6 +21,7 @@ COLUMNS = {
     "op8_": {"doc_id": "bigint", "lines_before": "bigint", "lines_removed": "bigint", "text_md5": "string"},
     "op9_": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint",
              "sequence_id": "bigint", "offset": "bigint"},
+    "op11": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
     "op12": {"doc_id": "bigint", "n": "bigint", "form": "string", "prefix_chars": "bigint", "middle_chars": "bigint",
              "output_sha256": "string", "restored_sha256": "string"},
     "op13": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint",
