@@ -42,7 +42,7 @@ LOAD = 3.2  # shingles in a group, at the upper end of a class of sizes
 SMALL = 64  # sets below this size get finer groups
 FINE = 8
 TILE = 2_048
-DIMS = (16, 512)
+DIMS = (16, 8_192)  # coordinates of points, about 4 to 8 for each shingle
 SEEN = 1 << 20
 
 _ENTRIES = "array<struct<class: int, slack: int, cells: array<long>>>"
@@ -99,8 +99,15 @@ def entries_of(found: np.ndarray, percent: int = PERCENT, load: float = LOAD) ->
 
 def vector(found: np.ndarray, level: int) -> np.ndarray:
     """The point of a set among sets of a class: its shingles by group."""
-    dims = min(max(1 << max(level - 2, 0), DIMS[0]), DIMS[1])
-    return np.bincount(_groups(_mix(found), dims), minlength=dims)
+    dims = min(max(1 << (level + 3), DIMS[0]), DIMS[1])
+    counts = np.bincount(_groups(_mix(found), dims), minlength=dims)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint32)
+
+
+def _points(level: int, stored: pd.Series) -> np.ndarray:
+    """Points as they were before they were stored; those of a class have the same number of coordinates."""
+    dims = min(max(1 << (level + 3), DIMS[0]), DIMS[1])
+    return np.array([np.frombuffer(x, np.uint8 if len(x) == dims else np.uint32) for x in stored])
 
 
 def similar(one: np.ndarray, other: np.ndarray, percent: int = PERCENT) -> bool:
@@ -110,7 +117,7 @@ def similar(one: np.ndarray, other: np.ndarray, percent: int = PERCENT) -> bool:
     if min(len(one), len(other)) < least:
         return False
     level = max(len(one), len(other)).bit_length() - 1
-    if np.minimum(vector(one, level), vector(other, level)).sum() < least:
+    if np.minimum(vector(one, level), vector(other, level)).sum(dtype=np.int64) < least:
         return False
     return len(np.intersect1d(one, other, assume_unique=True)) >= least
 
@@ -225,7 +232,7 @@ def _surviving(members: DataFrame, sets: DataFrame, percent: int, tile: int = TI
         for batch in batches:
             found = [np.frombuffer(x, np.uint64) for x in batch["found"]]
             yield pd.DataFrame({"at": batch["at"], "of_level": batch["of_level"], "size": [len(x) for x in found],
-                                "point": [vector(x, n).astype("<u4").tobytes() for x, n in zip(found, batch["of_level"], strict=True)]})
+                                "point": [vector(x, n).tobytes() for x, n in zip(found, batch["of_level"], strict=True)]})
 
     points = materialise(points.join(sets, points["at"] == sets.node).select("at", "of_level", "found")
                          .mapInPandas(placed, "at long, of_level int, size long, point binary"), "points")
@@ -247,15 +254,14 @@ def _surviving(members: DataFrame, sets: DataFrame, percent: int, tile: int = TI
             one, other = group[group["side"] == 0], group[group["side"] == 1]
             if not len(one) or not len(other):
                 continue
-            trees = [RTree(np.array([np.frombuffer(x, "<u4") for x in g["point"]], np.int64), g["size"].to_numpy(), g["label"].to_numpy())
-                     for g in (one, other)]
+            trees = [RTree(_points(int(g["level"].iloc[0]), g["point"]), g["size"].to_numpy(), g["label"].to_numpy()) for g in (one, other)]
             i, j = joined(*trees, percent)
             a, b = one["node"].to_numpy()[i], other["node"].to_numpy()[j]
             keep = (other["rest"].to_numpy()[j] == 0) | (a < b)  # pairs of the rest are met from either side
             if keep.any():
                 yield pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
 
-    spread = full.select("cell", "block", "tile", "side", "rest", "node", "label", "size", "point")
+    spread = full.select("cell", "block", "tile", "side", "rest", "level", "node", "label", "size", "point")
     return spread.repartition("cell", "block", "tile").sortWithinPartitions("cell", "block", "tile").mapInPandas(walk, "a long, b long").distinct()
 
 

@@ -11,6 +11,7 @@ import numpy as np
 
 FAN = 8
 PAIRS = 1 << 13
+CELLS = 1 << 23  # counts of point pairs compared at a time
 
 
 def needed(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -33,12 +34,23 @@ def _order(points: np.ndarray) -> np.ndarray:
     return np.concatenate(done) if done else np.zeros(0, np.int64)
 
 
+def folded(points: np.ndarray) -> np.ndarray:
+    """Counts of neighbouring groups added up: the fewer coordinates by which the tree is built."""
+    few = min(max(points.shape[1] // 16, 16), 256, points.shape[1])
+    return points.reshape(len(points), few, -1).sum(axis=2, dtype=np.int64)
+
+
 class RTree:
-    """Levels from the root to the points; a node covers ``FAN`` nodes in a row of the next level."""
+    """Levels from the root to the points; a node covers ``FAN`` nodes in a row of the next level.
+
+    Nodes have corners in few coordinates, points are compared in these first and then in all.
+    """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray):
-        self.order = _order(points)
-        level = (points[self.order].astype(np.int64), *(x[self.order] for x in (sizes, sizes, labels, labels)))
+        few = folded(points)
+        self.order = _order(few)
+        self.points = points[self.order]
+        level = (few[self.order], *(x[self.order] for x in (sizes, sizes, labels, labels)))
         self.levels = [level]
         while len(level[0]) > 1:
             starts = np.arange(0, len(level[0]), FAN)
@@ -74,7 +86,10 @@ def joined(one: RTree, other: RTree, percent: int) -> tuple[np.ndarray, np.ndarr
             continue
         deeper, deeper2 = a + 1 < len(one.levels), b + 1 < len(other.levels)
         if not deeper and not deeper2:
-            found.append((one.order[i], other.order[j]))
+            step, least = max(1, CELLS // one.points.shape[1]), needed(least[i] + least2[j], percent)
+            shared = [np.minimum(one.points[i[k:k + step]], other.points[j[k:k + step]]).sum(axis=1, dtype=np.int64) for k in range(0, len(i), step)]
+            near = np.concatenate(shared) >= least
+            found.append((one.order[i[near]], other.order[j[near]]))
             continue
         if deeper:
             counts, i = one.below(a, i)
