@@ -1,9 +1,9 @@
 """Phrases whose words go together, scored from count streams in prefix and in suffix order.
 
 Counting: a task sorts the phrases of its texts, counts them, and Spark adds up its counts. A phrase
-is as frequent as ``least`` only if all phrases within it are; so words and pairs are counted first, and
-longer phrases only where a filter of fixed size lets each pair pass. What the filter lets pass by
-mistake is counted too, and falls below ``least``.
+is as frequent as ``least`` only if all pairs of words within it are. So pairs are counted first, by
+64-bit names, and phrases only where a filter of fixed size lets each of their pairs pass. What the
+filter lets pass by mistake is counted too, by its very words, and falls below ``least``.
 
 Estimation: the frequent phrases are one stream in the order of their words from the first on, where
 each follows all its beginnings, and one in the order from the last word on, where each follows all
@@ -15,6 +15,7 @@ two streams are sorted by phrase and merged.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ UNKNOWN = "und"
 FILTER_BITS = 27  # the filter has 2 ** 27 bits, 16 MB, at any size of the input
 FILTER_HASHES = 3
 FILTER_BLOCK = 1 << 19
-FLUSH = 4_000_000  # phrases a task holds before it gives their counts
+FLUSH = 2_000_000  # phrases a task holds before it gives their counts
 SALTS = 64
 
 _COUNTS = "lang string, phrase string, k int, n long"
@@ -47,144 +48,167 @@ _KINDS[[ord(c) for c in ".,;:!?\x0a\x0b\x0c\x0d"]] = _END
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
-def parsed(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
-    """The words of texts in order, coded; the piece each lies in; and the text it lies in."""
-    coded = [t.encode() for t in texts]
-    data = _LOWER[np.frombuffer(b"\n".join(coded) + b"\n", np.uint8)]
+class Words(NamedTuple):
+    """The words of a batch of texts, in order."""
+
+    codes: np.ndarray  # which of the distinct words
+    keys: list[tuple[str, bytes]]  # the distinct words, each with its language
+    going: np.ndarray  # the word goes on to the next one within its piece
+
+
+def parsed(batch: pa.RecordBatch) -> Words | None:
+    """The words of the columns lang and text."""
+    line = pa.scalar("\n", pa.large_string())
+    texts = pc.binary_join_element_wise(batch["text"].cast(pa.large_string()), line, pa.scalar("", pa.large_string()))
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = _LOWER[np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]]]
     kinds = _KINDS[data]
     word = kinds == _WORD
-    edges = np.flatnonzero(np.diff(word, prepend=False))  # data ends with a line end, so edges come in pairs
-    starts, ends = edges[::2], edges[1::2]
-    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    edges = np.flatnonzero(np.diff(word, prepend=False))  # each text ends with a line end, so edges come in pairs
+    starts, stops = edges[::2], edges[1::2]
+    if not len(starts):
+        return None
+    offsets = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int64)
     array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[word])])
-    text_ends = np.cumsum([len(t) + 1 for t in coded])
-    return array.dictionary_encode(), np.cumsum(kinds == _END)[starts], np.searchsorted(text_ends, starts, "right")
+    coded, langs = array.dictionary_encode(), batch["lang"].dictionary_encode()
+    lang = langs.indices.to_numpy(zero_copy_only=False)[np.searchsorted(ends[1:] - ends[0], starts, "right")].astype(np.int64)
+    # The same word of two languages is two words.
+    count = len(coded.dictionary)
+    both = lang * count + coded.indices.to_numpy(zero_copy_only=False)
+    used = np.zeros(count * len(langs.dictionary), bool)
+    used[both] = True
+    number = np.cumsum(used) - 1
+    names, words = langs.dictionary.to_pylist(), coded.dictionary.to_pylist()
+    keys = [(names[x // count], words[x % count]) for x in np.flatnonzero(used).tolist()]
+    piece = np.cumsum(kinds == _END)[starts]
+    return Words(number[both].astype(np.int32), keys, piece[1:] == piece[:-1])
+
+
+def pair_names(words: Words) -> np.ndarray:
+    """A 64-bit name of each word with the next one, whether in its piece or not."""
+    seeds = {lang: xxhash.xxh32_intdigest(lang) for lang in {lang for lang, _ in words.keys}}
+    each = np.array([xxhash.xxh64_intdigest(word, seeds[lang]) for lang, word in words.keys], np.uint64)[words.codes]
+    mixed = each[:-1] * np.uint64(0xD6E8FEB86659FD93) + each[1:]
+    return (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xFF51AFD7ED558CCD)
 
 
-def slots(names: np.ndarray, bits: int) -> list[np.ndarray]:
-    """The places of 64-bit names in a filter."""
+def slots(names: np.ndarray, bits: int = FILTER_BITS) -> list[np.ndarray]:
+    """The places of 64-bit names in the filter."""
     return [(names * np.uint64(odd) >> np.uint64(64 - bits)).astype(np.int64)
             for odd in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)[:FILTER_HASHES]]
 
 
-def pair_names(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Names of pairs from the names of their words."""
-    mixed = first * np.uint64(0xD6E8FEB86659FD93) + second
-    return (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xFF51AFD7ED558CCD)
-
-
-def word_name(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang))
+def _run_lengths(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values (or rows) begins, and how long it is."""
+    apart = ordered[1:] != ordered[:-1]
+    first = np.flatnonzero(np.concatenate([[True], apart if ordered.ndim == 1 else apart.any(axis=1)]))
+    return first, np.diff(np.append(first, len(ordered)))
 
 
 class _Counter:
-    """Counts of a task's phrases of some lengths, given as rows when many are held."""
+    """Counts of a task's phrases, given as rows when many are held."""
 
-    def __init__(self, shortest: int, longest: int, passed: np.ndarray | None):
-        self.lengths = range(shortest, longest + 1)
-        self.passed = passed
+    def __init__(self, longest: int, passed: np.ndarray):
+        self.longest, self.passed = longest, passed
         self.codes: dict[tuple[str, bytes], int] = {}
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held: list[list[np.ndarray]] = [[] for _ in range(longest)]
         self.size = 0
 
-    def add(self, langs: list[str], texts: list[str]) -> Iterator[pd.DataFrame]:
-        words, pieces, of = parsed(texts)
-        if not len(words):
+    def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        words = parsed(batch)
+        if words is None:
             return
-        by_lang = {lang: k for k, lang in enumerate(dict.fromkeys(langs))}
-        lang = np.array([by_lang[x] for x in langs], np.int64)[of]
-        local = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        # The same word of two languages is two words.
-        pairs, inverse = np.unique(lang << 40 | local, return_inverse=True)
-        names, dictionary = list(by_lang), words.dictionary.to_pylist()
-        keys = [(names[p >> 40], dictionary[p & (1 << 40) - 1]) for p in pairs.tolist()]
         get = self.codes.setdefault
-        codes = np.array([get(key, len(self.codes)) for key in keys], np.int32)[inverse]
-        going = pieces[1:] == pieces[:-1]  # the word goes on to the next one within its piece
-        if self.passed is not None:
-            each = np.array([word_name(*key) for key in keys], np.uint64)[inverse]
-            pair = pair_names(each[:-1], each[1:])
-            for place in slots(pair, FILTER_BITS):
-                going &= (self.passed[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+        codes = np.array([get(key, len(self.codes)) for key in words.keys], np.int32)[words.codes]
+        going = words.going.copy()
+        names = pair_names(words)
+        for place in slots(names):
+            going &= (self.passed[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
         whole = np.ones(len(codes), bool)
-        for k in range(1, self.lengths[-1] + 1):
-            if k > 1:
-                whole = whole[:-1] & going[k - 2:]
-            if k in self.lengths:
-                at = np.flatnonzero(whole)
-                grams = codes[at[:, None] + np.arange(k)]
-                self.held.append((np.int32(k), grams))
-                self.size += len(grams)
+        for k in range(1, self.longest + 1):
+            whole = whole if k == 1 else whole[:-1] & going[k - 2:]
+            grams = codes[np.flatnonzero(whole)[:, None] + np.arange(k, dtype=np.int32)]
+            self.held[k - 1].append(grams)
+            self.size += len(grams)
         if self.size >= FLUSH:
             yield from self.rows()
 
-    def rows(self) -> Iterator[pd.DataFrame]:
-        keys = list(self.codes)
-        langs = np.array([x[0] for x in keys], object)
-        words = pa.array([x[1] for x in keys], pa.large_binary())
-        for k in self.lengths:
-            parts = [grams for length, grams in self.held if length == k]
-            if not parts or not sum(map(len, parts)):
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        langs = pa.array([x[0] for x in self.codes], pa.string())
+        words = pa.array([x[1] for x in self.codes], pa.large_binary())
+        space = pa.scalar(b" ", pa.large_binary())
+        for k, parts in enumerate(self.held, 1):
+            if not sum(map(len, parts)):
                 continue
             grams = np.concatenate(parts)
-            order = np.lexsort(grams.T[::-1])
-            grams = grams[order]
-            first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]).any(axis=1)]))
-            counts = np.diff(np.append(first, len(grams)))
+            grams = grams[np.lexsort(grams.T[::-1])]
+            first, counts = _run_lengths(grams)
             grams = grams[first]
             for at in range(0, len(grams), 100_000):
                 part = grams[at:at + 100_000]
-                texts = [words.take(pa.array(part[:, j])) for j in range(k)]
-                joined = texts[0] if k == 1 else pc.binary_join_element_wise(*texts, pa.scalar(b" ", pa.large_binary()))
-                yield pd.DataFrame({"lang": langs[part[:, 0]], "phrase": joined.cast(pa.large_string()).to_pandas(),
-                                    "k": np.int32(k), "n": counts[at:at + 100_000]})
-        self.codes, self.held, self.size = {}, [], 0
+                each = [words.take(pa.array(part[:, j])) for j in range(k)]
+                joined = each[0] if k == 1 else pc.binary_join_element_wise(*each, space)
+                yield pa.RecordBatch.from_arrays(
+                    [langs.take(pa.array(part[:, 0])), joined.cast(pa.large_string()).cast(pa.string()),
+                     pa.array(np.full(len(part), k, np.int32)), pa.array(counts[at:at + 100_000])], ["lang", "phrase", "k", "n"])
+        self.codes, self.held, self.size = {}, [[] for _ in range(self.longest)], 0
 
 
-def _counts(docs: DataFrame, shortest: int, longest: int, passed: np.ndarray | None = None) -> DataFrame:
-    """Counts of phrases of ``shortest`` to ``longest`` words by language, over all rows of (lang, text)."""
-    sent = None if passed is None else docs.sparkSession.sparkContext.broadcast(passed)
+def _pair_filter(docs: DataFrame, least: int) -> np.ndarray:
+    """A bit field of fixed size with the places of all frequent pairs set; its blocks alone reach the driver.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = _Counter(shortest, longest, None if sent is None else sent.value)
-        for batch in batches:
-            yield from counter.add(batch["lang"].tolist(), batch["text"].tolist())
-        yield from counter.rows()
-
-    return docs.mapInPandas(run, _COUNTS).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f"))
+    Pairs are counted by names. Two of one name add up, so no frequent pair falls below ``least``.
+    """
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
+        def rows() -> pa.RecordBatch:
+            ordered = np.sort(np.concatenate([np.zeros(0, np.uint64), *held]))
+            first, counts = _run_lengths(ordered) if len(ordered) else (np.zeros(0, np.int64),) * 2
+            return pa.RecordBatch.from_arrays([pa.array(ordered[first].view(np.int64)), pa.array(counts)], ["name", "n"])
 
-def _filter(pairs: DataFrame) -> np.ndarray:
-    """A bit field of fixed size with the places of all ``pairs`` set; its blocks alone reach the driver."""
-    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            each = [phrase.encode().split(b" ") for phrase in batch["phrase"]]
-            names = np.array([[word_name(lang, w) for w in two] for lang, two in zip(batch["lang"], each, strict=True)], np.uint64)
-            if len(names):
-                yield pd.DataFrame({"place": np.unique(np.concatenate(slots(pair_names(names[:, 0], names[:, 1]), FILTER_BITS)))})
+            words = parsed(batch)
+            if words is not None:
+                held.append(pair_names(words)[words.going])
+                size += len(held[-1])
+            if size >= FLUSH:
+                yield rows()
+                held, size = [], 0
+        yield rows()
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.concatenate(slots(batch["name"].to_numpy(zero_copy_only=False).view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(found))], ["place"])
 
     def block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         bits = np.zeros(FILTER_BLOCK, np.uint8)
         bits[rows["place"].to_numpy() % FILTER_BLOCK] = 1
         return pd.DataFrame({"block": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    found = pairs.mapInPandas(places, "place long").distinct().withColumn("block", F.floor(F.col("place") / FILTER_BLOCK).cast("int"))
+    pairs = docs.mapInArrow(names, "name long, n long").groupBy("name").agg(F.sum("n").alias("f")).where(F.col("f") >= least).select("name")
+    found = pairs.mapInArrow(places, "place long").distinct().withColumn("block", F.expr(f"CAST(place DIV {FILTER_BLOCK} AS INT)"))
     out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     size = FILTER_BLOCK // 8
-    for row in found.groupBy("block").applyInPandas(block, "block int, bits binary").toLocalIterator():
+    for row in materialise(found.groupBy("block").applyInPandas(block, "block int, bits binary"), "filter").toLocalIterator():
         out[row.block * size:(row.block + 1) * size] = np.frombuffer(row.bits, np.uint8)
     return out
 
 
 def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """Phrases of 1 to ``longest`` words with their count f >= ``least`` by lang, and the words (n) of each lang."""
-    short = materialise(_counts(docs, 1, min(2, longest)).where((F.col("k") == 1) | (F.col("f") >= least)), "phrases")
-    words = short.where("k = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    found = short.where(F.col("f") >= least)
-    if longest > 2:
-        passed = _filter(found.where("k = 2").select("lang", "phrase"))
-        found = found.unionByName(_counts(docs, 3, longest, passed).where(F.col("f") >= least))
-    return materialise(found, "phrases"), words
+    sent = docs.sparkSession.sparkContext.broadcast(_pair_filter(docs, least))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _Counter(longest, sent.value)
+        for batch in batches:
+            yield from counter.add(batch)
+        yield from counter.rows()
+
+    counts = docs.mapInArrow(run, _COUNTS).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f"))
+    counts = materialise(counts.where((F.col("k") == 1) | (F.col("f") >= least)), "phrases")
+    return counts.where(F.col("f") >= least), counts.where("k = 1").groupBy("lang").agg(F.sum("f").alias("n"))
 
 
 def _stream(found: DataFrame, forward: bool) -> DataFrame:

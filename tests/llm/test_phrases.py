@@ -75,7 +75,7 @@ def test_filter_errors_change_nothing(spark, monkeypatch):
     wanted = plain(rows, 6, 2000)
     assert found(docs, least=6) == wanted
     full = phrases.np.full((1 << phrases.FILTER_BITS) // 8, 255, phrases.np.uint8)
-    monkeypatch.setattr(phrases, "_filter", lambda pairs: full)
+    monkeypatch.setattr(phrases, "_pair_filter", lambda docs, least: full)
     assert found(docs, least=6) == wanted
 
 
