@@ -33,11 +33,11 @@ from tableflow.joins import divisible_join
 from tableflow.llm.common import ids_column, prepare
 from tableflow.llm.components import components
 from tableflow.llm.rtree import RTree, joined, needed
-from tableflow.llm.shingles import shingles
 from tableflow.session import materialise
 
 SHINGLE = 5
 PERCENT = 80
+SEED = 42
 LOAD = 3.2  # shingles in a group, at the upper end of a class of sizes
 SMALL = 64  # sets below this size get finer groups
 FINE = 8
@@ -49,6 +49,22 @@ _ENTRIES = "array<struct<class: int, slack: int, cells: array<long>>>"
 _SKETCH = f"text_key long, doc_id long, size long, node long, entries {_ENTRIES}"
 
 
+def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """The distinct hashes of a text's shingles, ascending. A text of fewer words is one shingle, one without words none."""
+    data = text.encode().lower()  # A-Z alone change; words are parted at 0x20 and 0x09 to 0x0D
+    words = data.split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    if len(words) <= shingle:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = (ends - np.diff(ends, prepend=0))[:len(words) - shingle + 1].tolist()
+    ends = (ends[shingle - 1:] - 1).tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=True)], np.uint64))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """Numbers spread over 64 bits."""
     x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -287,6 +303,24 @@ def links(sketches: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent
     return components(found.unionByName(_verified(pairs, sets, percent)))
 
 
+def near_sets(texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, load: float = LOAD) -> DataFrame:
+    """doc_id, size and root of each row of (doc_id, text): rows of one root are copies or linked.
+
+    The root of a text without words is null.
+    """
+    prepare(texts.sparkSession)
+    texts = texts.withColumn("text_key", F.xxhash64("text"))
+    sketches = materialise(_sketches(texts, shingle, percent, load), "sketches")
+    # A set with no more groups than may differ would meet nobody: then all groups are halved.
+    while sketches.select(F.inline("entries")).where("slack < 0").take(1):
+        load /= 2
+        sketches = materialise(_sketches(texts, shingle, percent, load), "sketches")
+    roots = materialise(links(sketches, texts.select("text_key", "text"), shingle, percent), "roots")
+    rows = sketches.select("doc_id", "size", "node")
+    return divisible_join(rows, roots.toDF("n", "root"), [rows.node], [F.col("n")], "left").select(
+        "doc_id", "size", F.coalesce("root", "node").alias("root"))
+
+
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                    percent: int = PERCENT, load: float = LOAD) -> DataFrame:
     """doc_id, n_shingles and component_id, the least doc_id reachable over links of ``percent`` or more.
@@ -296,18 +330,9 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     its own id as component. A null doc_id stays null and lends its component no name. A text of any
     length is one set. An empty table gives no rows; other columns stay behind, whatever their names.
     """
-    prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = texts.withColumn("text_key", F.xxhash64("text"))
-    sketches = materialise(_sketches(texts, shingle, percent, load), "sketches")
-    # A set with no more groups than may differ would meet nobody: then all groups are halved.
-    while sketches.select(F.inline("entries")).where("slack < 0").take(1):
-        load /= 2
-        sketches = materialise(_sketches(texts, shingle, percent, load), "sketches")
-    roots = materialise(links(sketches, texts.select("text_key", "text"), shingle, percent), "roots")
-    rows = sketches.select("doc_id", F.col("size").alias("n_shingles"), "node")
-    rooted = materialise(divisible_join(rows, roots.toDF("n", "root"), [rows.node], [F.col("n")], "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "node").alias("root")), "rooted")
+    rooted = materialise(near_sets(texts, shingle, percent, load), "rooted")
     names = rooted.where("root IS NOT NULL").groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("component_id"))
     named = divisible_join(rooted, names, [rooted.root], [names.of], "left")
-    return named.select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    own = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return named.select("doc_id", F.col("size").alias("n_shingles"), own.alias("component_id"))
