@@ -37,6 +37,7 @@ from .sources.store import (
     read_ranges,
     read_table,
     read_tables,
+    recover,
     replace,
     save_csv,
     save_log,

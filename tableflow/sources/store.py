@@ -90,6 +90,9 @@ def read_table(spark: SparkSession, store: Store, name: str, columns: Sequence[s
     if store.kind == "tables":
         df = spark.read.table(store.table(name))
     else:
+        system, at = file_system(spark, store.path(name))
+        if not system.exists(at):  # a load that stopped between its two renames
+            recover(spark, store, name)
         df = spark.read.format(store.fmt).options(**store.options).load(store.path(name))
     return _projected(df, columns, types)
 
@@ -175,28 +178,86 @@ def _write(df: DataFrame, store: Store, name: str, mode: str, batch_rows: int,
         else:
             staged.write.format(store.fmt).mode(mode).saveAsTable(store.table(name))
     elif mode == "append":
+        recover(df.sparkSession, store, name)
         df.write.format(store.fmt).options(**store.options).mode(mode).save(store.path(name))
     else:
         # A leading underscore hides the folder from readers of the store.
         staged = f"{store.location.rstrip('/')}/_{name.replace('/', '_')}-{uuid.uuid4().hex}"
         df.write.format(store.fmt).options(**store.options).save(staged)
-        _swap(df.sparkSession, staged, store.path(name))
+        recover(df.sparkSession, store, name)
+        _swap(df.sparkSession, store, name, staged)
 
 
-def _swap(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a written folder in the place of another, which goes only when the new one is there."""
-    system, new = file_system(spark, staged)
-    at, old = file_system(spark, target)[1], file_system(spark, f"{staged}-old")[1]
-    had = system.exists(at)
-    if had and not system.rename(at, old):
-        raise OSError(f"{target} cannot be moved aside")
+def _intent_path(store: Store, name: str) -> str:
+    return f"{store.location.rstrip('/')}/_{name.replace('/', '_')}-intent"
+
+
+def _keep_intent(spark: SparkSession, path: str, staged: str) -> None:
+    """Write the record whole under another name first: a part of one is never found under its own."""
+    system, new = file_system(spark, f"{staged}-intent")
+    stream = system.create(new)
+    stream.write(staged.rpartition("/")[2].encode())
+    stream.close()
+    at = file_system(spark, path)[1]
+    system.delete(at, False)
     if not system.rename(new, at):
-        if had:
-            system.rename(old, at)
-        raise OSError(f"{staged} cannot be moved to {target}")
-    if had:
+        raise OSError(f"{path} cannot be written")
+
+
+def _read_intent(spark: SparkSession, store: Store, name: str) -> str | None:
+    """The staged folder that a swap under way, or one that stopped, puts in the table's place."""
+    system, at = file_system(spark, _intent_path(store, name))
+    if not system.exists(at):
+        return None
+    stream = system.open(at)
+    try:
+        return f"{store.location.rstrip('/')}/{bytes(stream.readAllBytes()).decode()}"
+    finally:
+        stream.close()
+
+
+def recover(spark: SparkSession, store: Store, name: str) -> str:
+    """Finish a swap that stopped on its way: ``done``, ``undone`` or ``none`` where there is nothing to mend.
+
+    The record of a swap is written after the new table is whole and before the old one moves. So a staged
+    folder that is still there takes the table's place, and what was moved aside goes; without it,
+    the old table comes back. Any number of calls, at any point, end in one whole table.
+    """
+    staged = _read_intent(spark, store, name) if store.kind == "files" else None
+    if staged is None:
+        return "none"
+    target = store.path(name)
+    system, new = file_system(spark, staged)
+    at, old, record = (file_system(spark, x)[1] for x in (target, f"{staged}-old", _intent_path(store, name)))
+    state = "none"
+    if system.exists(new):
+        if system.exists(at) and not system.exists(old):
+            _moved(system, at, old, target)
+        _moved(system, new, at, target)
+        state = "done"
+    elif not system.exists(at) and system.exists(old):
+        _moved(system, old, at, target)
+        state = "undone"
+    system.delete(record, False)
+    if system.exists(at):
         system.delete(old, True)
     spark.catalog.refreshByPath(target)
+    return state
+
+
+def _moved(system: JavaObject, source: JavaObject, target: JavaObject, name: str) -> None:
+    """Rename a folder; one that another call has moved already is where it should be."""
+    if not system.rename(source, target) and (system.exists(source) or not system.exists(target)):
+        raise OSError(f"{source} cannot be moved to {target} ({name})")
+
+
+def _swap(spark: SparkSession, store: Store, name: str, staged: str) -> None:
+    """Put a written folder in the place of the table, which goes only when the new one is there.
+
+    A record beside the table says so first. Whatever stops this, the next load or read finishes it.
+    """
+    _keep_intent(spark, _intent_path(store, name), staged)
+    recover(spark, store, name)
 
 
 def append(df: DataFrame, store: Store, name: str, batch_rows: int = 10_000) -> None:

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 import tableflow as tf
 from tableflow.operators.mapping import ColumnRule
 from tableflow import session
-from tableflow.sources.store import jdbc_range_options, jdbc_read_options, jdbc_write_options, key_cuts, range_predicates, target_schema
+from tableflow.sources import store as sources
+from tableflow.sources.store import jdbc_range_options, jdbc_read_options, jdbc_write_options, key_cuts, range_predicates, recover, target_schema
 
 from collected import rows
 
@@ -176,3 +177,56 @@ def test_empty_tables_are_logged(spark, store):
     rules = [ColumnRule("a", "bigint"), ColumnRule("b", "string", max_length=3)]
     for log in (tf.copy_table(empty, store, "x"), tf.copy_table(empty, store, "y", rules=rules)):
         assert (log.first().source_table_rows, log.first().target_table_rows) == (0, 0)
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("mode", ["replace", "truncate_load"])
+@pytest.mark.parametrize("renames", [0, 1, 2, 3])
+def test_a_swap_that_stops_is_finished(spark, store, monkeypatch, mode, renames):
+    """Stopped after so many renames, a read and the next load find one whole table; reads alone suffice."""
+    tf.replace(spark.range(3), store, "t")
+    whole = sources._moved
+    left = [renames]
+
+    def some(system, source, target, name):
+        if not left[0]:
+            raise Stopped
+        left[0] -= 1
+        whole(system, source, target, name)
+
+    monkeypatch.setattr(sources, "_moved", some)
+    try:
+        getattr(tf, mode)(spark.range(10, 15), store, "t")
+        stopped = False
+    except Stopped:
+        stopped = True
+    monkeypatch.setattr(sources, "_moved", whole)
+    assert stopped == (renames < 2)
+    # Before anything has moved, the old table is there; after that, the new one.
+    expected = [(0,), (1,), (2,)] if renames == 0 else [(n,) for n in range(10, 15)]
+    assert sorted(rows(tf.read_table(spark, store, "t"))) == expected
+    assert target_schema(spark, store, "t") is not None
+    tf.append(spark.range(20, 21), store, "t")
+    assert sorted(rows(tf.read_table(spark, store, "t"))) == [(n,) for n in range(10, 15)] + [(20,)]
+    tf.replace(spark.range(2), store, "t")
+    assert sorted(rows(tf.read_table(spark, store, "t"))) == [(0,), (1,)]
+    assert recover(spark, store, "t") == "none"
+
+
+def test_a_lost_staged_folder_brings_the_old_table_back(spark, store, tmp_path):
+    tf.replace(spark.range(3), store, "t")
+    folder = tmp_path / "store"
+    (folder / "t").rename(folder / "_t-1-old")
+    (folder / "_t-intent").write_text("_t-1")
+    assert rows(tf.read_table(spark, store, "t").orderBy("id")) == [(0,), (1,), (2,)]
+    assert sorted(p.name for p in folder.iterdir() if not p.name.startswith(".")) == ["t"]
+
+
+def test_a_load_that_fails_before_its_swap_changes_nothing(spark, store):
+    tf.replace(spark.range(3), store, "t")
+    with pytest.raises(Exception):
+        tf.replace(spark.range(3).selectExpr("raise_error('no') AS id"), store, "t")
+    assert tf.read_table(spark, store, "t").count() == 3
