@@ -277,6 +277,19 @@ def transfer_log(spark, sf):
     return log.select("table_name", "page_no", "source_table_rows", "target_table_rows", "type")
 
 
+def transfer_resumed(spark, sf):
+    """A transfer that ends after some batches, goes on, loses pages, and goes on again."""
+    orders, target, ledger = _t(spark, sf, "orders"), _scratch(spark, "resumed"), _scratch(spark, "ledger")
+    how = {"page_size": 1000, "ledger": ledger, "batches": 8}
+    tf.transfer_resumed(orders, target, "orders", ["o_orderkey"], limit=3, **how)
+    pages = tf.materialise(tf.read_table(spark, ledger, "orders_pages"))
+    tf.replace(pages.where("batch_no <> 1"), ledger, "orders_pages")
+    log = tf.transfer_resumed(orders, target, "orders", ["o_orderkey"], **how)
+    there = tf.read_table(spark, target, "orders").groupBy(F.col("page_no").alias("p")).agg(
+        F.sum("o_orderkey").alias("key_sum"), F.min("o_orderkey").alias("first_key"))
+    return log.join(there, F.col("page_no") == F.col("p")).select("page_no", "source_table_rows", "target_table_rows", "key_sum", "first_key")
+
+
 def page_numbers(spark, sf):
     """First and last row of pages given as text: numbers, 0 and texts that are none."""
     asked = _t(spark, sf, "orders").select(
@@ -376,6 +389,21 @@ def run_failing(spark, sf):
     return report.unionByName(checks)
 
 
+def run_decimals(spark, sf):
+    """A number whose target has fewer places: what would be rounded is a reject, and the compare tells."""
+    described = tf.catalogue_of(spark, {"orders": _t(spark, sf, "orders")})
+    price = F.col("column_name") == "o_totalprice"
+    described = described.withColumns({"data_type": F.when(price, "NUMBER").otherwise(F.col("data_type")),
+                                       "data_precision": F.when(price, 12).otherwise(F.col("data_precision")),
+                                       "data_scale": F.when(price, 1).otherwise(F.col("data_scale"))})
+    target, lost = _scratch(spark, "decimals"), _scratch(spark, "rejects")
+    done = tf.run(spark, tf.Plan(_store(sf), target, [tf.TablePlan("orders", order=["o_orderkey"], primary_key=["o_orderkey"])],
+                                 catalogue=described, reject_store=lost))
+    rows = done.compare.select(F.col("source_table_name").alias("name"), "source_rows", "target_rows", F.col("is_success").alias("outcome"))
+    kept = tf.read_table(spark, lost, "orders").groupBy(F.col("reject_reason").alias("name")).agg(F.count("*").alias("source_rows"))
+    return rows.unionByName(kept.select("name", "source_rows", F.lit(0).cast("bigint").alias("target_rows"), F.lit("rejected").alias("outcome")))
+
+
 def run_metadata(spark, sf):
     """Tables made without rows: the columns they have."""
     plan = _plan(spark, sf, "metadata")
@@ -465,6 +493,28 @@ def assign_ids(spark, sf):
     return tf.assign_ids(without, "c_custkey", ["c_name"], unique=True)
 
 
+def assign_ids_again(spark, sf):
+    """Ids of the customers and priorities of some orders, then of all: the first ones stay."""
+    store, orders = _scratch(spark, "ids"), _t(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
+    keyed = orders.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderpriority")))
+    keys = ["o_custkey", "o_orderpriority"]
+    tf.known_ids(keyed.where("o_orderkey % 3 = 0"), store, "customer_ids", keys)
+    return tf.assign_ids_again(keyed, store, "customer_ids", keys).select("o_orderkey", "id")
+
+
+def _references(spark, sf):
+    """References between tables named by customers: stars, chains, circles of three and of one."""
+    orders = _t(spark, sf, "orders", "o_custkey").selectExpr("o_custkey AS c", "o_custkey DIV 50 AS b", "(o_custkey DIV 10) % 5 AS r")
+    first = orders.selectExpr(
+        "c", "CASE WHEN c % 10 <> 0 THEN c - c % 10 WHEN r = 0 THEN b DIV 2 * 50 WHEN r = 4 THEN c WHEN r = 3 THEN c - 20 ELSE c + 10 END AS p")
+    second = orders.where("c % 10 = 0 AND r = 1").selectExpr("c", "b * 50 AS p")
+    return first.unionByName(second).selectExpr("concat('T', c) AS child_table", "concat('T', p) AS parent_table")
+
+
+def load_order(spark, sf):
+    return tf.load_order(_references(spark, sf), _t(spark, sf, "customer").selectExpr("concat('T', c_custkey) AS table_name"))
+
+
 def text_between(spark, sf):
     return tf.text_between(_t(spark, sf, "pages"), "html", "<title>", "</title>", "title").select("page_id", "title")
 
@@ -499,6 +549,15 @@ def compare_keys(spark, sf):
     return tf.compare_keys(_t(spark, sf, "customer"), urgent, ["c_custkey"], ["o_custkey"])
 
 
+def compare_content(spark, sf):
+    """All order lines against a copy in which some are lost, some added and some changed."""
+    lines = _t(spark, sf, "lineitem")
+    other = (lines.where("l_orderkey % 97 <> 0").unionByName(lines.where("l_orderkey % 103 = 0").withColumn("l_orderkey", -F.col("l_orderkey")))
+             .withColumns({"l_quantity": F.when(F.col("l_partkey") % 101 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")),
+                           "l_linenumber": F.col("l_linenumber").cast("bigint")}))
+    return tf.compare_content(lines, other, ["l_orderkey", "l_linenumber"])
+
+
 def exists_in(spark, sf):
     events = _t(spark, sf, "events")
     return reduce(DataFrame.unionByName, [
@@ -558,11 +617,11 @@ _QUERIES = (
     column_catalogue, measured_catalogue, map_types, map_notes, map_types_measured, map_types_compat, clean_defaults,
     clean_defaults_compat, fit_row_width, text_widths, number_widths,
     conform_rows, reject_rows, conform_fractions, common_columns, load_common_columns, page_plan, page_rows,
-    page_rows_copies, page_slice, page_numbers, page_counts_compat, transfer_log, transfer_status, transfer_report, copy_log,
-    task_elapsed, zoned_elapsed, run_full, run_failing, run_metadata, run_views, run_listed, run_data, ordered_list, key_columns,
+    page_rows_copies, page_slice, page_numbers, page_counts_compat, transfer_log, transfer_resumed, transfer_status, transfer_report, copy_log,
+    task_elapsed, zoned_elapsed, run_full, run_failing, run_decimals, run_metadata, run_views, run_listed, run_data, ordered_list, key_columns,
     foreign_keys,
-    check_primary_key, check_unique, check_not_null, orphan_rows, orphan_summary, assign_ids, text_between,
-    identity_columns, identity_count, compare_counts, compare_failures, compare_keys, exists_in, object_status,
+    check_primary_key, check_unique, check_not_null, orphan_rows, orphan_summary, assign_ids, assign_ids_again, load_order, text_between,
+    identity_columns, identity_count, compare_counts, compare_failures, compare_keys, compare_content, exists_in, object_status,
     run_summary, count_by_kind, rewrite_text, rewrite_views, normalise_text, strip_definition, valid_only,
 )
 

@@ -331,6 +331,40 @@ ORACLES = {
         UNION ALL SELECT 'TABLE', 'absent', 0, 'TABLE NOT EXIST'
         UNION ALL SELECT 'CONSTRAINT INDEX', 'customer primary key', NULL, 'failed'
         UNION ALL SELECT 'CONSTRAINT INDEX', 'orders primary key', NULL, 'end'""",
+    "run_decimals": """WITH o AS (SELECT count(*) AS n, count(*) FILTER (o_totalprice::DECIMAL(12, 1)::DOUBLE = o_totalprice) AS fit FROM orders)
+        SELECT 'ORDERS' AS name, n AS source_rows, fit AS target_rows, CASE WHEN n = fit THEN 'Y' ELSE 'N' END AS outcome FROM o
+        UNION ALL SELECT 'o_totalprice:scale', n - fit, 0, 'rejected' FROM o WHERE n > fit""",
+    "transfer_resumed": """SELECT (row_no - 1) // 1000 + 1 AS page_no, count(*) AS source_table_rows, count(*) AS target_table_rows,
+          sum(o_orderkey)::BIGINT AS key_sum, min(o_orderkey) AS first_key
+        FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_no FROM orders) GROUP BY 1""",
+    "assign_ids_again": """WITH keyed AS (SELECT o_orderkey, o_custkey AS c, CASE WHEN o_orderkey % 5 > 0 THEN o_orderpriority END AS p FROM orders),
+        first AS (SELECT c, p, row_number() OVER (ORDER BY c, p NULLS FIRST) AS id FROM (SELECT DISTINCT c, p FROM keyed WHERE o_orderkey % 3 = 0)),
+        later AS (SELECT c, p, (SELECT max(id) FROM first) + row_number() OVER (ORDER BY c, p NULLS FIRST) AS id
+            FROM (SELECT c, p FROM keyed EXCEPT SELECT c, p FROM first)),
+        ids AS (SELECT * FROM first UNION ALL SELECT * FROM later)
+        SELECT o_orderkey, id::BIGINT AS id FROM keyed k JOIN ids i ON k.c = i.c AND k.p IS NOT DISTINCT FROM i.p""",
+    "load_order": """WITH RECURSIVE o AS (SELECT DISTINCT o_custkey AS c, o_custkey // 50 AS b, (o_custkey // 10) % 5 AS r FROM orders),
+        refs AS (SELECT c, CASE WHEN c % 10 <> 0 THEN c - c % 10 WHEN r = 0 THEN b // 2 * 50 WHEN r = 4 THEN c WHEN r = 3 THEN c - 20
+                 ELSE c + 10 END AS p FROM o UNION SELECT c, b * 50 FROM o WHERE c % 10 = 0 AND r = 1),
+        e AS (SELECT DISTINCT concat('T', p) AS a, concat('T', c) AS b FROM refs),
+        reach AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
+        nodes AS (SELECT a AS node FROM e UNION SELECT b FROM e),
+        parts AS (SELECT node, greatest(node, max(x.b)) AS root
+                  FROM nodes LEFT JOIN (SELECT r.a, r.b FROM reach r JOIN reach q ON r.a = q.b AND r.b = q.a) x ON node = x.a GROUP BY node),
+        dag AS (SELECT DISTINCT f.root AS a, t.root AS b FROM e JOIN parts f ON e.a = f.node JOIN parts t ON e.b = t.node WHERE f.root <> t.root),
+        walks AS (SELECT DISTINCT root AS part, 0 AS n FROM parts UNION SELECT d.b, n + 1 FROM walks w JOIN dag d ON w.part = d.a),
+        levels AS (SELECT part, max(n) AS n FROM walks GROUP BY part),
+        circles AS (SELECT DISTINCT a FROM reach WHERE a = b)
+        SELECT node AS table_name, n::INT AS load_level, CASE WHEN c.a IS NOT NULL THEN root END AS cycle, c.a IS NOT NULL AS in_cycle
+        FROM parts JOIN levels ON root = part LEFT JOIN circles c ON node = c.a
+        UNION ALL SELECT concat('T', c_custkey), 0, NULL, false FROM customer WHERE concat('T', c_custkey) NOT IN (SELECT node FROM nodes)""",
+    "compare_content": """WITH theirs AS (SELECT * REPLACE (CASE WHEN l_partkey % 101 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
+            FROM (SELECT * FROM lineitem WHERE l_orderkey % 97 <> 0 UNION ALL SELECT * REPLACE (-l_orderkey AS l_orderkey) FROM lineitem WHERE l_orderkey % 103 = 0)),
+        a AS (SELECT l_orderkey AS k, l_linenumber AS n, count(*) AS rows_a, list_sort(list(t::VARCHAR)) AS content FROM lineitem t GROUP BY ALL),
+        b AS (SELECT l_orderkey AS k, l_linenumber AS n, count(*) AS rows_b, list_sort(list(t::VARCHAR)) AS content FROM theirs t GROUP BY ALL)
+        SELECT coalesce(a.k, b.k) AS l_orderkey, coalesce(a.n, b.n)::BIGINT AS l_linenumber, coalesce(rows_a, 0) AS source_rows, coalesce(rows_b, 0) AS target_rows,
+          CASE WHEN rows_b IS NULL THEN 'lost' WHEN rows_a IS NULL THEN 'added' ELSE 'changed' END AS difference
+        FROM a FULL JOIN b ON a.k = b.k AND a.n = b.n WHERE a.content IS DISTINCT FROM b.content""",
     "run_metadata": f"SELECT table_name, column_id, column_name, data_type FROM ({_described(['customer', 'orders', 'lineitem'])})",
     "run_views": """SELECT 'REGION' AS source_table_name, count(*) AS source_rows, 'TABLE' AS db_type, 'REGION' AS target_table_name,
           count(*) AS target_rows, 'Y' AS is_success FROM region

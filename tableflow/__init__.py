@@ -10,6 +10,9 @@ from .operators.checks import (
 )
 from .operators.compare import compare_counts, compare_keys, exists_in, failures, row_counts, store_counts
 from .operators.conform import align, conform, flag, rejects
+from .operators.content import compare_content
+from .operators.identity import assign_ids_again, known_ids
+from .operators.loadorder import load_order, strong_components
 from .operators.mapping import (
     ColumnRule,
     clean_defaults,
@@ -23,6 +26,7 @@ from .operators.paging import number_rows, page_bounds, page_slice, with_pages
 from .operators.profile import number_widths, text_widths
 from .operators.references import foreign_keys, identity_columns, identity_count, key_columns, ordered_list
 from .operators.report import count_by_kind, elapsed, object_status, run_summary, transfer_report, transfer_status
+from .operators.resume import transfer_resumed
 from .operators.text import normalise_text, rewrite_text, strip_definition, text_between, valid_only
 from .operators.transfer import copy_table, load_common_columns, transfer
 from .plans.migrate import Plan, Reference, Run, TablePlan, run

@@ -49,6 +49,7 @@ class _Layout:
     key: Column | None = None  # what the cuts are compared with
     cuts: Sequence[str] = ()
     literal: Callable[[Sequence[str]], Column] | None = None
+    parts: Sequence[str] = ()  # the key columns the cuts have
 
     def starts(self) -> list[int]:
         """Rows before each bucket."""
@@ -81,6 +82,18 @@ def _add_bucket(df: DataFrame, key: Column, cuts: Sequence[str], literal: Callab
     return df.withColumnRenamed(f"_b{bits}", "_bucket").drop("_key")
 
 
+def cut_key(df: DataFrame, parts: Sequence[str], scalar: bool) -> tuple[Column, Callable[[Sequence[str]], Column]]:
+    """The columns that cuts are compared with, and what makes an array of cuts from their JSON."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in parts])
+    kind = df.select(whole.alias("k")).schema["k"].dataType
+
+    def literal(texts: Sequence[str]) -> Column:
+        values = F.from_json(F.lit("[" + ",".join(texts) + "]"), T.ArrayType(kind), _JSON)
+        return values[parts[0]] if scalar else values
+
+    return F.col(f"`{parts[0]}`") if scalar else whole, literal
+
+
 def _known_bytes(df: DataFrame) -> int:
     """Bytes of the rows as Spark estimates them from its sources, 0 where it does not know."""
     found = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
@@ -153,14 +166,7 @@ def _layout(df: DataFrame, keys: Sequence[str], unique: bool, buckets: int | Non
     parts, cuts = prefixes[best], chosen[best]
     scalar = len(parts) == 1 and not copied
 
-    key = F.struct(*[F.col(f"`{c}`") for c in parts])
-    key_type = keyed.select(key.alias("k")).schema["k"].dataType
-    if scalar:
-        key = F.col(f"`{parts[0]}`")
-
-    def literal(texts: Sequence[str]) -> Column:
-        values = F.from_json(F.lit("[" + ",".join(texts) + "]"), T.ArrayType(key_type), _JSON)
-        return values[parts[0]] if scalar else values
+    key, literal = cut_key(keyed, parts, scalar)
 
     copy = F.lit(False)
     if copied:
@@ -169,7 +175,7 @@ def _layout(df: DataFrame, keys: Sequence[str], unique: bool, buckets: int | Non
     per_bucket = keyed.groupBy("_bucket").agg(
         F.count("*").alias("rows"), F.count_if("_copy").alias("copies")).collect()
     return _Layout(keyed, order, {r["_bucket"]: (r["rows"], r["copies"]) for r in per_bucket}, key, cuts,
-                   literal)
+                   literal, parts)
 
 
 def expand_counts(df: DataFrame, count: str, number: str) -> DataFrame:

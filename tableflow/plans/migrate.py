@@ -72,7 +72,8 @@ class Plan:
     ``measure`` reads lengths and number ranges from the data before mapping. Rejected rows
     go to ``reject_store``, the log (as tables finish) and the compare result to ``log_store``.
     ``views`` (view_name, text) are rewritten; with ``target_views`` (view_name), the compare
-    result says which of them are there.
+    result says which of them are there. A number with more digits behind the point than its target
+    has places for is a reject; with ``round_decimals`` it is rounded.
     """
 
     source: Store
@@ -92,6 +93,7 @@ class Plan:
     views: DataFrame | None = None
     objects: DataFrame | None = None
     target_views: DataFrame | None = None
+    round_decimals: bool = False
 
     def chosen(self) -> list[TablePlan]:
         if self.mode not in MODES:
@@ -175,8 +177,9 @@ def _load(spark: SparkSession, plan: Plan, table: TablePlan, source: DataFrame,
     if table.order:
         unique = bool(table.primary_key) and set(table.primary_key) <= set(table.order)
         return transfer(source, plan.target, table.name, table.order, plan.page_size, unique, rules=rules,
-                        reject_store=plan.reject_store)
-    return copy_table(source, plan.target, table.name, rules=rules, reject_store=plan.reject_store)
+                        reject_store=plan.reject_store, exact_scale=not plan.round_decimals)
+    return copy_table(source, plan.target, table.name, rules=rules, reject_store=plan.reject_store,
+                      exact_scale=not plan.round_decimals)
 
 
 def _checks(spark: SparkSession, plan: Plan, table: TablePlan) -> Iterator[tuple[str, str, Callable[[], DataFrame | None]]]:

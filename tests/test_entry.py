@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WRITES = {"load_append", "load_truncate", "save_csv", "save_log", "load_common_columns", "transfer_log", "transfer_status",
-          "transfer_report", "copy_log", "run_full", "run_failing", "run_metadata", "run_views", "run_listed", "run_data"}
+          "transfer_report", "copy_log", "run_full", "run_failing", "run_decimals", "transfer_resumed", "run_metadata", "run_views", "run_listed", "run_data"}
 # Those of the optional subpackage have tests of their own.
 QUERIES = {name: query for name, query in entry.queries().items() if name != "pipeline" and not re.match(r"op\d+_", name)}
 
