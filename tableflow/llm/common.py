@@ -35,7 +35,8 @@ def prepare(spark: SparkSession) -> None:
     """Let executors import this library, and send them texts in batches of at most 1,000 rows.
 
     The library goes to the shared folder and from there to executors, once for each application,
-    so that none needs it installed. A batch of long texts must fit in a worker's memory.
+    so that none needs it installed. Spark also cuts batches by bytes (``maxBytesPerBatch``, 64 MB by
+    default), so that only one text alone can make a batch larger.
     """
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
@@ -82,6 +83,29 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+class Recent:
+    """Texts and their ids, the last ones asked for: two halves, of which the older one is dropped when the newer is full."""
+
+    def __init__(self, half: int = CACHE_WORDS, letters: int = CACHE_LETTERS):
+        self.half, self.letters = half, letters
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def put(self, text: str, ids: bytes) -> bytes:
+        if len(text) <= self.letters:
+            if len(self.new) >= self.half:
+                self.old, self.new = self.new, {}
+            self.new[text] = ids
+        return ids
+
+    def get(self, text: str) -> bytes | None:
+        """The ids of a text that is known; one of the older half moves to the newer."""
+        found = self.new.get(text)
+        if found is None and (found := self.old.get(text)) is not None:
+            self.put(text, found)
+        return found
+
+
 class WordTokens:
     """Ids of whole texts under a vocabulary whose pieces never span white space.
 
@@ -99,36 +123,28 @@ class WordTokens:
         self.size = self.library.get_vocab_size()
         self.merge = self.library.model.tokenize
         self.letters = byte_letters()
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known = Recent()
+
+    def _piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        tokens = self.merge(letters)
+        return self.known.put(piece, struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens]))
 
     def _learn(self, word: str) -> bytes:
-        """Ids of a word without white space."""
-        found, pieces = [], self.pieces
-        for piece in _PIECES.findall(word):
-            ids = pieces.get(piece)
-            if ids is None:
-                tokens = self.merge(piece.encode().decode("latin-1").translate(self.letters))
-                ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-                if len(piece) <= CACHE_LETTERS:
-                    if len(pieces) >= CACHE_WORDS:
-                        pieces.clear()
-                    pieces[piece] = ids
-            found.append(ids)
-        ids = b"".join(found)
-        if len(word) <= CACHE_LETTERS:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
+        """Ids of a word without white space; its pieces are known as words of their own."""
+        if word.isascii() and word.isalpha():
+            return self._piece(word)
+        get, pieces = self.known.get, _PIECES.findall(word)
+        ids = [get(piece) or self._piece(piece) for piece in pieces]
+        return ids[0] if len(pieces) == 1 else self.known.put(word, b"".join(ids))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
         odd = {k for k, text in enumerate(texts) if _PLAIN.search(text) or "<|" in text}
         lists = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(["" if k in odd else t for k, t in enumerate(texts)], pa.large_string())))
         coded = lists.flatten().dictionary_encode()
-        get, learn = self.words.get, self._learn
-        known = [get(word) or learn(word) for word in coded.dictionary.to_pylist()]
+        get, learn = self.known.get, self._learn
+        known = [get(word) or learn(word) for word in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
         flat, sizes = np.frombuffer(b"".join(known), "<u4"), np.array([len(x) // 4 for x in known], np.int64)
         codes = coded.indices.to_numpy(zero_copy_only=False)
         counts = sizes[codes]

@@ -14,8 +14,8 @@ from dataclasses import dataclass
 import numpy as np
 
 SCALE = 20  # the frequencies of a table sum to 2 ** SCALE
-LANES = 512
-BLOCK_IDS = 131_072
+LANES = 2048
+BLOCK_IDS = 524_288
 CHECKPOINT_STEPS = 128
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)

@@ -45,8 +45,8 @@ def _ids(width: int, data: bytes) -> np.ndarray:
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        for width, data in zip(batch["width"], batch["ids"], strict=True):
-            more = np.bincount(_ids(width, data))
+        for width, held in batch.groupby("width")["ids"]:
+            more = np.bincount(_ids(width, b"".join(held)))
             if len(more) > len(counts):
                 counts = np.pad(counts, (0, len(more) - len(counts)))
             counts[:len(more)] += more
