@@ -10,7 +10,7 @@ from importlib import import_module
 from pathlib import Path
 from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -81,6 +81,14 @@ def range_scan(spark, sf):
     return rows.groupBy("o_orderstatus").agg(F.count("*").alias("row_count"))
 
 
+def range_scan_text(spark, sf):
+    """Rows by language, and how many of the ranges of (lang, source, doc_id) they lie in: one each."""
+    docs, keys = _t(spark, sf, "documents", "lang", "source", "doc_id"), ["lang", "source", "doc_id"]
+    ranges = tf.tuple_predicates(keys, tf.tuple_cuts(docs, keys, 16))
+    hits = reduce(Column.__add__, [F.expr(p).cast("bigint") for p in ranges])
+    return docs.groupBy("lang").agg(F.count("*").alias("row_count"), F.sum(hits).alias("range_count"))
+
+
 def name_list(spark, sf):
     lines = _t(spark, sf, "orders").selectExpr(NAME_LINES + " AS value")
     return tf.name_list(lines).groupBy("name").agg(F.count("*").alias("lines"))
@@ -191,6 +199,14 @@ def fit_row_width(spark, sf):
         "table_name", "column_id", "column_name", "fitted_length", "narrowed")
 
 
+def fit_row_width_least(spark, sf):
+    widths = (_t(spark, sf, "lineitem").groupBy(
+        F.concat(F.lit("T"), "l_orderkey").alias("table_name"), F.concat(F.lit("C"), "l_partkey").alias("column_name"))
+        .agg(F.max("l_quantity").cast("int").alias("width")))
+    return tf.fit_row_width_least(_catalogue(spark, sf), widths, 9_000).select(
+        "table_name", "column_id", "column_name", "fitted_length", "narrowed", "fits")
+
+
 def text_widths(spark, sf):
     return reduce(DataFrame.unionByName, [
         tf.text_widths(df).select(F.lit(name).alias("table_name"), "*") for name, df in _all(spark, sf).items()])
@@ -439,6 +455,12 @@ def ordered_list(spark, sf):
                            name="part_list")
 
 
+def ordered_parts(spark, sf):
+    """Three lists of all line items, one with half of them, in parts of 1,000."""
+    return tf.ordered_parts(_t(spark, sf, "lineitem"), ["l_returnflag"], "l_partkey", ["l_shipdate", "l_orderkey"], 1_000,
+                            name="part_list")
+
+
 def key_columns(spark, sf):
     lineitem, orders = _t(spark, sf, "lineitem"), _t(spark, sf, "orders")
     columns = lineitem.selectExpr("concat('T', l_suppkey) AS table_name", "concat('I', l_orderkey) AS index_name",
@@ -597,6 +619,11 @@ def rewrite_views(spark, sf):
     return _digest(tf.rewrite_text(views, "text"), "text")
 
 
+def rewrite_views_lexed(spark, sf):
+    views = _t(spark, sf, "documents").withColumn("text", F.expr(VIEW_TEXT))
+    return _digest(tf.rewrite_code(views, "text"), "text")
+
+
 def normalise_text(spark, sf):
     texts = _t(spark, sf, "documents").withColumn("text", F.expr(TRIGGER_TEXT))
     return _digest(tf.normalise_text(texts, "text"), "text")
@@ -613,16 +640,16 @@ def valid_only(spark, sf):
 
 
 _QUERIES = (
-    scan_counts, range_scan, name_list, restrict_to_list, load_append, load_truncate, save_csv, save_log, read_types,
+    scan_counts, range_scan, range_scan_text, name_list, restrict_to_list, load_append, load_truncate, save_csv, save_log, read_types,
     column_catalogue, measured_catalogue, map_types, map_notes, map_types_measured, map_types_compat, clean_defaults,
-    clean_defaults_compat, fit_row_width, text_widths, number_widths,
+    clean_defaults_compat, fit_row_width, fit_row_width_least, text_widths, number_widths,
     conform_rows, reject_rows, conform_fractions, common_columns, load_common_columns, page_plan, page_rows,
     page_rows_copies, page_slice, page_numbers, page_counts_compat, transfer_log, transfer_resumed, transfer_status, transfer_report, copy_log,
-    task_elapsed, zoned_elapsed, run_full, run_failing, run_decimals, run_metadata, run_views, run_listed, run_data, ordered_list, key_columns,
+    task_elapsed, zoned_elapsed, run_full, run_failing, run_decimals, run_metadata, run_views, run_listed, run_data, ordered_list, ordered_parts, key_columns,
     foreign_keys,
     check_primary_key, check_unique, check_not_null, orphan_rows, orphan_summary, assign_ids, assign_ids_again, load_order, text_between,
     identity_columns, identity_count, compare_counts, compare_failures, compare_keys, compare_content, exists_in, object_status,
-    run_summary, count_by_kind, rewrite_text, rewrite_views, normalise_text, strip_definition, valid_only,
+    run_summary, count_by_kind, rewrite_text, rewrite_views, rewrite_views_lexed, normalise_text, strip_definition, valid_only,
 )
 
 

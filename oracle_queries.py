@@ -156,6 +156,16 @@ def _digest(column: str, table: str = "documents") -> str:
     return f"SELECT doc_id, length(t) AS chars, md5(t) AS digest FROM (SELECT doc_id, {column} AS t FROM {table})"
 
 
+def _lexed(column: str) -> str:
+    """Tokens of a text rewritten one by one; a code token ends before each letter u, dash and slash."""
+    tokens = r"""unistr\('\\003[013]'\)|'[^']*(?:'|\z)|"[^"]*(?:"|\z)|--[^\n]*|/\*(?s:.*?)(?:\*/|\z)|[^'"/u-]+|[-/u]"""
+    rewritten = r"""CASE WHEN regexp_full_match(x, 'unistr\(''\\003[013]''\)') THEN substr(x, 13, 1)
+        WHEN starts_with(x, '--') THEN regexp_replace(x, '^--([^ \t])', '-- \1')
+        WHEN x[1] IN (chr(39), '"') OR starts_with(x, '/*') THEN x ELSE replace(x, 'nvl(', 'ifnull(') END"""
+    pattern = tokens.replace("'", "''")
+    return f"array_to_string(list_transform(regexp_extract_all({column}, '{pattern}'), lambda x: {rewritten}), '')"
+
+
 def _described(tables: list[str] = TABLES) -> str:
     """Name, place, source type, precision and scale of every column."""
     digits = {"w": "19, 0", "i": "10, 0"}
@@ -227,6 +237,7 @@ SELECT concat('K', l_orderkey) AS k, string_agg(concat('C', l_partkey), ',' ORDE
 
 ORACLES = {
     "scan_counts": _COUNTS,
+    "range_scan_text": "SELECT lang, count(*) AS row_count, count(*) AS range_count FROM documents GROUP BY 1",
     "range_scan": "SELECT o_orderstatus, count(*) AS row_count FROM orders GROUP BY 1",
     "name_list": f"""SELECT name, count(*) AS lines FROM (SELECT upper(trim(split_part({NAME_LINES}, ',', 1))) AS name
         FROM orders) WHERE name <> '' GROUP BY 1""",
@@ -264,6 +275,18 @@ ORACLES = {
           narrowed
         FROM (SELECT c.*, w.width, c.table_name IN (SELECT table_name FROM big)
             AND data_type IN ('VARCHAR2', 'NVARCHAR2') AS narrowed FROM c JOIN w USING (table_name, column_name))""",
+    "fit_row_width_least": f"""
+        WITH c AS (SELECT * FROM ({_STATS})),
+        w AS (SELECT concat('T', l_orderkey) AS table_name, concat('C', l_partkey) AS column_name,
+          max(l_quantity)::INT AS width FROM lineitem GROUP BY 1, 2),
+        s AS (SELECT c.*, w.width, sum(coalesce(char_length, 0)) OVER (PARTITION BY table_name) AS row_width,
+            CASE WHEN data_type IN ('VARCHAR2', 'NVARCHAR2') THEN greatest(coalesce(char_length, 0) - width, 0) ELSE 0 END AS saved
+          FROM c JOIN w USING (table_name, column_name)),
+        r AS (SELECT *, sum(saved) OVER (PARTITION BY table_name ORDER BY saved DESC, column_id, column_name
+            ROWS UNBOUNDED PRECEDING) - saved AS before, sum(saved) OVER (PARTITION BY table_name) AS every FROM s)
+        SELECT table_name, column_id, column_name, CASE WHEN narrowed THEN width ELSE char_length END AS fitted_length, narrowed,
+          row_width <= 9000 OR row_width - every <= 9000 AS fits
+        FROM (SELECT *, row_width > 9000 AND saved > 0 AND row_width - before > 9000 AS narrowed FROM r)""",
     "text_widths": _widths(),
     "number_widths": _numbers(),
     "conform_rows": f"""SELECT event_id, strftime(date_trunc('second', ts + INTERVAL 500 MILLISECONDS),
@@ -380,6 +403,9 @@ ORACLES = {
           CASE WHEN bool_and(o_totalprice < 99999.995) THEN 'Y' ELSE 'N' END FROM orders""",
     "ordered_list": """SELECT l_orderkey, string_agg(l_partkey::VARCHAR, ',' ORDER BY l_linenumber, l_partkey) AS part_list
         FROM lineitem GROUP BY 1""",
+    "ordered_parts": """SELECT l_returnflag, part, count(*) AS row_count, string_agg(l_partkey::VARCHAR, ',' ORDER BY n) AS part_list
+        FROM (SELECT *, (n - 1) // 1000 AS part FROM (SELECT l_returnflag, l_partkey, row_number() OVER (PARTITION BY l_returnflag
+          ORDER BY l_shipdate, l_orderkey, l_partkey) AS n FROM lineitem)) GROUP BY 1, 2""",
     "key_columns": f"""
         WITH t AS (SELECT concat('T', l_suppkey) AS table_name, l_orderkey, string_agg(concat('C', l_partkey), ','
             ORDER BY l_linenumber, concat('C', l_partkey)) AS columns FROM lineitem GROUP BY 1, 2),
@@ -450,6 +476,7 @@ ORACLES = {
         f"""replace(replace(replace(replace(replace({VIEW_TEXT}, '--', '-- -- '), 'nvl(', 'ifnull('),
         concat('unistr(''', chr(92), '0030'')'), '0'), concat('unistr(''', chr(92), '0031'')'), '1'),
         concat('unistr(''', chr(92), '0033'')'), '3')"""),
+    "rewrite_views_lexed": _digest(_lexed(VIEW_TEXT)),
     "normalise_text": _digest(
         f"""replace(replace(replace(replace(upper(replace({TRIGGER_TEXT}, 'ß', 'SS')), 'INTO:', 'INTO :'), 'SYS.DUAL ', 'DUAL'),
         'SYS.DUAL', 'DUAL'), chr(10), '')"""),

@@ -18,16 +18,17 @@ from .operators.mapping import (
     clean_defaults,
     column_rules,
     fit_row_width,
+    fit_row_width_least,
     map_types,
     normalise_stats,
     schema_of,
 )
 from .operators.paging import number_rows, page_bounds, page_slice, with_pages
 from .operators.profile import number_widths, text_widths
-from .operators.references import foreign_keys, identity_columns, identity_count, key_columns, ordered_list
+from .operators.references import foreign_keys, identity_columns, identity_count, key_columns, ordered_list, ordered_parts
 from .operators.report import count_by_kind, elapsed, object_status, run_summary, transfer_report, transfer_status
 from .operators.resume import transfer_resumed
-from .operators.text import normalise_text, rewrite_text, strip_definition, text_between, valid_only
+from .operators.text import normalise_text, rewrite_code, rewrite_text, strip_definition, text_between, valid_only
 from .operators.transfer import copy_table, load_common_columns, transfer
 from .plans.migrate import Plan, Reference, Run, TablePlan, run
 from .session import fresh_path, materialise, shared_folder
@@ -46,6 +47,8 @@ from .sources.store import (
     save_csv,
     save_log,
     truncate_load,
+    tuple_cuts,
+    tuple_predicates,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

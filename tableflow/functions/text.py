@@ -31,6 +31,32 @@ def replaced(col: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda text, rule: F.replace(text, F.lit(rule[0]), F.lit(rule[1])), rules, col)
 
 
+def code_tokens(col: Column, whole: Sequence[str] = ()) -> Column:
+    """The text cut into quoted parts, comments and code, in order; joined again they are the text.
+
+    A part left open reaches to the end. ``whole`` names texts that are tokens of their own
+    wherever code holds them, quotes included. No alternative backtracks, so long parts need no stack.
+    """
+    named = "".join(java_quoted(text) + "|" for text in sorted(whole, key=len, reverse=True))
+    quoted = r"""'[^']*+(?:'|\z)|"[^"]*+(?:"|\z)"""
+    comment = r"--[^\n]*+|/\*(?s:.*?)(?:\*/|\z)"
+    code = rf"""(?:(?!{named}--|/\*)[^'"])++"""
+    return F.regexp_extract_all(col, F.lit(f"{named}{quoted}|{comment}|{code}"), F.lit(0))
+
+
+def replaced_in_code(col: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """Literal replacements in code alone; a ``--`` comment without a space after its mark gets one."""
+    whole = {old: new for old, new in rules if re.search("""['"]""", old)}
+    plain = [(old, new) for old, new in rules if old not in whole and "--" not in old]
+
+    def one(token: Column) -> Column:
+        named = reduce(lambda c, rule: c.when(token == rule[0], F.lit(rule[1])), whole.items(),
+                       F.when(F.startswith(token, F.lit("--")), F.regexp_replace(token, r"\A--(?=[^ \t])", "-- ")))
+        return named.when(token.rlike(r"""\A(?:'|"|/\*)"""), token).otherwise(replaced(token, plain))
+
+    return F.array_join(F.transform(code_tokens(col, list(whole)), one), "")
+
+
 def normalised(col: Column, rules: Sequence[tuple[str, str]] = TRIGGER_RULES) -> Column:
     """Upper case, then the replacements."""
     return replaced(F.upper(col), rules)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions import types as rules
 from ..joins import divisible_join
@@ -100,6 +101,36 @@ def fit_row_width(catalogue: DataFrame, widths: DataFrame, limit: int = ROW_WIDT
             .drop("_wide", "_width"))
 
 
+def fit_row_width_least(catalogue: DataFrame, widths: DataFrame, limit: int = ROW_WIDTH_LIMIT) -> DataFrame:
+    """Narrow as few text columns as bring a table's declared row within ``limit``.
+
+    Those that save most go first, equal ones in order of ``column_id``. Adds ``fitted_length``, ``narrowed``
+    and ``fits``, which is false where all savings together do not suffice (every one is then made). A column
+    without a width counts as empty; a width above the declared length saves nothing and is left alone. Only
+    tables that are too wide are sorted, each by itself: a table's columns are few.
+    """
+    declared = F.coalesce("char_length", F.lit(0)).cast("bigint")
+    sums = (catalogue.groupBy("table_name").agg(F.sum(declared).alias("_row")).where(F.col("_row") > limit)
+            .select(F.col("table_name").alias("_table"), "_row"))
+    marked = divisible_join(catalogue, sums, [catalogue["table_name"]], [sums["_table"]], "left")
+    found = widths.select("table_name", "column_name", F.col("width").cast("int").alias("_width"))
+    text = F.col("data_type").isin(*rules.VARIABLE_TEXT)
+    wide = (marked.where("_row IS NOT NULL").join(found, ["table_name", "column_name"], "left")
+            .withColumn("_width", F.coalesce("_width", F.lit(EMPTY_WIDTH)))
+            .withColumn("_saved", F.when(text, F.greatest(declared - F.col("_width"), F.lit(0))).otherwise(0)))
+    table = Window.partitionBy("table_name")
+    before = (table.orderBy(F.desc("_saved"), "column_id", "column_name")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    wide = wide.withColumns({"_before": F.sum("_saved").over(before) - F.col("_saved"), "_all": F.sum("_saved").over(table)})
+    narrowed = (F.col("_saved") > 0) & (F.col("_row") - F.col("_before") > limit)
+    done = wide.withColumns({"narrowed": narrowed, "fits": F.col("_row") - F.col("_all") <= limit,
+                             "fitted_length": F.when(narrowed, F.col("_width")).otherwise(F.col("char_length"))})
+    rest = marked.where("_row IS NULL").withColumns(
+        {"narrowed": F.lit(False), "fits": F.lit(True), "fitted_length": F.col("char_length")})
+    out = [*catalogue.columns, "fitted_length", "narrowed", "fits"]
+    return rest.select(*out).unionByName(done.select(*out))
+
+
 @dataclass(frozen=True)
 class ColumnRule:
     """What one target column accepts."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import between, normalised
 from ..joins import divisible_join
 from ..sources.names import restrict_to_list
+from .paging import number_rows
 
 # Index type left out, and the trigger type that fills an identity column.
 FUNCTION_INDEX = "FUNCTION-BASED NORMAL"
@@ -35,6 +36,30 @@ def ordered_list(df: DataFrame, group: Sequence[str], value: str, position: Sequ
     return parts.groupBy(*group).agg(whole.alias(name))
 
 
+def ordered_parts(df: DataFrame, group: Sequence[str], value: str, position: Sequence[str], part_rows: int = 100_000,
+                  sep: str = ",", name: str = "value_list") -> DataFrame:
+    """``ordered_list`` in parts: each group's columns, ``part`` (from 0), ``row_count`` and the part's text.
+
+    Every part but a group's last joins ``part_rows`` values, so a group of any size is never in one task:
+    rows are numbered by group and position over buckets cut at keys of the data, and a part is a range of
+    those numbers. Joined by ``sep`` in order, the parts are the list. Equal positions are ordered by value;
+    null values are left out, null groups are groups; no rows give none. Reads ``df`` several times.
+    """
+    names = {c: f"g{i}" for i, c in enumerate(group)} | {c: f"p{i}" for i, c in enumerate(position)}
+    keys = [names[c] for c in group]
+    values = df.where(F.col(f"`{value}`").isNotNull()).select(
+        *[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.col(f"`{value}`").alias("v"))
+    numbered = number_rows(values, [*keys, *[names[c] for c in position], "v"], name="n")
+    # A null group has to meet its start: each key goes with whether it is null.
+    packed = [c for k in keys for c in (F.col(k).isNull().alias(f"{k}_null"), F.col(k))]
+    starts = numbered.groupBy(*keys).agg(F.min("n").alias("first")).select(F.struct(*packed).alias("k"), "first")
+    placed = numbered.withColumn("k", F.struct(*packed)).join(starts, "k")
+    part = F.floor((F.col("n") - F.col("first")) / F.lit(part_rows)).cast("bigint")
+    text = F.expr(f"listagg(CAST(v AS STRING), {_quoted(sep)}) WITHIN GROUP (ORDER BY n)")
+    return (placed.groupBy("k", *keys, part.alias("part")).agg(F.count("*").alias("row_count"), text.alias(name))
+            .select(*[F.col(names[c]).alias(c) for c in group], "part", "row_count", name))
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -16,6 +16,15 @@ def rewrite_text(df: DataFrame, col: str, rules: Sequence[tuple[str, str]] = t.V
     return df.withColumn(col, t.replaced(F.col(col), rules))
 
 
+def rewrite_code(df: DataFrame, col: str, rules: Sequence[tuple[str, str]] = t.VIEW_RULES) -> DataFrame:
+    """Literal replacements that leave quoted texts and comments as they are.
+
+    A rule with a quote in it applies where code holds its whole text. Rules on ``--`` give way to the
+    reading of comments: one whose mark no space follows gets it. Null stays null, empty stays empty.
+    """
+    return df.withColumn(col, t.replaced_in_code(F.col(col), rules))
+
+
 def normalise_text(df: DataFrame, col: str, rules: Sequence[tuple[str, str]] = t.TRIGGER_RULES) -> DataFrame:
     """Upper case, fixed replacements, line feeds removed."""
     return df.withColumn(col, t.normalised(F.col(col), rules))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,6 +127,52 @@ def range_predicates(key: str, cuts: Sequence[object]) -> list[str]:
     return [first, *middle, f"{key} >= {rendered[-1]}"]
 
 
+def tuple_cuts(df: DataFrame, keys: Sequence[str], parts: int, sample: int = 200) -> list[tuple[str | None, ...]]:
+    """Keys of any comparable types, as SQL literals, that cut the rows into about ``parts`` equal ranges.
+
+    They come from a sample of ``sample`` rows a range, the smallest of random numbers, which tasks
+    find and merge without an exchange of the table. Nulls come first. No rows give no cuts.
+    """
+    def literal(name: str) -> Column:
+        kind, text = df.schema[name].dataType, F.col(f"`{name}`").cast("string")
+        if isinstance(kind, T.NumericType):
+            return text
+        quoted = F.concat(F.lit("'"), F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''")), F.lit("'"))
+        return F.concat(F.lit("DATE " if isinstance(kind, T.DateType) else "TIMESTAMP "), quoted) if isinstance(
+            kind, T.DatetimeType) else quoted
+
+    drawn = df.select(*[F.col(f"`{k}`") for k in keys]).orderBy(F.rand(17)).limit(sample * parts)
+    ordered = [tuple(r) for r in drawn.orderBy(*[F.col(f"`{k}`") for k in keys]).select(*[literal(k) for k in keys]).collect()]
+    return list(dict.fromkeys(ordered[len(ordered) * i // parts] for i in range(1, parts))) if ordered else []
+
+
+def tuple_predicates(keys: Sequence[str], cuts: Sequence[tuple[str | None, ...]]) -> list[str]:
+    """Disjoint predicates on several keys in lexicographic order that together cover every row, nulls first.
+
+    ``cuts`` are ascending tuples of SQL literals, ``None`` for null; each predicate is true or false, never null.
+    """
+    def below(cut: tuple[str | None, ...], names: Sequence[str]) -> str:
+        if not names:
+            return "1 = 0"
+        key, rest = names[0], below(cut[1:], names[1:])
+        if cut[0] is None:
+            return f"({key} IS NULL AND {rest})"
+        return f"({key} IS NULL OR {key} < {cut[0]} OR ({key} = {cut[0]} AND {rest}))"
+
+    def from_cut(cut: tuple[str | None, ...], names: Sequence[str]) -> str:
+        if not names:
+            return "1 = 1"
+        key, rest = names[0], from_cut(cut[1:], names[1:])
+        if cut[0] is None:
+            return f"({key} IS NOT NULL OR {rest})"
+        return f"({key} IS NOT NULL AND ({key} > {cut[0]} OR ({key} = {cut[0]} AND {rest})))"
+
+    if not cuts:
+        return ["1 = 1"]
+    middle = [f"{from_cut(low, keys)} AND {below(high, keys)}" for low, high in zip(cuts, cuts[1:])]
+    return [below(cuts[0], keys), *middle, from_cut(cuts[-1], keys)]
+
+
 def read_ranges(spark: SparkSession, store: Store, name: str, key: str, parts: int,
                 balanced: bool = False, types: Mapping[str, str] | None = None) -> DataFrame:
     """Read a table as disjoint key ranges in parallel.
