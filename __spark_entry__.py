@@ -212,6 +212,13 @@ def text_widths(spark, sf):
         tf.text_widths(df).select(F.lit(name).alias("table_name"), "*") for name, df in _all(spark, sf).items()])
 
 
+def profile_merged(spark, sf):
+    """Profiles of the documents by source: those of some sources are kept, those of the others come later."""
+    docs = _t(spark, sf, "documents")
+    first = tf.materialise(tf.profile_parts(docs.where("source < 'src5'"), "source"), "profile")
+    return tf.merged_profile(tf.profile_again(docs, "source", first)).drop("distinct_estimate", "quartiles")
+
+
 def number_widths(spark, sf):
     every = [tf.number_widths(df).select(
         F.lit(name).alias("table_name"), "column_name", "avg_length", F.col("min_value").cast("double").alias("min_value"),
@@ -642,7 +649,7 @@ def valid_only(spark, sf):
 _QUERIES = (
     scan_counts, range_scan, range_scan_text, name_list, restrict_to_list, load_append, load_truncate, save_csv, save_log, read_types,
     column_catalogue, measured_catalogue, map_types, map_notes, map_types_measured, map_types_compat, clean_defaults,
-    clean_defaults_compat, fit_row_width, fit_row_width_least, text_widths, number_widths,
+    clean_defaults_compat, fit_row_width, fit_row_width_least, text_widths, number_widths, profile_merged,
     conform_rows, reject_rows, conform_fractions, common_columns, load_common_columns, page_plan, page_rows,
     page_rows_copies, page_slice, page_numbers, page_counts_compat, transfer_log, transfer_resumed, transfer_status, transfer_report, copy_log,
     task_elapsed, zoned_elapsed, run_full, run_failing, run_decimals, run_metadata, run_views, run_listed, run_data, ordered_list, ordered_parts, key_columns,

@@ -289,6 +289,12 @@ ORACLES = {
         FROM (SELECT *, row_width > 9000 AND saved > 0 AND row_width - before > 9000 AS narrowed FROM r)""",
     "text_widths": _widths(),
     "number_widths": _numbers(),
+    "profile_merged": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+          {f'min({c})' if number else 'NULL'}::DOUBLE AS min_number, {f'max({c})' if number else 'NULL'}::DOUBLE AS max_number,
+          {'NULL' if number else f'min({c})'}::VARCHAR AS min_text, {'NULL' if number else f'max({c})'}::VARCHAR AS max_text,
+          {'NULL' if number else f'max(length({c}))'}::INT AS max_length FROM documents"""
+        for c, number in (("doc_id", True), ("text", False), ("lang", False), ("n_chars", True))),
     "conform_rows": f"""SELECT event_id, strftime(date_trunc('second', ts + INTERVAL 500 MILLISECONDS),
           '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, try_cast(value AS DECIMAL(4, 2))::DOUBLE AS value, props
         FROM events WHERE {_REASON} IS NULL""",

@@ -25,6 +25,7 @@ from .operators.mapping import (
 )
 from .operators.paging import number_rows, page_bounds, page_slice, with_pages
 from .operators.profile import number_widths, text_widths
+from .operators.profilestate import merged_profile, profile_again, profile_parts
 from .operators.references import foreign_keys, identity_columns, identity_count, key_columns, ordered_list, ordered_parts
 from .operators.report import count_by_kind, elapsed, object_status, run_summary, transfer_report, transfer_status
 from .operators.resume import transfer_resumed
