@@ -52,21 +52,40 @@ def number_widths(df: DataFrame, columns: Sequence[str] | None = None, digits: i
     places = max([k.scale if isinstance(k, T.DecimalType) else 0 if isinstance(k, T.IntegralType) else digits
                   for k in kinds], default=0)
 
-    def fields(c: str) -> dict[str, Column]:
-        value, kind = F.col(f"`{c}`"), df.schema[c].dataType
-        exact, inexact = value, F.lit(0).cast("bigint")
-        if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
-            near = value.try_cast(f"decimal(38,{digits})")
-            exact = F.when(near.cast(kind) == value, near)
-            inexact = F.count_if(value.isNotNull() & exact.isNull())
-        shown = F.rtrim(F.split_part(exact.cast("string"), F.lit("."), F.lit(2)), F.lit("0"))
-        scale = F.lit(0) if isinstance(kind, T.IntegralType) else F.coalesce(F.max(F.length(shown)), F.lit(0))
-        return {
-            "avg_length": F.round(F.avg(F.octet_length(value.cast("string"))), 4),
-            "min_value": F.min(exact).try_cast(f"decimal(38,{places})"),
-            "max_value": F.max(exact).try_cast(f"decimal(38,{places})"),
+    # Texts and places are found once for each value, in a projection that the aggregates share.
+    shown, per_column = [], {}
+    for i, (c, kind) in enumerate(zip(names, kinds, strict=True)):
+        value, text = F.col(f"`{c}`"), F.col(f"`{c}`").cast("string")
+        shown += [value.alias(f"v{i}"), F.octet_length(text).alias(f"n{i}")]
+        if isinstance(kind, T.IntegralType):
+            exact, scale, inexact = F.col(f"v{i}"), F.lit(0), F.lit(0).cast("bigint")
+        else:
+            shown.append(_places(value, kind, text, digits).alias(f"p{i}"))
+            exact, scale = F.when(F.col(f"p{i}").isNotNull(), F.col(f"v{i}")), F.coalesce(F.max(f"p{i}"), F.lit(0))
+            inexact = F.count_if(F.col(f"v{i}").isNotNull() & F.col(f"p{i}").isNull())
+        ends = kind if isinstance(kind, (T.IntegralType, T.DecimalType)) else T.DecimalType(38, digits)
+        per_column[c] = {
+            "avg_length": F.round(F.avg(f"n{i}"), 4),
+            "min_value": F.min(exact).try_cast(ends).try_cast(f"decimal(38,{places})"),
+            "max_value": F.max(exact).try_cast(ends).try_cast(f"decimal(38,{places})"),
             "max_scale": scale,
             "inexact": inexact,
         }
+    return one_row_per_column(df.select(*shown), per_column)
 
-    return one_row_per_column(df, {c: fields(c) for c in names})
+
+def _places(value: Column, kind: T.DataType, text: Column, digits: int) -> Column:
+    """Places behind the point of each value as a decimal, null for one that is no decimal with ``digits`` places."""
+    def behind(shown: Column) -> Column:
+        return F.length(F.rtrim(F.split_part(shown, F.lit("."), F.lit(2)), F.lit("0")))
+
+    if isinstance(kind, T.DecimalType):
+        return F.when(F.abs(value) >= 0, behind(text) if kind.scale else F.lit(0))
+    near = value.try_cast(f"decimal(38,{digits})")
+    slow = F.when(near.cast(kind) == value, behind(near.cast("string")))
+    if not isinstance(kind, T.DoubleType):
+        return slow
+    # A double's own text, if it has no exponent and few places, is that decimal: nearly all end here.
+    tail = F.length(text) - F.instr(text, ".")
+    plain = (F.instr(text, "E") == 0) & (F.instr(text, ".") > 0) & (tail <= digits)
+    return F.when(plain, F.when(text.endswith(".0"), 0).otherwise(tail)).otherwise(slow)
