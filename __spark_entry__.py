@@ -345,7 +345,7 @@ def transfer_status(spark, sf):
 
 def transfer_report(spark, sf):
     missing = spark.createDataFrame([("absent",)], "table_name string")
-    return tf.transfer_report(_logs(spark, sf), missing)
+    return tf.transfer_report(tf.materialise(_logs(spark, sf), "log"), missing, numbered=True)
 
 
 def copy_log(spark, sf):

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from .compare import NO_TABLE
+from .paging import number_rows
 
 # Texts of the table report.
 INSERT_FAIL = "TABLE INSERT FAIL"
@@ -41,7 +41,7 @@ def _epoch(df: DataFrame, name: str) -> Column:
 
 
 def transfer_report(log: DataFrame, missing: DataFrame | None = None, numbered: bool = True) -> DataFrame:
-    """One row per table: counts and what became of it, numbered in order of the detail.
+    """One row per table: counts and what became of it, and ``id`` in order of the detail if ``numbered``.
 
     ``log`` holds ``table_name, source_table_rows, target_table_rows, type, detail``;
     ``missing`` the ``table_name`` of tables that could not be created.
@@ -59,9 +59,7 @@ def transfer_report(log: DataFrame, missing: DataFrame | None = None, numbered:
     short = F.when(F.col("source_table_rows") != F.col("target_table_rows"), INSERT_FAIL).otherwise("")
     told = F.concat(short, F.col("_detail"))
     report = tables.withColumn("run_detail", F.when(told == "", SUCCESS).otherwise(told)).drop("_detail")
-    # A row for each table of a run: numbering them is no work for many tasks.
-    order = Window.orderBy("run_detail", "table_name")
-    return report.withColumn("id", F.row_number().over(order).cast("bigint")) if numbered else report
+    return number_rows(report, ["run_detail", "table_name"], unique=True, name="id") if numbered else report
 
 
 def object_status(log: DataFrame) -> DataFrame:
