@@ -161,3 +161,15 @@ def test_measured_catalogue(spark):
 def test_exact_types(spark):
     mapped = tf.map_types(_catalogue(spark, [CASES[0], CASES[14], CASES[17], ("BLOB", 0, None, None, 9, None)]))
     assert exact_types(tf.column_rules(mapped, "T")) == {"C1": "decimal(5,2)", "C3": "binary"}
+
+
+def test_places_of_doubles_agree_with_decimals(spark):
+    values = [0.0, -0.0, 1e-7, 1.5e-9, 1e-11, 123456789.125, 1.25e7, 1e22, 1e30, float("nan"), float("inf"), 1 / 3, 2e-3,
+              1.0000000001, 1.00000000005, 100.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    near = F.col("x").try_cast("decimal(38,10)")
+    exact = F.when(near.cast("double") == F.col("x"), near)
+    places = F.length(F.rtrim(F.split_part(exact.cast("string"), F.lit("."), F.lit(2)), F.lit("0")))
+    plain = df.agg(F.min(exact), F.max(exact), F.max(places), F.count_if(F.col("x").isNotNull() & exact.isNull())).first()
+    found = tf.number_widths(df).select("min_value", "max_value", "max_scale", "inexact").first()
+    assert tuple(found) == tuple(plain)
