@@ -34,7 +34,6 @@ NO_CONTENT_WORDS = frozenset((
 MAX_DEPTH = 200  # deeper elements are read as part of the one at this depth
 LONGEST_GROUP = 8
 ENOUGH_PAGES = 3
-SAMPLE = 16  # distinct pages by which slots are compared with their host
 NEARLY_ALL = 0.9
 WHOLE = frozenset(("article", "main"))
 PAGE_LEVEL = frozenset(("html", "body"))
@@ -116,9 +115,9 @@ def _close(stack: list[Element], tags: tuple[str, ...]) -> None:
 # Items of an expression are lists, so that they turn into JSON and back as they are:
 #   ["e", signature, repeated, optional, pages, items]   an element
 #   ["g", key, repeated, optional, pages, items]          a group
-#   ["t", hash or None, repeated, optional, pages, characters, sample]   a text slot; the hash is that of a constant text
-# The sample of a constant text are the least ``SAMPLE`` ids of the distinct pages that have it.
-KIND, NAME, REPEATED, OPTIONAL, PAGES, INSIDE, PAGE_IDS = range(7)
+#   ["t", hash or None, repeated, optional, pages, characters]   a text slot; the hash is that of a constant text
+# The pages are the distinct ones that have it: copies of a page, and repeats on a page, count once.
+KIND, NAME, REPEATED, OPTIONAL, PAGES, INSIDE = range(6)
 
 
 def _key(item: list) -> str:
@@ -142,25 +141,19 @@ def page_id(kids: list) -> int:
                 digest.update(text + "\n")
 
     visit(kids)
-    return digest.intdigest()
+    return digest.intdigest() - (1 << 63)
 
 
-def least_ids(a: list[int], b: list[int]) -> list[int]:
-    """The sample of two samples together."""
-    return a if a == b else sorted({*a, *b})[:SAMPLE]
-
-
-def infer(kids: list, page: int | None = None) -> list:
-    """The expression of one page's items; ``page`` is the page's id."""
-    page = page_id(kids) if page is None else page
+def infer(kids: list) -> list:
+    """The expression of one page's items."""
     items = []
     for kid in kids:
         if isinstance(kid, str):
             text = kid.strip()
             if text:
-                items.append(["t", xxhash.xxh64_hexdigest(text), False, False, 1, len(text), [page]])
+                items.append(["t", xxhash.xxh64_hexdigest(text), False, False, 1, len(text)])
         else:
-            items.append(["e", kid.sig, False, False, 1, infer(kid.kids, page)])
+            items.append(["e", kid.sig, False, False, 1, infer(kid.kids)])
     return fold(items)
 
 
@@ -174,14 +167,13 @@ def fold(items: list) -> list:
         while k < len(items):
             part, n = items[k:k + size], k + size
             while len(part) == size and keys[n:n + size] == keys[k:k + size] and keys[k] != "#text" * (size == 1):
-                part = [_united(a, b) for a, b in zip(part, items[n:n + size], strict=True)]
+                part = [_united(a, b, True) for a, b in zip(part, items[n:n + size], strict=True)]
                 n += size
             if n == k + size or len(part) < size:
                 out.append(items[k])
                 k += 1
             elif size == 1:
                 part[0][REPEATED] = True
-                part[0][PAGES] = 1
                 out += part
                 k = n
             else:
@@ -191,13 +183,13 @@ def fold(items: list) -> list:
     return items
 
 
-def _united(a: list, b: list) -> list:
-    """Two items of one key as one, on the same or on different pages."""
-    both = [a[KIND], a[NAME], a[REPEATED] or b[REPEATED], a[OPTIONAL] or b[OPTIONAL], a[PAGES] + b[PAGES]]
+def _united(a: list, b: list, one_page: bool) -> list:
+    """Two items of one key as one, on one page and its copies or on different pages."""
+    pages = max(a[PAGES], b[PAGES]) if one_page else a[PAGES] + b[PAGES]
+    both = [a[KIND], a[NAME], a[REPEATED] or b[REPEATED], a[OPTIONAL] or b[OPTIONAL], pages]
     if a[KIND] == "t":
-        same = a[NAME] is not None and a[NAME] == b[NAME]
-        return [*both[:1], a[NAME] if same else None, *both[2:], a[INSIDE] + b[INSIDE], least_ids(a[PAGE_IDS], b[PAGE_IDS]) if same else []]
-    return [*both, merge(a[INSIDE], b[INSIDE])]
+        return [a[KIND], a[NAME] if a[NAME] == b[NAME] else None, *both[2:], a[INSIDE] + b[INSIDE]]
+    return [*both, merge(a[INSIDE], b[INSIDE], one_page)]
 
 
 def _grouped(items: list, others: list) -> list:
@@ -211,17 +203,17 @@ def _grouped(items: list, others: list) -> list:
     return items
 
 
-def merge(a: list, b: list) -> list:
-    """The expression that covers two."""
+def merge(a: list, b: list, one_page: bool = False) -> list:
+    """The expression that covers two: those of copies of ``one_page``, or of pages of which none is in both."""
     if len(a) == len(b) and all(map(_alike, a, b)):
-        return list(map(_united, a, b))
+        return [_united(p, q, one_page) for p, q in zip(a, b, strict=True)]
     a, b = _grouped(a, b), _grouped(b, a)
     out = []
     optional = lambda items: [[*x[:OPTIONAL], True, *x[OPTIONAL + 1:]] for x in items]
     i = j = 0
     for x, y, n in SequenceMatcher(None, [_key(x) for x in a], [_key(x) for x in b], autojunk=False).get_matching_blocks():
         out += optional(a[i:x]) + optional(b[j:y])
-        out += [_united(p, q) for p, q in zip(a[x:x + n], b[y:y + n], strict=True)]
+        out += [_united(p, q, one_page) for p, q in zip(a[x:x + n], b[y:y + n], strict=True)]
         i, j = x + n, y + n
     return out
 
@@ -232,21 +224,18 @@ def _is_content(sig: str) -> bool:
     return tag not in NO_CONTENT and not (words & NO_CONTENT_WORDS and tag not in ("html", "body", "article", "main"))
 
 
-def rules(items: list, sample: list[int]) -> list:
+def rules(items: list, pages: int) -> list:
     """The expression with the verdict on each text: items become [signature or None, keep, items].
 
-    ``sample`` are the least ids of the host's distinct pages. Texts under an element that holds no
+    ``pages`` is the number of the host's distinct pages. Texts under an element that holds no
     content by its name are out. Of the rest, a text that is the same on nearly all distinct pages
     of a host is constant; such texts and links alone do not make an element a carrier of content.
     Containers are entered, and each carrier in them followed, so that pages of any shape keep
     theirs. An article or main element, or a container with carriers that cannot be entered, stays
     whole, what is constant in it too. Headings, and what lies at the level of the page, stay alone.
     """
-    known = set(sample)
-
     def constant(item: list) -> bool:
-        return (len(known) >= ENOUGH_PAGES and item[NAME] is not None and not item[REPEATED]
-                and len(known.intersection(item[PAGE_IDS])) >= NEARLY_ALL * len(known))
+        return pages >= ENOUGH_PAGES and item[NAME] is not None and not item[REPEATED] and item[PAGES] >= NEARLY_ALL * pages
 
     def mass(item: list, varying: bool = True) -> int:
         if item[KIND] == "t":

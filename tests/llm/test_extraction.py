@@ -103,3 +103,29 @@ def test_copies_stay_whole(spark):
     others = [(prose(rng, 5), prose(rng, 40)) for _ in range(30)]
     pages = [(f"<body><div class=post><h1>{a}</h1><p>{b}</p></div></body>", True) for a, b in others] + [(quoted, True)] * 3
     assert texts_of(spark, pages) == [f"{a}\n{b}" for a, b in others] + ["\n".join([title, *parts[:2]])] * 3
+
+
+def test_texts_are_counted_on_all_distinct_pages(spark):
+    rng = random.Random(8)
+    note = "<div>Written by our readers.</div>"
+    frame = "<body>{}<div class=post><h1>{}</h1><p>{}</p></div></body>"
+    made = []
+    for _ in range(60):
+        title, text = prose(rng, 5), prose(rng, 40)
+        with_note = frame.format(note, title, text)
+        made.append((wrapper.page_id(wrapper.parse(with_note)), with_note, frame.format("", title, text), f"{title}\n{text}"))
+    made.sort()
+    # On the pages of the least ids only, so that no few of them may speak for the host.
+    pages = [(with_note if n < 30 else plain, True) for n, (_, with_note, plain, _) in enumerate(made)]
+    assert texts_of(spark, pages) == [("Written by our readers.\n" if n < 30 else "") + text for n, (*_, text) in enumerate(made)]
+    # On nearly all distinct pages, whatever copies there are of those without it.
+    pages = [(with_note if n < 55 else plain, True) for n, (_, with_note, plain, _) in enumerate(made)]
+    assert texts_of(spark, pages + pages[-1:] * 60) == [text for *_, text in made] + [made[-1][3]] * 60
+
+
+def test_pages_of_a_host_are_counted_once(spark):
+    rng = random.Random(9)
+    rows = [("a", f"<body><nav>{k}</nav><p>{prose(rng, 9)}</p></body>") for k in range(25)]
+    copies = [("a", html.replace("<nav>", "<nav>again ")) for _, html in rows for _ in range(3)]
+    df = spark.createDataFrame(rows + copies + rows[:7] + [("b", "")] * 5, "host string, html string").repartition(6)
+    assert {r.host: r.pages for r in extraction.wrappers(df).collect()} == {"a": 25, "b": 1}
