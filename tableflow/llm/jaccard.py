@@ -281,8 +281,25 @@ def _surviving(members: DataFrame, sets: DataFrame, percent: int, tile: int = TI
     return spread.repartition("cell", "block", "tile").sortWithinPartitions("cell", "block", "tile").mapInPandas(walk, "a long, b long").distinct()
 
 
-def links(sketches: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``node`` and ``root`` of each set that is similar to another: the component it belongs to."""
+def _proposed(sketches: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b): the set of each class's document and the other sets of the class, from (doc_id, component_id)."""
+    rows = sketches.where("node IS NOT NULL").select("doc_id", "node")
+    members = classes.where("doc_id <> component_id").join(rows, "doc_id").select("component_id", F.col("node").alias("b")).distinct()
+    heads = rows.select(F.col("doc_id").alias("of"), F.col("node").alias("a"))
+    return members.join(heads, members.component_id == heads.of).where("a <> b").select("a", "b").distinct()
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) that are not of one component yet."""
+    known = pairs.join(roots.toDF("n", "one"), pairs.a == F.col("n"), "left").join(roots.toDF("m", "other"), pairs.b == F.col("m"), "left")
+    return known.where(F.coalesce("one", "a") != F.coalesce("other", "b")).select("a", "b")
+
+
+def links(sketches: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, proposed: DataFrame | None = None) -> DataFrame:
+    """``node`` and ``root`` of each set that is similar to another: the component it belongs to.
+
+    ``proposed`` pairs (a, b) are verified first; what they connect is not compared again.
+    """
     members = _shared_cells(sketches)
     wanted = members.select(F.col("node").alias("at")).distinct()
     first = sketches.where("entries IS NOT NULL").groupBy("node").agg(F.min("text_key").alias("first"))
@@ -291,7 +308,12 @@ def links(sketches: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent
     sets = materialise(_sets(chosen, shingle), "sets")
 
     pairs = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    if proposed is not None:  # a similar pair shares a cell, so its sets are among these
+        settled = materialise(_verified(materialise(proposed, "pairs"), sets, percent), "links")
+        pairs = _apart(pairs, materialise(components(settled), "roots"))
     found = materialise(_verified(materialise(pairs, "pairs"), sets, percent), "links")
+    if proposed is not None:
+        found = found.unionByName(settled)
     roots = materialise(components(found), "roots")
     labelled = members.join(roots.toDF("n", "root"), members.node == F.col("n"), "left").select(
         "cell", "level", "node", F.coalesce("root", "node").alias("label"))
@@ -303,10 +325,12 @@ def links(sketches: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent
     return components(found.unionByName(_verified(pairs, sets, percent)))
 
 
-def near_sets(texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, load: float = LOAD) -> DataFrame:
+def near_sets(texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, load: float = LOAD,
+              classes: DataFrame | None = None) -> DataFrame:
     """doc_id, size and root of each row of (doc_id, text): rows of one root are copies or linked.
 
-    The root of a text without words is null.
+    The root of a text without words is null. ``classes`` (doc_id, component_id; the ids then are unique)
+    are near copies by another method: each text is first compared with that of its class's document.
     """
     prepare(texts.sparkSession)
     texts = texts.withColumn("text_key", F.xxhash64("text"))
@@ -315,7 +339,8 @@ def near_sets(texts: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     while sketches.select(F.inline("entries")).where("slack < 0").take(1):
         load /= 2
         sketches = materialise(_sketches(texts, shingle, percent, load), "sketches")
-    roots = materialise(links(sketches, texts.select("text_key", "text"), shingle, percent), "roots")
+    proposed = None if classes is None else _proposed(sketches, classes)
+    roots = materialise(links(sketches, texts.select("text_key", "text"), shingle, percent, proposed), "roots")
     rows = sketches.select("doc_id", "size", "node")
     return divisible_join(rows, roots.toDF("n", "root"), [rows.node], [F.col("n")], "left").select(
         "doc_id", "size", F.coalesce("root", "node").alias("root"))

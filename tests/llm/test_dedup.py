@@ -9,7 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tableflow.llm import linededup, shingles, simhash
+from tableflow.llm import jaccard, linededup, shingles, simhash
 from tableflow.llm.components import components
 
 # ---- SimHash -------------------------------------------------------------------------
@@ -155,6 +155,37 @@ def test_pipeline_drops_copies_of_more_than_four_bits(spark):
     assert [r.doc_id for r in corpus_pipeline.dedup_documents(spark, docs, "").collect()] == [0]
 
 
+def simhash_families(rng):
+    """A text with near copies within four bits, and two texts of one fingerprint that are unlike."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    words = [word() for _ in range(2_000)]
+    near = [" ".join(words)] + [" ".join([*words[:k], word(), *words[k + 1:]]) for k in range(0, 2_000, 97)]
+    first = simhash.fingerprint(near[0])
+    near = [t for t in near if bin(first ^ simhash.fingerprint(t)).count("1") <= 4]
+    unlike = ["a " * 400 + " ".join(word() for _ in range(20)) for _ in range(2)]
+    assert len(near) > 10 and bin(simhash.fingerprint(unlike[0]) ^ simhash.fingerprint(unlike[1])).count("1") <= 4
+    return near, unlike
+
+
+def test_simhash_alone_settles_what_is_within_its_bits(spark, monkeypatch):
+    near, unlike = simhash_families(random.Random(10))
+    docs = spark.createDataFrame(list(enumerate(near + unlike)), "doc_id long, text string").coalesce(1)
+    shared = jaccard._shared_cells
+    monkeypatch.setattr(jaccard, "_shared_cells", lambda s: shared(s).withColumn("centre", jaccard.F.col("node")))
+    monkeypatch.setattr(jaccard, "_surviving", lambda members, *a: members.selectExpr("node AS a", "node AS b").limit(0))
+    assert {r.doc_id for r in corpus_pipeline.dedup_documents(spark, docs, "").collect()} == {0, len(near), len(near) + 1}
+
+
+def test_simhash_leaves_less_to_the_join(spark, monkeypatch):
+    near, unlike = simhash_families(random.Random(11))
+    docs = spark.createDataFrame(list(enumerate(near + unlike)), "doc_id long, text string").coalesce(1)
+    compared = []
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a: compared.append(pairs.count()) or verified(pairs, *a))
+    assert shingles.one_of_each(docs).count() == 3
+    assert compared == [len(near), 0, 0]  # each with the first of its component, the unlike ones too; then none
+
+
 # ---- lines ---------------------------------------------------------------------------
 
 
