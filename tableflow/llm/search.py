@@ -1,11 +1,13 @@
 """Exact top-k search by BM25 over inverted indexes with block maxima, a shard at a time.
 
-A shard is some thousand documents of one input partition with their own inverted index. Its
-documents are divided into blocks, and each list keeps the largest weight it has in each block.
-A query moves its lists from block to block together. First come the blocks whose maxima add up
-to most; once k documents are known, a block whose maxima do not reach the k-th score is passed
-over with all its postings. Scores use the number and lengths of all documents and the global
-document frequencies, so the best of each shard merge into the exact answer.
+A shard is some thousand documents of one input partition, ordered by length, with their own inverted
+index. Its documents are divided into blocks, and each long list keeps the largest weight it has in
+each block. A query adds up its short lists; blocks whose sums and maxima do not reach the score to
+beat are passed over with all their postings in long lists. In the other blocks long lists add up as
+levels, shares rounded up to 16 bits in all, which bound each document's score: only what may be among
+the best is scored whole. A task holds the queries, and shards pass by; the score to beat rises from
+one to the next. Scores use the number and lengths of all documents and the global document
+frequencies, so the best of each task merge into the exact answer.
 
 A word's share of a score is rounded to a millionth, and scores are sums of whole millionths:
 they do not depend on the order of adding, and equal texts tie exactly. Words are known by
@@ -39,7 +41,15 @@ UNIT = 1_000_000
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 512
 QUERY_ROWS = 4_096
-FIRST_BLOCKS = 1
+HELD_ROWS = 8 * QUERY_ROWS  # queries that a task holds
+TASK_SHARDS = 16
+TASKS = 3  # for each core, where there are as many shards
+LONG_SHARE = 16  # a list is long from one document in so many on
+LONG_SPACE = 8  # all long lists have so many levels for each posting of the shard at most
+LONG_LISTS = 1 << 15
+SLICE = 256  # shorter lists are picked together
+CLASSES = 128
+TERMS = 16_384
 
 _INDEX = ("shard long, ids binary, no_id binary, n_docs long, n_words long, terms array<long>, dfs array<long>, lengths binary,"
           " docs binary, tfs binary")
@@ -76,10 +86,19 @@ def postings(texts: list[str], first: int = 0) -> tuple[np.ndarray, np.ndarray,
     return names[pairs // len(texts)], (pairs % len(texts) + first).astype(np.int32), tfs.astype(np.int32), lengths
 
 
-def index_rows(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> dict:
-    """The inverted index of the documents in ``parts``; lists are in the order of the words' hashes."""
+def index_rows(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], places: np.ndarray | None = None) -> dict:
+    """The inverted index of the documents in ``parts``; lists are in the order of the words' hashes.
+
+    ``places`` holds the documents in their order in the index, if it is another one.
+    """
     terms, docs, tfs, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(terms, kind="stable")  # documents ascend in each part and from part to part
+    if places is not None:
+        place = np.empty(len(places), place_type(len(places)))
+        place[places] = np.arange(len(places))
+        docs, lengths = place[docs], lengths[places]
+        order = np.argsort(docs, kind="stable")
+        terms, docs, tfs = terms[order], docs[order], tfs[order]
+    order = np.argsort(terms, kind="stable")  # documents ascend
     names, dfs = np.unique(terms[order], return_counts=True)
     return {"n_docs": len(lengths), "n_words": int(lengths.sum()), "terms": names, "dfs": dfs, "lengths": lengths.astype("<i8").tobytes(),
             "docs": docs[order].astype(place_type(len(lengths))).tobytes(), "tfs": zlib.compress(tfs[order].astype("<i4"), 1)}
@@ -91,9 +110,10 @@ def build(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         ids, parts, shard = [], [], TaskContext.get().partitionId() << 32
 
         def row() -> pd.DataFrame:
-            known = np.array([0 if i is None else i for i in ids], "<i8")
-            return pd.DataFrame([{"shard": shard, "ids": known.tobytes(), "no_id": np.array([i is None for i in ids]).tobytes()}
-                                 | index_rows(parts)])
+            places = np.argsort(np.concatenate([lengths for *_, lengths in parts]), kind="stable")
+            known = np.array([0 if i is None else i for i in ids], "<i8")[places]
+            return pd.DataFrame([{"shard": shard, "ids": known.tobytes(), "no_id": np.array([i is None for i in ids])[places].tobytes()}
+                                 | index_rows(parts, places)])
 
         for batch in batches:
             for at in range(0, len(batch), shard_rows):
@@ -110,82 +130,196 @@ def build(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
 
 class Shard:
-    """An index in memory: postings' weights without the words' rarity, and their maxima by block."""
-
-    def __init__(self, row, mean_length: float):
-        self.ids, self.no_id = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.no_id, bool)
-        self.terms = np.asarray(row.terms, np.int64)
-        ends = np.cumsum(np.asarray(row.dfs, np.int64))
-        self.docs = np.frombuffer(row.docs, place_type(len(self.ids)))
-        length = K1 * (1 - B + B * np.frombuffer(row.lengths, "<i8") / mean_length)
-        self.weights = np.frombuffer(zlib.decompress(row.tfs), "<i4").astype(np.float64)
-        below = length[self.docs]
-        below += self.weights
-        self.weights *= K1 + 1
-        self.weights /= below
-        del below
-        # Each list's postings in each of its blocks: a start, and the largest weight.
-        place = np.repeat(np.arange(len(self.terms), dtype=np.int32), np.diff(ends, prepend=0))
-        blocks = self.docs // BLOCK_ROWS
-        changes = np.ones(len(place), bool)
-        changes[1:] = (place[1:] != place[:-1]) | (blocks[1:] != blocks[:-1])
-        new = np.flatnonzero(changes)
-        self.part_start, self.part_end = new, np.append(new[1:], len(self.docs))
-        self.part_block = blocks[new].astype(np.int64)
-        self.part_most = np.maximum.reduceat(self.weights, new) if len(new) else np.zeros(0)
-        self.first_part = np.searchsorted(place[new], np.arange(len(self.terms) + 1))
-        self.list_start = np.concatenate([[0], ends])
-
-    def _scores(self, terms: np.ndarray, rarity: np.ndarray, parts: np.ndarray, rare: np.ndarray, part_block: np.ndarray,
-                blocks: np.ndarray | None) -> np.ndarray:
-        """The score of each document of some blocks, or of all."""
-        if blocks is None:  # whole lists
-            starts, ends = self.list_start[terms].tolist(), self.list_start[terms + 1].tolist()
-            docs = np.concatenate([self.docs[a:z] for a, z in zip(starts, ends, strict=True)])
-            share = np.concatenate([self.weights[a:z] for a, z in zip(starts, ends, strict=True)])
-            share *= np.repeat(rarity, np.subtract(ends, starts))
+    """An index in memory: postings' weights without the words' rarity, their shares with it, and maxima by block.
+
+    It may be stored in several rows. Long lists are held a second time, as a row with a level for each
+    document: the share in whole steps, rounded up, so that a sum of levels bounds a sum of shares.
+    """
+
+    def __init__(self, rows, mean_length: float):
+        rows = rows if isinstance(rows, list) else [rows]
+        self.ids = np.concatenate([np.frombuffer(r.ids, "<i8") for r in rows])
+        self.no_id = np.concatenate([np.frombuffer(r.no_id, bool) for r in rows])
+        names = [np.asarray(r.terms, np.int64) for r in rows]
+        self.terms = np.unique(np.concatenate(names)) if len(rows) > 1 else names[0]
+        places = [np.searchsorted(self.terms, x) for x in names]
+        dfs = [np.asarray(r.dfs, np.int64) for r in rows]
+        counts = np.zeros(len(self.terms), np.int64)
+        for place, df in zip(places, dfs, strict=True):
+            counts[place] += df
+        self.list_start = np.concatenate([[0], np.cumsum(counts)])
+        size, free, first = len(self.ids), self.list_start[:-1].copy(), 0
+        self.docs = np.empty(self.list_start[-1], place_type(size))
+        self.weights = np.empty(len(self.docs))
+        for r, place, df in zip(rows, places, dfs, strict=True):
+            lengths = np.frombuffer(r.lengths, "<i8")
+            docs = np.frombuffer(r.docs, place_type(len(lengths)))
+            weights = np.frombuffer(zlib.decompress(r.tfs), "<i4").astype(np.float64)
+            below = (K1 * (1 - B + B * lengths / mean_length))[docs]
+            below += weights
+            weights *= K1 + 1
+            weights /= below
+            del below
+            at = ranges(free[place], df) if len(rows) > 1 else slice(None)
+            self.docs[at] = docs + self.docs.dtype.type(first)
+            self.weights[at] = weights
+            free[place] += df
+            first += len(lengths)
+        # A long list has a part for each of its blocks, with its largest weight; a short one is one part.
+        long = np.argsort(-counts, kind="stable")[:min(LONG_LISTS, LONG_SPACE * len(self.docs) // max(1, size))]
+        long = np.sort(long[counts[long] * LONG_SHARE >= size])
+        self.long = long
+        self.row_of = np.full(len(self.terms), -1, np.int32)
+        self.row_of[long] = np.arange(len(long))
+        # The postings of long lists a second time, by document.
+        at = ranges(self.list_start[long], counts[long])
+        order = np.argsort(self.docs[at], kind="stable")
+        self.by_doc, self.doc_rows = at[order].astype(np.int32), np.repeat(np.arange(len(long), dtype=np.uint16), counts[long])[order]
+        self.doc_size = np.bincount(self.docs[at], minlength=size)
+        self.doc_start = np.cumsum(self.doc_size) - self.doc_size
+        new = [self.list_start[:-1]]
+        for a, z in zip(self.list_start[long].tolist(), self.list_start[long + 1].tolist(), strict=True):
+            new.append(a + 1 + np.flatnonzero(np.diff(self.docs[a:z] // BLOCK_ROWS)))
+        self.part_start = np.sort(np.concatenate(new))
+        self.part_end = np.append(self.part_start[1:], len(self.docs))
+        self.part_block = (self.docs[self.part_start] // BLOCK_ROWS).astype(np.int64)
+        self.part_most = np.maximum.reduceat(self.weights, self.part_start) if len(self.part_start) else np.zeros(0)
+        self.first_part = np.searchsorted(self.part_start, self.list_start)
+        self.block_start = np.arange(0, size, BLOCK_ROWS)
+        self.rarity = np.zeros(len(self.terms))
+        self.shares = np.zeros(len(self.docs), np.int32)
+        self.doc_shares = np.zeros(len(self.by_doc), np.int32)
+        self.levels = np.zeros((len(long), size), np.uint16)
+        self.most = np.zeros((len(long), len(self.block_start)))
+        self.step, self.all_most = 1.0, np.zeros(len(self.block_start))
+        self.asked = np.zeros(len(long), bool)
+
+    def weigh(self, terms: np.ndarray, rarity: np.ndarray) -> None:
+        """Set the shares of words, by their place among ``terms``."""
+        self.rarity[terms] = rarity
+        for k in range(0, len(terms), TERMS):
+            some = terms[k:k + TERMS]
+            sizes = self.list_start[some + 1] - self.list_start[some]
+            at = ranges(self.list_start[some], sizes)
+            share = self.weights[at]
+            share *= np.repeat(rarity[k:k + TERMS], sizes)
+            share *= UNIT
+            self.shares[at] = np.rint(share, out=share)
+        lists = [slice(a, z) for a, z in zip(self.list_start[self.long].tolist(), self.list_start[self.long + 1].tolist(), strict=True)]
+        self.doc_shares = self.shares[self.by_doc]
+        every = np.zeros(len(self.ids))
+        for postings in lists:
+            every[self.docs[postings]] += self.shares[postings]
+        self.all_most = np.maximum.reduceat(every, self.block_start) if len(every) else every
+        self.step = max(1.0, every.max(initial=0) / (np.iinfo(np.uint16).max - len(lists)))  # no sum of levels passes 16 bits
+        for row, postings in enumerate(lists):
+            self.levels[row, self.docs[postings]] = np.ceil(self.shares[postings] / self.step)
+        parts = self.first_part[self.long + 1] - self.first_part[self.long]
+        at = ranges(self.first_part[self.long], parts)
+        self.most[np.repeat(np.arange(len(lists)), parts), self.part_block[at]] = np.rint(
+            self.part_most[at] * np.repeat(self.rarity[self.long], parts) * UNIT)
+
+    def _sums(self, terms: np.ndarray) -> np.ndarray:
+        """Each document's sum over whole lists."""
+        starts = self.list_start[terms]
+        sizes = self.list_start[terms + 1] - starts
+        few = sizes < SLICE
+        at = ranges(starts[few], sizes[few])
+        docs, shares = [self.docs[at]], [self.shares[at]]
+        for start, size in zip(starts[~few].tolist(), sizes[~few].tolist(), strict=True):
+            docs.append(self.docs[start:start + size])
+            shares.append(self.shares[start:start + size])
+        return np.bincount(np.concatenate(docs, dtype=np.intp), weights=np.concatenate(shares, dtype=np.float64), minlength=len(self.ids))
+
+    def _long_sums(self, docs: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The sums of some documents over long lists, from their own postings."""
+        sizes = self.doc_size[docs]
+        at = ranges(self.doc_start[docs], sizes)
+        self.asked[rows] = True
+        found = self.asked[self.doc_rows[at]]
+        self.asked[rows] = False
+        return np.bincount(np.repeat(np.arange(len(docs)), sizes)[found], weights=self.doc_shares[at[found]], minlength=len(docs))
+
+    def top(self, terms: np.ndarray, rarity: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """The best ``k`` documents (their places) and their scores, for words by their place among ``terms``.
+
+        Documents that score below ``least`` may be left out.
+        """
+        if (self.rarity[terms] != rarity).any():
+            self.weigh(terms, rarity)
+        rows = self.row_of[terms]
+        short, long, rows = terms[rows < 0], terms[rows >= 0], rows[rows >= 0]
+        sums = self._sums(short)
+        # Blocks whose maxima do not reach the score are passed over, with what the long lists have there.
+        reach = np.maximum.reduceat(sums, self.block_start) + np.minimum(self.most[rows].sum(axis=0), self.all_most)
+        alive = np.flatnonzero(reach >= max(least, 1))
+        if not len(alive):
+            return np.zeros(0, np.int64), np.zeros(0)
+        first, last = alive[0] * BLOCK_ROWS, (alive[-1] + 1) * BLOCK_ROWS
+        levels = np.zeros(len(sums[first:last]), np.uint16)
+        for row in rows.tolist():
+            levels += self.levels[row, first:last]
+        bound = levels * self.step
+        bound += sums[first:last]
+        docs = np.flatnonzero(bound >= max(least, 1) - 1)
+        if len(docs) > k:
+            some = bound[docs]
+            if len(some) >= CLASSES >= k:  # the best of some documents each: the k-th of these is reached by k
+                some = some[:len(some) // CLASSES * CLASSES].reshape(-1, CLASSES).max(axis=0)
+            least = max(least, np.partition(some, len(some) - k)[len(some) - k] - self.step * len(rows) - 1)
+            docs = docs[bound[docs] >= least - 1]
+        docs += first
+        sizes = self.list_start[long + 1] - self.list_start[long]
+        if self.doc_size[docs].sum() > sizes.sum():  # many documents: whole lists cost less
+            scores = (sums + self._sums(long))[docs]
         else:
-            chosen = np.zeros(part_block.max() + 1, bool)
-            chosen[blocks] = True
-            use = chosen[part_block]
-            starts = self.part_start[parts[use]]
-            sizes = self.part_end[parts[use]] - starts
-            postings = ranges(starts, sizes)
-            docs, share = self.docs[postings], self.weights[postings]
-            share *= np.repeat(rare[use], sizes)
-        share *= UNIT
-        return np.bincount(docs, weights=np.rint(share, out=share))
-
-    def top(self, terms: np.ndarray, rarity: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The best ``k`` documents (their places) and their scores, for words by their place among ``terms``."""
-        counts = self.first_part[terms + 1] - self.first_part[terms]
-        parts, rare = ranges(self.first_part[terms], counts), np.repeat(rarity, counts)
-        part_block = self.part_block[parts]
-        bound = np.bincount(part_block, weights=np.rint(rare * self.part_most[parts] * UNIT))
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        docs, scores = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, FIRST_BLOCKS
-        while at < len(order):
-            taken = order[at:at + step]
-            if len(scores) == k:
-                taken = taken[bound[taken] >= scores[-1]]  # an equal score may win by a smaller id
-                if not len(taken):
-                    break
-            if at and len(taken) == len(order) - at:
-                taken = order  # nothing can be passed over: whole lists cost less than picking from them
-            found = self._scores(terms, rarity, parts, rare, part_block, taken if len(taken) < len(order) else None)
-            new = np.flatnonzero(found)
-            if at and len(taken) == len(order):  # the first blocks were scored again
-                docs, scores = docs[:0], scores[:0]
-            docs, scores = np.concatenate([docs, new]), np.concatenate([scores, found[new]])
-            if len(docs) > k:
-                least = np.partition(scores, len(scores) - k)[len(scores) - k]
-                docs, scores = docs[scores >= least], scores[scores >= least]
-            best = np.lexsort((self.ids[docs], self.no_id[docs], -scores))[:k]
-            docs, scores = docs[best], scores[best]
-            at, step = at + step, len(order)  # then all that may still hold one of the best
-        return docs, scores
+            scores = sums[docs] + self._long_sums(docs, rows)
+        keep = scores >= max(least, 1)
+        docs, scores = docs[keep], scores[keep]
+        if len(docs) > k:
+            reached = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+            docs, scores = docs[reached], scores[reached]
+        best = np.lexsort((self.ids[docs], self.no_id[docs], -scores))[:k]
+        return docs[best], scores[best]
+
+
+class _Best:
+    """The best documents so far of the queries in a row of ``asking``."""
+
+    def __init__(self, row, total: int, k: int):
+        self.names = np.frombuffer(row.asked, "<i8")
+        dfs = np.frombuffer(zlib.decompress(row.known), "<i8").tolist()
+        self.rarity = np.array([math.log(1 + (total - n + 0.5) / (n + 0.5)) for n in dfs])
+        self.queries, starts = np.frombuffer(row.queries, "<i8"), np.frombuffer(row.starts, "<i8")
+        places = np.cumsum(np.frombuffer(zlib.decompress(row.places), "<i4"), dtype=np.int32)
+        self.places = np.split(places, starts[1:])
+        self.k = k
+        self.found = [(np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0))] * len(self.queries)  # ids, whether none, scores
+
+    def place(self, shard: Shard) -> None:
+        """Find the words' places in a shard."""
+        here = np.searchsorted(shard.terms, self.names)
+        here[here == len(shard.terms)] = 0
+        self.has = shard.terms[here] == self.names if len(shard.terms) else np.zeros(len(here), bool)
+        self.here = here
+
+    def meet(self, shard: Shard) -> None:
+        for query, mine in enumerate(self.places):
+            mine = mine[self.has[mine]]
+            if not len(mine):
+                continue
+            ids, no_id, scores = self.found[query]
+            docs, new = shard.top(self.here[mine], self.rarity[mine], self.k, scores[-1] if len(scores) == self.k else 0.0)
+            if len(docs):
+                ids, no_id = np.concatenate([ids, shard.ids[docs]]), np.concatenate([no_id, shard.no_id[docs]])
+                scores = np.concatenate([scores, new])
+                best = np.lexsort((ids, no_id, -scores))[:self.k]
+                self.found[query] = ids[best], no_id[best], scores[best]
+
+    def rows(self) -> pd.DataFrame:
+        ids, no_id, scores = (np.concatenate(x) for x in zip(*self.found, strict=True))
+        return pd.DataFrame({"query_id": np.repeat(self.queries, [len(x) for x, *_ in self.found]),
+                             "doc_id": pd.arrays.IntegerArray(ids, no_id), "score": scores.astype(np.int64)})
 
 
 def top_k(docs: DataFrame, queries: Column, k: int, id_col: str = "doc_id", text_col: str = "text",
@@ -195,13 +329,13 @@ def top_k(docs: DataFrame, queries: Column, k: int, id_col: str = "doc_id", text
     A query is the words of a row's whole text, each once; rows of one id are one query. Scores are
     BM25 sums. Ties go to the smaller id, null ids last. A row without a word of the query is never
     found, so a query may have fewer results, or none. A null text counts as empty. The whole index
-    is built first; then each shard meets the queries in blocks and holds one block at a time.
+    is built first; then each task holds some of the queries, at most ``HELD_ROWS``, and shards pass by.
     """
     spark = docs.sparkSession
     prepare(spark)
     own, text = F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     index = materialise(build(docs.select(own.alias("doc_id"), text.alias("text")), shard_rows), "index")
-    total, length = index.agg(F.sum("n_docs"), F.sum("n_words")).first()
+    shards, total, length = index.agg(F.count("*"), F.sum("n_docs"), F.sum("n_words")).first()
     total, mean_length = total or 0, (length or 0) / max(1, total or 0) or 1.0
 
     def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,39 +363,48 @@ def top_k(docs: DataFrame, queries: Column, k: int, id_col: str = "doc_id", text
     shape = "block long, terms binary, dfs binary, queries binary, starts binary, places binary"
     asking = materialise(weighed.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).groupBy("block")
                          .applyInPandas(block, shape), "queries")
-    # An index and the query blocks that follow it go to the task of their shard as rows, in this order.
-    shards = index.select("shard").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    meeting = shards.join(asking, "block").select("shard", "block", F.struct(
+    # A tile is the queries that a task holds and the shards that pass by: rows in this order.
+    groups = max(1, min(shards, max(TASKS * spark.sparkContext.defaultParallelism, -(-shards // TASK_SHARDS))))
+    held = max(1, HELD_ROWS // query_rows)
+    first = f"block DIV {held} * {groups}L"
+    group = f"pmod(shiftright(shard, 32) + (shard & 4294967295L), {groups}L)"
+    meeting = asking.select(F.expr(f"explode(sequence({first}, {first} + {groups - 1}L)) AS tile"), F.lit(-1).cast("long").alias("shard"), F.struct(
         F.col("terms"), F.col("dfs").alias("known"), "queries", "starts", "places").alias("ask"), F.lit(None).alias("index"))
-    stored = index.select("shard", F.lit(-1).cast("long").alias("block"), F.lit(None).alias("ask"), F.struct(
-        "ids", "no_id", F.col("terms"), "dfs", "lengths", "docs", "tfs").alias("index"))
-    rows = (stored.unionByName(meeting).repartition("shard").sortWithinPartitions("shard", "block")
-            .select("shard", *[F.col(f"index.{c}").alias(c) for c in ("ids", "no_id", "dfs", "lengths", "docs", "tfs")],
+    stored = index.select(F.expr(f"explode(sequence({group}, {group} + {(blocks - 1) // held * groups}L, {groups}L)) AS tile"), "shard",
+                          F.lit(None).alias("ask"), F.struct("ids", "no_id", "n_docs", "terms", "dfs", "lengths", "docs", "tfs").alias("index"))
+    rows = (stored.unionByName(meeting).repartition("tile").sortWithinPartitions("tile", "shard")
+            .select("tile", *[F.col(f"index.{c}").alias(c) for c in ("ids", "no_id", "n_docs", "dfs", "lengths", "docs", "tfs")],
                     F.col("index.terms").alias("terms"), *[F.col(f"ask.{c}").alias(c) for c in ("known", "queries", "starts", "places")],
                     F.col("ask.terms").alias("asked")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard = None
+        tile, asks, waiting = None, [], []
+
+        def meet() -> None:
+            """Let the waiting shards, as one, meet the queries."""
+            shard = Shard(waiting, mean_length)
+            for ask in asks:
+                ask.place(shard)
+            terms, first = np.unique(np.concatenate([ask.here[ask.has] for ask in asks]), return_index=True)
+            shard.weigh(terms, np.concatenate([ask.rarity[ask.has] for ask in asks])[first])
+            for ask in asks:
+                ask.meet(shard)
+
         for batch in batches:
             for r in batch.itertuples(index=False):
-                if r.docs is not None:
-                    shard = Shard(r, mean_length)
-                    continue
-                names = np.frombuffer(r.asked, "<i8")
-                dfs = np.frombuffer(zlib.decompress(r.known), "<i8").tolist()
-                rarity = np.array([math.log(1 + (total - n + 0.5) / (n + 0.5)) for n in dfs])
-                queries, starts = np.frombuffer(r.queries, "<i8"), np.frombuffer(r.starts, "<i8")
-                places = np.cumsum(np.frombuffer(zlib.decompress(r.places), "<i4"))
-                here = np.minimum(np.searchsorted(shard.terms, names), max(0, len(shard.terms) - 1))
-                has = shard.terms[here] == names if len(shard.terms) else np.zeros(len(names), bool)
-                out = []
-                for query, a, z in zip(queries.tolist(), starts, np.append(starts[1:], len(places)), strict=True):
-                    mine = places[a:z][has[places[a:z]]]
-                    if len(mine):
-                        docs, scores = shard.top(here[mine], rarity[mine], k)
-                        out += [(query, None if shard.no_id[d] else int(shard.ids[d]), int(s)) for d, s in zip(docs, scores, strict=True)]
-                found = pd.DataFrame(out, columns=["query_id", "doc_id", "score"])
-                yield found.assign(doc_id=ids_column(found["doc_id"].astype(object)))
+                if waiting and (r.tile != tile or r.docs is not None and sum(x.n_docs for x in waiting) + r.n_docs > shard_rows):
+                    meet()
+                    waiting = []
+                if r.tile != tile:
+                    yield from (ask.rows() for ask in asks)
+                    tile, asks = r.tile, []
+                if r.docs is None:
+                    asks.append(_Best(r, total, k))
+                elif asks:
+                    waiting.append(r)
+        if waiting:
+            meet()
+        yield from (ask.rows() for ask in asks)
 
     # A row holds an index: few rows at a time go to Python.
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -108,3 +108,56 @@ def test_pruned_blocks_change_nothing():
             np.add.at(every, shard.docs[a:z], np.rint(search.UNIT * (w * shard.weights[a:z])))
         best = np.lexsort((np.arange(900), -every))[:5]
         assert docs.tolist() == best[every[best] > 0].tolist() and scores.tolist() == every[docs].tolist()
+
+
+def a_row(texts, first, shuffled=False):
+    """The row of a shard, its documents ordered by length or not, and these documents."""
+    places = np.argsort([len(t.split()) for t in texts], kind="stable") if shuffled else np.arange(len(texts))
+    kept = {"ids": (places + first).astype("<i8").tobytes(), "no_id": bytes(len(texts))}
+    return type("Row", (), search.index_rows([search.postings(texts)], places) | kept)
+
+
+def test_shards_as_one_with_a_score_to_beat(monkeypatch):
+    rng = random.Random(12)
+    names = [f"w{k}" for k in range(300)]
+    texts = [" ".join(rng.choice(names[: rng.choice((5, 30, 300))]) for _ in range(rng.randrange(3, 60))) for _ in range(900)]
+    texts[850:] = texts[100:150]  # equal scores in two shards
+    alone = search.Shard(a_row(texts, 0), 20.0)
+    whole = []
+    scored = search.Shard._long_sums
+    monkeypatch.setattr(search.Shard, "_long_sums", lambda shard, docs, rows: whole.append(len(docs)) or scored(shard, docs, rows))
+    rows = [a_row(texts[:400], 0, True), a_row(texts[400:410], 400, True), a_row(texts[410:], 410, True)]
+    for share, step in ((16, 256), (2, 1)):
+        monkeypatch.setattr(search, "LONG_SHARE", share)
+        monkeypatch.setattr(search, "SLICE", step)
+        monkeypatch.setattr(search, "BLOCK_ROWS", 64)
+        shard = search.Shard(rows, 20.0)
+        assert shard.terms.tolist() == alone.terms.tolist()
+        rarity = np.array([rng.random() * 5 for _ in shard.terms])
+        for at in rng.sample(range(900), 60):
+            terms = np.flatnonzero(np.isin(shard.terms, search.words([texts[at]])[0]))
+            every = np.zeros(900)
+            for t in terms:
+                a, z = alone.list_start[t], alone.list_start[t + 1]
+                every[alone.docs[a:z]] += np.rint(search.UNIT * (rarity[t] * alone.weights[a:z]))
+            best = np.lexsort((np.arange(900), -every))[:5]
+            for least in (0.0, every[best[2]], every[best[0]] + 1):
+                docs, scores = shard.top(terms, rarity[terms], 5, least)
+                good = best[(every[best] >= least) & (every[best] > 0)]
+                assert shard.ids[docs].tolist()[:len(good)] == good.tolist() and scores.tolist()[:len(good)] == every[good].tolist()
+    assert sum(whole) < 0.1 * 900 * len(whole)  # levels leave few documents to score whole
+
+
+def test_queries_in_several_tasks_and_shards_that_pass_by(spark, monkeypatch):
+    rng = random.Random(13)
+    names = [f"w{k}" for k in range(80)]
+    docs = [(k, " ".join(rng.choice(names) for _ in range(rng.randrange(1, 40)))) for k in range(200)]
+    docs += [(k + 200, docs[k][1]) for k in range(30)] + [(None, docs[0][1]), (400, ""), (410, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(search, "HELD_ROWS", 8)
+    monkeypatch.setattr(search, "TASKS", 0)
+    for shards in (1, 3, 16):
+        monkeypatch.setattr(search, "TASK_SHARDS", shards)
+        got = search.top_k(df, F.col("doc_id") % 10 == 0, 6, shard_rows=20, query_rows=4).collect()
+        rows = sorted((r.query_id, r.rank, r.doc_id, round(r.score * 1e6)) for r in got)
+        assert rows == plain_search(docs, lambda i: i % 10 == 0, 6)
