@@ -42,6 +42,7 @@ SHARD_ROWS = 16_384
 BLOCK_ROWS = 512
 QUERY_ROWS = 4_096
 HELD_ROWS = 8 * QUERY_ROWS  # queries that a task holds
+MORE = 1.25  # small shards meet the queries as one of up to so many times the usual rows
 TASK_SHARDS = 16
 TASKS = 3  # for each core, where there are as many shards
 LONG_SHARE = 16  # a list is long from one document in so many on
@@ -392,7 +393,7 @@ def top_k(docs: DataFrame, queries: Column, k: int, id_col: str = "doc_id", text
 
         for batch in batches:
             for r in batch.itertuples(index=False):
-                if waiting and (r.tile != tile or r.docs is not None and sum(x.n_docs for x in waiting) + r.n_docs > shard_rows):
+                if waiting and (r.tile != tile or r.docs is not None and sum(x.n_docs for x in waiting) + r.n_docs > MORE * shard_rows):
                     meet()
                     waiting = []
                 if r.tile != tile:
